@@ -17,3 +17,22 @@ def stack(df: DataFrame, row: str, parts: dict[str, Column]) -> DataFrame:
 def rule_terms(df: DataFrame, row: str = "transaction_id") -> DataFrame:
     """Additive terms of the rule score per row."""
     return stack(df, row, {f: S.rule_term(f, F.col(f)) for f in S.RULE_FEATURES})
+
+
+def top_factors(n: int, values: dict[str, Column] | None = None) -> Column:
+    """Names of the ``n`` largest rule terms of a row, in one expression (no shuffle)."""
+    cols = values or {f: S.rule_term(f, F.col(f)) for f in S.RULE_FEATURES}
+    items = F.array(*[F.struct((-F.abs(c.cast("double"))).alias("k"), F.lit(f).alias("f")) for f, c in cols.items()])
+    return F.transform(F.slice(F.array_sort(items), 1, n), lambda x: x["f"])
+
+
+def global_importance(contrib: DataFrame) -> DataFrame:
+    """(feature, importance): mean absolute contribution."""
+    return contrib.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("importance"))
+
+
+def select_features(importance: DataFrame, n: int = 20, threshold: float | None = None) -> DataFrame:
+    """Top ``n`` features, or all at least ``threshold`` if one is given."""
+    if threshold is not None:
+        return importance.where(F.col("importance") >= threshold)
+    return importance.orderBy(F.col("importance").desc(), "feature").limit(n)

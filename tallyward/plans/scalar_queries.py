@@ -69,7 +69,7 @@ def clamp_probability(spark, sf):
     return V.tx(spark, sf).select("transaction_id", S.clamp_probability(F.col("amount") / 300.0 - 0.2).alias("p"))
 
 
-@query("B8_format_probability", with_views("tx") + "SELECT transaction_id, CAST(round(CAST(amount/500.0::DOUBLE AS DECIMAL(30,12)),2) AS DOUBLE) AS p FROM tx")
+@query("B8_format_probability", with_views("tx") + "SELECT transaction_id, CAST(round(CAST(CAST(amount/500.0::DOUBLE AS VARCHAR) AS DECIMAL(30,20)),2) AS DOUBLE) AS p FROM tx")
 def format_probability(spark, sf):
     return V.tx(spark, sf).select("transaction_id", S.format_probability(F.col("amount") / 500.0, 2).alias("p"))
 
@@ -173,7 +173,7 @@ def blend_columns(spark, sf):
 @query(
     "B18_blend_map",
     with_views("scored", b="""SELECT transaction_id, p/2.0::DOUBLE AS a, q/2.0::DOUBLE AS b,
-      greatest(0.0::DOUBLE,least(1.0::DOUBLE,CAST(round(CAST(p/2.0::DOUBLE+q/2.0::DOUBLE AS DECIMAL(30,12)),4) AS DOUBLE))) AS score FROM scored""")
+      greatest(0.0::DOUBLE,least(1.0::DOUBLE,CAST(round(CAST(CAST(p/2.0::DOUBLE+q/2.0::DOUBLE AS VARCHAR) AS DECIMAL(30,20)),4) AS DOUBLE))) AS score FROM scored""")
     + """SELECT transaction_id, score, round(a,6) AS part_rule, round(b,6) AS part_amount,
     CASE WHEN score>=0.5::DOUBLE THEN 'fraud' ELSE 'legitimate' END AS label FROM b""",
 )

@@ -19,7 +19,7 @@ US = {"1h": 3600000000, "24h": 86400000000, "7d": 604800000000}
 SPLIT_ALL = Heavy(share=0.0, min_rows=0)
 
 
-def _vel_sql(view: str, spans, funcs, gap: bool) -> str:
+def _vel_body(view: str, spans, funcs, gap: bool) -> str:
     out = ["transaction_id"]
     for w in spans:
         f = f"OVER (PARTITION BY user_id ORDER BY epoch_us(timestamp) RANGE BETWEEN {US[w] - 1} PRECEDING AND CURRENT ROW)"
@@ -36,7 +36,11 @@ def _vel_sql(view: str, spans, funcs, gap: bool) -> str:
             "coalesce((epoch_us(timestamp)-lag(epoch_us(timestamp)) OVER (PARTITION BY user_id ORDER BY timestamp,transaction_id))/1e6::DOUBLE,"
             "999999.0::DOUBLE) AS velocity_time_since_last_s"
         )
-    return with_views(view) + f"SELECT {', '.join(out)} FROM {view}"
+    return f"SELECT {', '.join(out)} FROM {view}"
+
+
+def _vel_sql(view: str, spans, funcs, gap: bool) -> str:
+    return with_views(view) + _vel_body(view, spans, funcs, gap)
 
 
 def _rounded(df):
@@ -313,7 +317,7 @@ def c4(spark, sf):
     "C5_feature_union",
     with_views(
         "tx", "merch", r=_RECENT, u=_USTATS, g=_GLOB,
-        v=_vel_sql("tx", US, ["count", "sum", "mean"], False).split("\n", 1)[1],
+        v=_vel_body("tx", US, ["count", "sum", "mean"], False),
     )
     + """SELECT v.*, round((amount-am)/coalesce(nullif(astd,0),nullif(gs,0),1.0::DOUBLE),6) AS deviation_amount_zscore, round(amount/am,6) AS deviation_amount_ratio,
     round(rate,6) AS merchant_fraud_rate, fraud_count AS merchant_fraud_count, total_count AS merchant_total_count
