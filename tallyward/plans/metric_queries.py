@@ -218,7 +218,7 @@ def e6(spark, sf):
 
 @query(
     "E6_percentile_grid",
-    _grid_sql("SELECT DISTINCT quantile_cont(q,s::DOUBLE/100.0::DOUBLE) AS t FROM scored, (VALUES (95.0),(97.0),(98.0),(99.0),(99.5)) v(s) GROUP BY s").replace("t AS threshold", "round(t,6) AS threshold"),
+    _grid_sql("SELECT unnest(quantile_cont(q,[0.95,0.97,0.98,0.99,0.995])) AS t FROM scored").replace("t AS threshold", "round(t,6) AS threshold"),
 )
 def e6_percentiles(spark, sf):
     from tallyward.operators.ordering import exact_quantiles
@@ -288,7 +288,7 @@ def e14(spark, sf):
     "E15_tune_share",
     with_views(
         "scored", t="SELECT q AS s FROM scored WHERE is_fraud=0", v="SELECT q AS s FROM scored",
-        c="SELECT x::DOUBLE AS contamination, quantile_cont(s,1.0::DOUBLE-x::DOUBLE) AS threshold FROM t, (VALUES (0.01),(0.02),(0.05),(0.1)) k(x) GROUP BY x",
+        c=" UNION ALL ".join(f"SELECT {x}::DOUBLE AS contamination, quantile_cont(s,{1 - x}) AS threshold FROM t" for x in (0.01, 0.02, 0.05, 0.1)),
         r="SELECT contamination, threshold, count(*) FILTER (s>threshold)/count(*) AS achieved FROM c, v GROUP BY ALL",
     ) + """SELECT contamination, round(threshold,6) AS threshold, round(achieved,6) AS achieved,
     contamination=(SELECT contamination FROM r ORDER BY abs(achieved-0.05::DOUBLE), contamination LIMIT 1) AS chosen FROM r""",
