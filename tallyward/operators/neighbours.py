@@ -2,7 +2,9 @@
 
 Reference rows are grouped around a few pivots.  The triangle inequality bounds
 the distance from a query row to everything in a group, so a row visits only the
-groups that can still hold one of its k nearest.  Both sides travel as blocks of
+groups that can still hold one of its k nearest.  Equal vectors are handled once:
+copies share their neighbours, and of equal reference rows only the first k by id
+can be among the k nearest.  Both sides travel as blocks of
 about a thousand vectors; a crowded group is cut into several blocks, so copies
 and dense regions spread over tasks.  Each pair of blocks yields at most k
 candidates per row, and the k best of those are exact.
@@ -68,20 +70,17 @@ def _reachable_cells(pivots: np.ndarray, radius: np.ndarray, nearest: np.ndarray
     return cells
 
 
-def _pair_blocks(k: int, exclude_self: bool, dims: int):
+def _pair_blocks(k: int, dims: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, near, dist = [], [], []
             for i in range(batch.num_rows):
                 qi, qf, ri, rf = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("qi", "qf", "ri", "rf"))
                 d = _distances(qf.reshape(-1, dims), rf.reshape(-1, dims))
-                if exclude_self:
-                    d[qi[:, None] == ri[None, :]] = np.inf
                 for q, line in zip(qi, d):
                     n = min(k, len(line))
                     close = np.flatnonzero(line <= np.partition(line, n - 1)[n - 1])
                     best = close[np.lexsort((ri[close], line[close]))][:n]
-                    best = best[np.isfinite(line[best])]
                     rows.append(np.full(len(best), q))
                     near.append(ri[best])
                     dist.append(line[best])
@@ -101,7 +100,30 @@ def nearest_neighbours(
 
     Ties are broken by neighbour id.  Row ids are bigint.
     """
-    ref = reference.select(F.col(row).cast("bigint").alias("r"), F.col(features).alias("f"))
+    need = k + 1 if exclude_self else k
+    rows = queries.select(F.col(row).cast("bigint").alias("r"), F.col(features).alias("f"))
+    asked = rows.groupBy("f").agg(F.min("r").alias("r"))
+    copies = Window.partitionBy("f").orderBy("r")
+    ref = (
+        reference.select(F.col(row).cast("bigint").alias("r"), F.col(features).alias("f"))
+        .withColumn("i", F.row_number().over(copies))
+        .where(F.col("i") <= need)
+        .drop("i")
+    )
+    found = _nearest(asked, ref, need, pivots, block_rows)
+    shared = rows.join(asked.select("f", F.col("r").alias("rep")), "f").join(
+        found.withColumnRenamed("row_id", "rep"), "rep"
+    )
+    if exclude_self:
+        shared = shared.where(F.col("neighbour") != F.col("r"))
+    order = Window.partitionBy("r").orderBy("distance", "neighbour")
+    return shared.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+        F.col("r").alias("row_id"), "rank", "neighbour", "distance"
+    )
+
+
+def _nearest(asked: DataFrame, ref: DataFrame, k: int, pivots: int | None, block_rows: int) -> DataFrame:
+    """(row_id, neighbour, distance): the k nearest rows of ``ref`` for each distinct vector."""
     n = ref.count()
     if n == 0:
         raise ValueError("empty reference set")
@@ -111,21 +133,17 @@ def nearest_neighbours(
     dims = points.shape[1]
     ref = settle(ref.withColumn("a", _nearest_pivot(points)("f")).select("r", "f", "a.cell", "a.d"))
 
-    need = k + 1 if exclude_self else k
     first = Window.partitionBy("cell").orderBy("d", "r")
-    small = ref.select("cell", "d", "r").withColumn("i", F.row_number().over(first)).where(F.col("i") <= need)
-    radius, nearest, size = np.full(len(points), -1.0), np.full((len(points), need), np.inf), {}
+    small = ref.select("cell", "d", "r").withColumn("i", F.row_number().over(first)).where(F.col("i") <= k)
+    radius, nearest, size = np.full(len(points), -1.0), np.full((len(points), k), np.inf), {}
     for x in ref.groupBy("cell").agg(F.max("d").alias("d"), F.count(F.lit(1)).alias("n")).collect():
         radius[x["cell"]], size[x["cell"]] = x["d"], x["n"]
     for x in small.select("cell", "i", "d").collect():
         nearest[x["cell"], x["i"] - 1] = x["d"]
-    need = min(need, n)
 
-    cells = _reachable_cells(points, radius, nearest, need)
+    cells = _reachable_cells(points, radius, nearest, min(k, n))
     asked = settle(
-        queries.select(F.col(row).cast("bigint").alias("r"), F.col(features).alias("f"))
-        .withColumn("cell", F.explode(cells("f")))
-        .select("r", "f", "cell")
+        asked.withColumn("cell", F.explode(cells("f"))).select("r", "f", "cell")
     )
     load = {x["cell"]: x["n"] for x in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
 
@@ -146,11 +164,9 @@ def nearest_neighbours(
         "block", F.explode(F.sequence(F.lit(0), blocks_of(size) - 1))
     )
     pairs = left.join(right, ["cell", "block"]).select("qi", "qf", "ri", "rf")
-    found = pairs.mapInArrow(_pair_blocks(k, exclude_self, dims), "row_id bigint, neighbour bigint, distance double")
+    found = pairs.mapInArrow(_pair_blocks(k, dims), "row_id bigint, neighbour bigint, distance double")
     order = Window.partitionBy("row_id").orderBy("distance", "neighbour")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "row_id", "rank", "neighbour", "distance"
-    )
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
 
 
 def local_outlier_factor(

@@ -133,10 +133,10 @@ _MIX = """SELECT CAST(draw AS VARCHAR) AS draw, base, d.neighbour, list_transfor
     "H7_smote",
     with_views(
         "vec", rare=_RARE, n=_VN, k=knn_sql("rare", "rare", 5, False),
-        o="SELECT row_id, row_number() OVER (ORDER BY row_id)-1 AS at FROM rare",
+        o="SELECT row_id, row_number() OVER (ORDER BY row_id)-1 AS slot FROM rare",
         j="SELECT unnest(range(g)) AS draw, n1 FROM n",
-        e=f"""SELECT draw, CAST(floor({unit('draw', '42:base')}*n1) AS BIGINT) AS at, CAST(floor({unit('draw', '42:pick')}*5)+1 AS INTEGER) AS pick, {unit('draw', '42:u')} AS u FROM j""",
-        d="SELECT draw, o.row_id AS base, u, k.neighbour FROM e JOIN o USING (at) JOIN k ON k.row_id=o.row_id AND k.rank=pick",
+        e=f"""SELECT draw, CAST(floor({unit('draw', '42:base')}*n1) AS BIGINT) AS slot, CAST(floor({unit('draw', '42:pick')}*5)+1 AS INTEGER) AS pick, {unit('draw', '42:u')} AS u FROM j""",
+        d="SELECT draw, o.row_id AS base, u, k.neighbour FROM e JOIN o USING (slot) JOIN k ON k.row_id=o.row_id AND k.rank=pick",
     ) + _MIX,
 )
 def h7(spark, sf):
