@@ -48,6 +48,6 @@ def positive_weight(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     w = class_weights(df, label).select(F.struct("weight_0", "weight_1").alias("w")).scalar()
-    return df.withColumn("__w", w).withColumn(
-        out, F.when(F.col(label) == 1, F.col("__w.weight_1")).otherwise(F.col("__w.weight_0"))
-    ).drop("__w")
+    return df.withColumn("__cw", w).withColumn(
+        out, F.when(F.col(label) == 1, F.col("__cw.weight_1")).otherwise(F.col("__cw.weight_0"))
+    ).drop("__cw")

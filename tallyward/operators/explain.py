@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import math
+import random
+from collections.abc import Callable, Iterator, Mapping, Sequence
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions import scoring as S
+from tallyward.functions.hashing import hash_unit
+from tallyward.operators.ordering import exact_quantiles, ordinals
+from tallyward.operators.reports import top_per_row
+from tallyward.session import settle
 
 
 def stack(df: DataFrame, row: str, parts: dict[str, Column]) -> DataFrame:
@@ -36,3 +46,343 @@ def select_features(importance: DataFrame, n: int = 20, threshold: float | None
     if threshold is not None:
         return importance.where(F.col("importance") >= threshold)
     return importance.orderBy(F.col("importance").desc(), "feature").limit(n)
+
+
+ScoreFn = Callable[[Mapping[str, Column]], Column]
+
+
+def rule_fn(values: Mapping[str, Column]) -> Column:
+    return S.rule_score(values)
+
+
+def current(features: Sequence[str]) -> dict[str, Column]:
+    return {f: F.col(f) for f in features}
+
+
+def _means(df: DataFrame, parts: Mapping[str, Column]) -> Column:
+    return df.agg(F.struct(*[F.avg(c).alias(f) for f, c in parts.items()]).alias("m")).scalar()
+
+
+def additive_contributions(df: DataFrame, parts: Mapping[str, Column], row: str = "transaction_id") -> DataFrame:
+    """Exact contributions of an additive score: each term minus its mean over the table."""
+    base = df.withColumn("__m", _means(df, parts))
+    return stack(base, row, {f: c - F.col(f"__m.{f}") for f, c in parts.items()})
+
+
+def rule_contributions(df: DataFrame, row: str = "transaction_id") -> DataFrame:
+    return additive_contributions(df, {f: S.rule_term(f, F.col(f)) for f in S.RULE_FEATURES}, row)
+
+
+def linear_contributions(df: DataFrame, weights: Mapping[str, float], row: str = "transaction_id") -> DataFrame:
+    """``w_i * (x_i - mean_i)`` for a linear model."""
+    return additive_contributions(df, {f: F.col(f) * F.lit(float(w)) for f, w in weights.items()}, row)
+
+
+def sampled_shapley(
+    df: DataFrame, background: DataFrame, features: Sequence[str], score: ScoreFn, draws: int = 20,
+    row: str = "transaction_id", seed: int = 42,
+) -> DataFrame:
+    """Permutation-sampled Shapley values of any score expression: (row, feature, contribution).
+
+    Draw d pairs every row with one background row (chosen by hash) and one
+    feature order, and switches features from background to row values in that
+    order.  The contributions of a row sum to its score minus the mean score of
+    its background rows.  Draws are averaged before the shuffle ends, so only
+    one record per row and feature leaves a task.  ``background`` is a bounded
+    reference sample and is broadcast.
+    """
+    pool = background.select(F.struct(*[F.col(f).cast("double").alias(f) for f in features]).alias("b"))
+    packed = pool.agg(F.array_sort(F.collect_list("b"))).scalar()
+    rng = random.Random(seed)
+    orders = [rng.sample(list(features), len(features)) for _ in range(draws)]
+    rank = F.array(*[F.struct(*[F.lit(o.index(f)).alias(f) for f in features]) for o in orders])
+    pick = F.pmod(F.xxhash64(F.col(row), F.col("d"), F.lit(seed)), F.size("__pool")).cast("int")
+    drawn = (
+        df.withColumn("__pool", packed)
+        .withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+        .withColumn("__b", F.get("__pool", pick))
+        .withColumn("__o", F.get(rank, F.col("d")))
+        .select(row, *features, "__b", "__o")
+    )
+
+    def at(upto: Column) -> Column:
+        """Score with the features of rank < upto taken from the row."""
+        return score({f: F.when(F.col(f"__o.{f}") < upto, F.col(f)).otherwise(F.col(f"__b.{f}")) for f in features})
+
+    parts = {f: at(F.col(f"__o.{f}") + 1) - at(F.col(f"__o.{f}")) for f in features}
+    mean = drawn.groupBy(row).agg(*[F.avg(c).alias(f"__c_{f}") for f, c in parts.items()])
+    return stack(mean, row, {f: F.col(f"__c_{f}") for f in features})
+
+
+def permutation_effect(
+    df: DataFrame, features: Sequence[str], score: ScoreFn, row: str = "transaction_id", seed: int = 42
+) -> DataFrame:
+    """(feature, effect): mean score minus mean score with that column shuffled.
+
+    A shuffle is a re-pairing by rank: the row at position i of one hash order
+    receives the value at position i of another.  Row ids are numeric.
+    """
+    rows = settle(df.select(row, *features, hash_unit(F.col(row), seed).alias("__h")))
+    here = settle(ordinals(rows, "__h", row, out="__i"))
+    base = here.agg(F.avg(score(current(features)))).scalar()
+    out = None
+    for f in features:
+        drawn = rows.select(row, F.col(f).alias("__v"), hash_unit(F.col(row), f"{seed}:{f}").alias("__g"))
+        there = ordinals(drawn, "__g", row, out="__i").select("__i", "__v")
+        paired = here.join(there, "__i")
+        part = paired.agg(F.lit(f).alias("feature"), (base - F.avg(score({**current(features), f: F.col("__v")}))).alias("effect"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# partial dependence
+
+def feature_grid(
+    df: DataFrame, feature: str, points: int = 100, low: float = 0.05, high: float = 0.95, percentiles: bool = False
+) -> list[float]:
+    """Grid values: the distinct values if fewer than ``points``, else evenly between two
+    percentiles (or at evenly spaced percentiles).  At most ``points`` numbers reach the driver."""
+    few = df.select(F.col(feature).cast("double").alias("v")).where(F.col("v").isNotNull()).distinct().limit(points).collect()
+    if len(few) < points:
+        return sorted(r["v"] for r in few)
+    if percentiles:
+        shares = [i / (points - 1) for i in range(points)]
+        return sorted({r["value"] for r in exact_quantiles(df, [feature], shares).collect()})
+    ends = {r["share"]: r["value"] for r in exact_quantiles(df, [feature], [low, high]).collect()}
+    a, b = ends[low], ends[high]
+    return [a + (b - a) * i / (points - 1) for i in range(points)]
+
+
+def _on_grid(df: DataFrame, grids: Mapping[str, Sequence[float]], features: Sequence[str], score: ScoreFn, keep: Sequence[str] = ()) -> DataFrame:
+    """Every row at every grid point of every gridded feature: (keep..., feature, point, value, score).
+
+    The grid is a literal array that is unfolded inside the scan stage, so there
+    is no join and an average right after it shuffles only one record per point.
+    """
+    items = F.array(
+        *[
+            F.struct(F.lit(f).alias("feature"), F.lit(i).alias("point"), F.lit(float(v)).alias("value"))
+            for f, grid in grids.items()
+            for i, v in enumerate(grid)
+        ]
+    )
+    wide = df.select(*dict.fromkeys([*keep, *features]), F.inline(items))
+    swapped = {
+        f: F.when(F.col("feature") == f, F.col("value")).otherwise(F.col(f)) if f in grids else F.col(f) for f in features
+    }
+    return wide.select(*keep, "feature", "point", "value", score(swapped).alias("score"))
+
+
+def partial_dependence(df: DataFrame, grids: Mapping[str, Sequence[float]], features: Sequence[str], score: ScoreFn) -> DataFrame:
+    """(feature, point, value, average)."""
+    return _on_grid(df, grids, features, score).groupBy("feature", "point", "value").agg(F.avg("score").alias("average"))
+
+
+def dependence_summary(pd: DataFrame) -> DataFrame:
+    """(feature, min/max value, min/max prediction, range)."""
+    return pd.groupBy("feature").agg(
+        F.min("value").alias("min_value"), F.max("value").alias("max_value"),
+        F.min("average").alias("min_prediction"), F.max("average").alias("max_prediction"),
+        (F.max("average") - F.min("average")).alias("range"),
+    )
+
+
+def individual_curves(df: DataFrame, grids, features, score: ScoreFn, row: str = "transaction_id") -> DataFrame:
+    """(row, feature, point, value, score): one curve per row."""
+    return _on_grid(df, grids, features, score, keep=[row])
+
+
+def two_way_dependence(
+    df: DataFrame, first: str, second: str, grid_a: Sequence[float], grid_b: Sequence[float],
+    features: Sequence[str], score: ScoreFn,
+) -> DataFrame:
+    """(value_a, value_b, average) over the product of two grids."""
+    items = F.array(
+        *[F.struct(F.lit(float(a)).alias("value_a"), F.lit(float(b)).alias("value_b")) for a in grid_a for b in grid_b]
+    )
+    wide = df.select(*features, F.inline(items))
+    swapped = {**current(features), first: F.col("value_a"), second: F.col("value_b")}
+    return wide.groupBy("value_a", "value_b").agg(F.avg(score(swapped)).alias("average"))
+
+
+def range_importance(pd: DataFrame, top_n: int = 10) -> DataFrame:
+    return dependence_summary(pd).select("feature", "range").orderBy(F.col("range").desc(), "feature").limit(top_n)
+
+
+def linearity(pd: DataFrame, threshold: float = 0.95) -> DataFrame:
+    """(feature, correlation, pdp_range, is_linear, recommendation)."""
+    c = pd.groupBy("feature").agg(
+        F.corr("value", "average").alias("correlation"), (F.max("average") - F.min("average")).alias("pdp_range")
+    )
+    linear = F.abs("correlation") >= threshold
+    return c.select(
+        "feature", "correlation", "pdp_range", linear.alias("is_linear"),
+        F.when(linear, "Linear relationship")
+        .otherwise("Non-linear relationship - may require careful interpretation").alias("recommendation"),
+    )
+
+
+# local surrogates
+
+def local_surrogate(
+    df: DataFrame, features: Sequence[str], score: ScoreFn, draws: int = 5000, top_n: int | None = 5,
+    row: str = "transaction_id", seed: int = 42, preset: str = "surrogate", ridge: float = 1.0,
+) -> DataFrame:
+    """(row, feature, contribution): weights of a linear model fitted around each row.
+
+    Draws come from hashed normals.  The sums of the normal equations are built
+    next to the draws, so one record per row is shuffled, and the small systems
+    are solved in Arrow batches.  ``surrogate``: unit noise on standardised
+    features, proximity width ``0.75 * sqrt(d)``.  ``half_std``: noise of half a
+    standard deviation, width = std of the distances.
+    """
+    d = len(features)
+    fields = [F.struct(F.avg(f).alias("m"), F.coalesce(F.nullif(F.stddev_pop(f), F.lit(0.0)), F.lit(1.0)).alias("s")).alias(f) for f in features]
+    stats = df.agg(F.struct(*fields).alias("t")).scalar()
+    scale = 0.5 if preset == "half_std" else 1.0
+
+    def unit(i: int, side: str) -> Column:
+        h = F.pmod(F.xxhash64(F.col(row), F.col("__d"), F.lit(f"{seed}:{i}:{side}")), F.lit(1 << 31))
+        return (h + 0.5) / F.lit(float(1 << 31))
+
+    noise = {f: F.sqrt(-2.0 * F.log(unit(i, "r"))) * F.cos(2.0 * math.pi * unit(i, "a")) * scale for i, f in enumerate(features)}
+    drawn = (
+        df.select(row, *features).withColumn("__t", stats)
+        .withColumn("__d", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+        .withColumns({f"__e_{f}": e for f, e in noise.items()})
+    )
+    moved = {f: F.col(f) + F.col(f"__e_{f}") * F.col(f"__t.{f}.s") for f in features}
+    square = None
+    for f in features:
+        square = F.col(f"__e_{f}") ** 2 if square is None else square + F.col(f"__e_{f}") ** 2
+    scored = drawn.select(row, *[F.col(f"__e_{f}") for f in features], score(moved).alias("__y"), square.alias("__q"))
+    if preset == "half_std":
+        width = scored.groupBy(row).agg(F.stddev_pop(F.sqrt("__q")).alias("__w"))
+        scored = scored.join(width, row)
+        w = F.sqrt(F.exp(-F.col("__q") / F.greatest(F.col("__w") ** 2, F.lit(1e-12))))
+    else:
+        w = F.sqrt(F.exp(-F.col("__q") / F.lit((0.75 * math.sqrt(d)) ** 2)))
+    terms = [F.lit(1.0), *[F.col(f"__e_{f}") for f in features]]
+    sums = [F.sum(w * a * b) for i, a in enumerate(terms) for b in terms[i:]] + [F.sum(w * a * F.col("__y")) for a in terms]
+    packed = scored.groupBy(row).agg(F.array(*sums).alias("sums"))
+    coefs = packed.mapInPandas(
+        _solver(row, d, ridge), f"{row} {df.schema[row].dataType.simpleString()}, coefs array<double>"
+    )
+    long = stack(coefs, row, {f: F.get("coefs", F.lit(i)) for i, f in enumerate(features)})
+    return long if top_n is None else top_per_row(long, top_n, row).drop("rank")
+
+
+def _solver(row: str, d: int, ridge: float):
+    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        upper = np.triu_indices(d + 1)
+        penalty = np.diag([0.0] + [ridge] * d)  # the intercept is not penalised
+        for pdf in frames:
+            if not len(pdf):
+                continue
+            s = np.stack(pdf["sums"].to_numpy())
+            k = len(upper[0])
+            a = np.zeros((len(s), d + 1, d + 1))
+            a[:, upper[0], upper[1]] = s[:, :k]
+            a[:, upper[1], upper[0]] = s[:, :k]
+            beta = np.linalg.solve(a + penalty, s[:, k:, None])[:, 1:, 0]
+            yield pd.DataFrame({row: pdf[row], "coefs": list(beta)})
+
+    return solve
+
+
+def surrogate_importance(local: DataFrame, row: str = "transaction_id") -> DataFrame:
+    """(feature, importance): summed absolute weights over the number of explained rows."""
+    n = local.agg(F.count_distinct(row)).scalar()
+    return local.groupBy("feature").agg((F.sum(F.abs("contribution")) / n).alias("importance"))
+
+
+# checks on explanation tables
+
+def merge_bins(contrib: DataFrame, row: str = "transaction_id") -> DataFrame:
+    """Sum absolute contributions of ``name <= 5``-style bins by their base feature."""
+    base = F.split_part("feature", F.lit(" "), F.lit(1))
+    return contrib.groupBy(row, base.alias("feature")).agg(F.sum(F.abs("contribution")).alias("contribution"))
+
+
+def consistency(runs: DataFrame, tolerance: float = 1e-5) -> DataFrame:
+    """(feature, variance, max_variance, is_consistent) over repeated runs (run, feature, contribution)."""
+    v = runs.groupBy("feature").agg(F.var_pop("contribution").alias("variance"))
+    worst = v.agg(F.max("variance")).scalar()
+    return v.withColumn("max_variance", worst).withColumn("is_consistent", F.col("max_variance") <= tolerance)
+
+
+def explanation_quality(contrib: DataFrame, row: str = "transaction_id") -> DataFrame:
+    """One row of quality figures of a contribution table."""
+    c = F.col("contribution")
+    bad = c.isNull() | F.isnan(c)
+    infinite = c.isin(float("inf"), float("-inf"))
+    per_row = contrib.groupBy(row).agg(
+        F.count(F.lit(1)).alias("k"), F.count_if(bad).alias("b"), F.count_if(infinite).alias("i")
+    )
+    used = contrib.agg(F.count_distinct("feature")).scalar()
+    out = per_row.agg(
+        F.count(F.lit(1)).alias("total_explanations"), F.sum("b").alias("null_values"),
+        F.sum("i").alias("infinite_values"), F.avg("k").alias("features_per_explanation"),
+    )
+    return out.withColumn("unique_features", used).select(
+        "total_explanations", "null_values", "infinite_values", "unique_features",
+        (F.col("unique_features") / F.greatest("total_explanations", F.lit(1))).alias("avg_features_per_explanation"),
+        "features_per_explanation", ((F.col("null_values") == 0) & (F.col("infinite_values") == 0)).alias("passed"),
+    )
+
+
+def feature_coverage(contrib: DataFrame, row: str = "transaction_id") -> DataFrame:
+    """(feature, coverage): share of explanations that mention the feature."""
+    n = contrib.agg(F.count_distinct(row)).scalar()
+    return contrib.groupBy("feature").agg((F.count_distinct(row) / n).alias("coverage"))
+
+
+def rank_stability(base: DataFrame, perturbed: DataFrame, row: str = "transaction_id", stable_above: float = 0.7) -> DataFrame:
+    """Overlap of top-feature sets between a baseline (row, top) and perturbed runs (row, run, top)."""
+    both = perturbed.join(base.select(row, F.col("top").alias("__b")), row)
+    overlap = F.size(F.array_intersect("top", "__b")) / F.greatest(F.size("top"), F.size("__b"))
+    return both.select(overlap.alias("o")).agg(
+        F.avg("o").alias("mean_overlap"), F.stddev_pop("o").alias("std_overlap"), F.min("o").alias("min_overlap"),
+        F.count("o").alias("runs"), (F.avg("o") > stable_above).alias("is_stable"),
+    )
+
+
+# Two-sided 95 % quantiles of Student's t for 1 to 28 degrees of freedom, and of the normal law.
+T_975 = [
+    12.706204736432095, 4.302652729911275, 3.182446305284263, 2.7764451051977987, 2.5705818366147395,
+    2.4469118487916806, 2.3646242510102993, 2.3060041350333704, 2.2621571627409915, 2.2281388519649385,
+    2.200985160082949, 2.1788128296634177, 2.1603686564610127, 2.1447866879169273, 2.131449545559323,
+    2.1199052992210112, 2.1098155778331806, 2.10092204024096, 2.093024054408263, 2.0859634472658364,
+    2.079613844727662, 2.0738730679040147, 2.0686576104190406, 2.0638985616280205, 2.059538552753294,
+    2.055529438642871, 2.0518305164802833, 2.048407141795244,
+]
+Z_975 = 1.959963984540054
+
+
+def confidence_intervals(contrib: DataFrame, by: str = "feature", value: str = "contribution") -> DataFrame:
+    """(by, n, mean, lower, upper, margin) at 95 %: t quantile below 30 values, normal otherwise."""
+    s = contrib.groupBy(by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("sd"))
+    t = F.get(F.array(*[F.lit(x) for x in T_975]), (F.col("n") - 2).cast("int"))
+    quantile = F.when(F.col("n") < 30, t).otherwise(F.lit(Z_975))
+    margin = quantile * F.col("sd") / F.sqrt(F.col("n").cast("double"))
+    return s.select(
+        by, "n", "mean", (F.col("mean") - margin).alias("lower"), (F.col("mean") + margin).alias("upper"),
+        margin.alias("margin"),
+    )
+
+
+def timing_summary(df: DataFrame, seconds: str, target: float = 2.0) -> DataFrame:
+    """Mean, median, p95, p99, min, max, std of a duration column, and whether the mean meets the target."""
+    q = exact_quantiles(df, [seconds], [0.5, 0.95, 0.99])
+    wide = q.agg(
+        *[F.max(F.when(F.col("share") == s, F.col("value"))).alias(n) for s, n in ((0.5, "median"), (0.95, "p95"), (0.99, "p99"))]
+    )
+    basic = df.agg(
+        F.struct(
+            F.avg(seconds).alias("mean"), F.stddev_pop(seconds).alias("std"), F.min(seconds).alias("min"), F.max(seconds).alias("max")
+        ).alias("b")
+    ).scalar()
+    return wide.withColumn("b", basic).select(
+        "b.mean", "median", "p95", "p99", "b.std", "b.min", "b.max",
+        (F.col("b.mean") <= target).alias("meets_target"), F.lit(float(target)).alias("target"),
+    )
