@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyward.functions import scoring as S
 from tallyward.functions.hashing import hash_unit
 from tallyward.operators.ordering import exact_quantiles, ordinals
+from tallyward.operators.profile import sample_rows
 from tallyward.operators.reports import top_per_row
 from tallyward.session import settle
 
@@ -80,7 +81,7 @@ def linear_contributions(df: DataFrame, weights: Mapping[str, float], row: str =
 
 def sampled_shapley(
     df: DataFrame, background: DataFrame, features: Sequence[str], score: ScoreFn, draws: int = 20,
-    row: str = "transaction_id", seed: int = 42,
+    row: str = "transaction_id", seed: int = 42, pool_size: int = 100,
 ) -> DataFrame:
     """Permutation-sampled Shapley values of any score expression: (row, feature, contribution).
 
@@ -88,10 +89,10 @@ def sampled_shapley(
     feature order, and switches features from background to row values in that
     order.  The contributions of a row sum to its score minus the mean score of
     its background rows.  Draws are averaged before the shuffle ends, so only
-    one record per row and feature leaves a task.  ``background`` is a bounded
-    reference sample and is broadcast.
+    one record per row and feature leaves a task.  At most ``pool_size`` background
+    rows are used, chosen by hash, so the pool fits in every task.
     """
-    pool = background.select(F.struct(*[F.col(f).cast("double").alias(f) for f in features]).alias("b"))
+    pool = sample_rows(background, pool_size, row, seed).select(F.struct(*[F.col(f).cast("double").alias(f) for f in features]).alias("b"))
     packed = pool.agg(F.array_sort(F.collect_list("b"))).scalar()
     rng = random.Random(seed)
     orders = [rng.sample(list(features), len(features)) for _ in range(draws)]
