@@ -128,24 +128,13 @@ def _nearest(asked: DataFrame, ref: DataFrame, k: int, pivots: int | None, block
     if n == 0:
         raise ValueError("empty reference set")
     wanted = pivots or min(MAX_PIVOTS, math.ceil(math.sqrt(n / block_rows)))
-    # at most MAX_PIVOTS vectors on the driver, whatever the size of the data
-    points = np.array([x["f"] for x in sample_rows(ref, wanted, "r", 7).collect()], dtype=float)
-    dims = points.shape[1]
-    ref = settle(ref.withColumn("a", _nearest_pivot(points)("f")).select("r", "f", "a.cell", "a.d"))
-
-    first = Window.partitionBy("cell").orderBy("d", "r")
-    small = ref.select("cell", "d", "r").withColumn("i", F.row_number().over(first)).where(F.col("i") <= k)
-    radius, nearest, size = np.full(len(points), -1.0), np.full((len(points), k), np.inf), {}
-    for x in ref.groupBy("cell").agg(F.max("d").alias("d"), F.count(F.lit(1)).alias("n")).collect():
-        radius[x["cell"]], size[x["cell"]] = x["d"], x["n"]
-    for x in small.select("cell", "i", "d").collect():
-        nearest[x["cell"], x["i"] - 1] = x["d"]
-
-    cells = _reachable_cells(points, radius, nearest, min(k, n))
-    asked = settle(
-        asked.withColumn("cell", F.explode(cells("f"))).select("r", "f", "cell")
-    )
-    load = {x["cell"]: x["n"] for x in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if wanted == 1:
+        # a reference of one block has nothing to prune
+        dims = len(ref.first()["f"])
+        ref, asked = ref.withColumn("cell", F.lit(0)), asked.withColumn("cell", F.lit(0))
+        size, load = {0: n}, {0: asked.count()}
+    else:
+        dims, ref, asked, size, load = _assign_cells(asked, ref, k, wanted, n)
 
     def blocks_of(counts: dict[int, int]):
         table = F.create_map(*[F.lit(v) for c, m in counts.items() for v in (c, math.ceil(m / block_rows))])
@@ -169,6 +158,24 @@ def _nearest(asked: DataFrame, ref: DataFrame, k: int, pivots: int | None, block
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
 
 
+def _assign_cells(asked: DataFrame, ref: DataFrame, k: int, wanted: int, n: int):
+    """Reference rows with their cell, query rows once per cell they must visit, and both row counts per cell."""
+    # at most MAX_PIVOTS vectors on the driver, whatever the size of the data
+    points = np.array([x["f"] for x in sample_rows(ref, wanted, "r", 7).collect()], dtype=float)
+    ref = settle(ref.withColumn("a", _nearest_pivot(points)("f")).select("r", "f", "a.cell", "a.d"))
+    first = Window.partitionBy("cell").orderBy("d", "r")
+    small = ref.select("cell", "d", "r").withColumn("i", F.row_number().over(first)).where(F.col("i") <= k)
+    radius, nearest, size = np.full(len(points), -1.0), np.full((len(points), k), np.inf), {}
+    for x in ref.groupBy("cell").agg(F.max("d").alias("d"), F.count(F.lit(1)).alias("n")).collect():
+        radius[x["cell"]], size[x["cell"]] = x["d"], x["n"]
+    for x in small.select("cell", "i", "d").collect():
+        nearest[x["cell"], x["i"] - 1] = x["d"]
+    cells = _reachable_cells(points, radius, nearest, min(k, n))
+    asked = settle(asked.withColumn("cell", F.explode(cells("f"))).select("r", "f", "cell"))
+    load = {x["cell"]: x["n"] for x in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return points.shape[1], ref, asked, size, load
+
+
 def local_outlier_factor(
     df: DataFrame, label: str = "label", k: int = 20, row: str = "row_id", features: str = "features",
     exclude_self: bool = False, pivots: int | None = None,

@@ -212,6 +212,8 @@ def rolling_extreme(
     backwards, a frame over slice extremes, and a running extreme forwards.  No
     task sees more than one slice of one key.
     """
+    # slices of a minute or more, so that a key has few of them
+    pieces = max(1, min(pieces, span_us // UNIT_US["min"]))
     while span_us % pieces:
         pieces -= 1
     width = span_us // pieces

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyward.operators.heavy import Heavy
 from tallyward.operators.merchants import merchant_stats
 from tallyward.plans import views as V
 from tallyward.plans.registry import query
@@ -69,6 +70,14 @@ def k2_batch(spark, sf):
     return On.suppress_repeats_batch(_keyed(V.tx(spark, sf)), "key", "timestamp", "transaction_id", _TTL)
 
 
+@query("K2_suppress_repeats_split_keys", _REPEAT_SQL)
+def k2_split(spark, sf):
+    """Every key treated as heavy: same result by pointer doubling."""
+    return On.suppress_repeats_batch(
+        _keyed(V.tx(spark, sf)), "key", "timestamp", "transaction_id", _TTL, Heavy(share=0.0, min_rows=0)
+    )
+
+
 @query("K2_suppress_repeats_stream", _REPEAT_SQL)
 def k2_stream(spark, sf):
     out = On.suppress_repeats_stream(_keyed(tx_stream(spark, sf)), "key", "timestamp", "transaction_id", _TTL)

@@ -18,8 +18,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallyward.functions import scoring as S
 from tallyward.operators.explain import top_factors
+from tallyward.operators.heavy import Heavy, heavy_keys
 from tallyward.operators.velocity import DEFAULT_WINDOWS, NO_PREVIOUS_S, window_us
-from tallyward.session import fresh_path
+from tallyward.session import fresh_path, settle
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Request limit per window, window length, repeat time-to-live.
@@ -185,33 +186,73 @@ def suppress_repeats_stream(
     )
 
 
-def suppress_repeats_batch(df: DataFrame, key_col: str, datetime_col: str, id_col: str, ttl_seconds: int = TTL_SECONDS) -> DataFrame:
+def suppress_repeats_batch(
+    df: DataFrame, key_col: str, datetime_col: str, id_col: str, ttl_seconds: int = TTL_SECONDS, rule: Heavy = Heavy(),
+) -> DataFrame:
     """The same marks for a finished table.
 
-    After a gap of a TTL or more the next event is always computed, so a key
-    splits into independent runs at its gaps; a run is walked in one task.
+    An ordinary key is walked in one task.  A heavy key is a chain in which each
+    computed event points to the first event at least a TTL later; the chain is
+    followed with pointer doubling, a logarithmic number of equi-joins.
     """
     ttl = ttl_seconds * 1_000_000
     rows = df.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(key_col).cast("string").alias("key"),
         F.unix_micros(datetime_col).alias("us"),
     )
-    w = Window.partitionBy("key").orderBy("us", "id")
-    start = F.when(F.col("us") - F.lag("us").over(w) < ttl, 0).otherwise(1)
-    runs = rows.withColumn("__s", start).withColumn("__run", F.sum("__s").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    heavy = settle(heavy_keys(rows, ["key"], rule))
+    schema = "id bigint, key string, us bigint, computed boolean"
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["us", "id"])
         keep, _ = fresh_marks(pdf["us"].to_numpy(), None, ttl)
         return pdf[["id", "key", "us"]].assign(computed=keep)
 
-    single = F.count(F.lit(1)).over(Window.partitionBy("key", "__run"))
-    sized = runs.withColumn("__n", single)
-    alone = sized.where(F.col("__n") == 1).select("id", "key", "us", F.lit(True).alias("computed"))
-    longer = sized.where(F.col("__n") > 1).groupBy("key", "__run").applyInPandas(
-        lambda pdf: walk(pdf), "id bigint, key string, us bigint, computed boolean"
+    light = rows.join(F.broadcast(heavy), "key", "left_anti").select("id", "key", "us")
+    out = light.groupBy("key").applyInPandas(walk, schema)
+    if heavy.isEmpty():
+        return out
+    busy = rows.join(F.broadcast(heavy), "key")
+    times = settle(busy.groupBy("key", "us").agg(F.min("id").alias("first_id")))
+    marks = _follow_chain(times.select("key", "us"), ttl).withColumn("__hit", F.lit(True))
+    done = busy.join(times.join(marks, ["key", "us"], "left"), ["key", "us"]).select(
+        "id", "key", "us", (F.coalesce("__hit", F.lit(False)) & (F.col("id") == F.col("first_id"))).alias("computed")
     )
-    return alone.unionByName(longer)
+    return out.unionByName(done)
+
+
+def _follow_chain(times: DataFrame, ttl: int) -> DataFrame:
+    """(key, us) of the events on the chain that starts at each key's first event."""
+    # the first event at or after us + ttl: look back from the slice ends, then to later slices
+    width = max(ttl, 1)
+    slot = F.floor(F.col("at") / F.lit(width))
+    points = times.select("key", F.col("us").alias("at"), F.lit(None).cast("bigint").alias("source")).unionByName(
+        times.select("key", (F.col("us") + ttl).alias("at"), F.col("us").alias("source"))
+    ).withColumn("slot", slot)
+    later = Window.partitionBy("key", "slot").orderBy(F.col("at").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    event = F.when(F.col("source").isNull(), F.col("at"))
+    inside = points.withColumn("hit", F.min(event).over(later)).where(F.col("source").isNotNull())
+    firsts = points.groupBy("key", "slot").agg(F.min(event).alias("lo"))
+    after = Window.partitionBy("key").orderBy(F.col("slot").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    nexts = firsts.withColumn("next_lo", F.min("lo").over(after)).select("key", "slot", "next_lo")
+    jump = inside.join(nexts, ["key", "slot"]).select(
+        "key", F.col("source").alias("us"), F.coalesce("hit", "next_lo").alias("to")
+    ).where(F.col("to").isNotNull())
+    levels = [settle(jump)]
+    while True:
+        a = levels[-1]
+        twice = settle(
+            a.join(a.select("key", F.col("us").alias("to"), F.col("to").alias("then")), ["key", "to"]).select(
+                "key", "us", F.col("then").alias("to")
+            )
+        )
+        if twice.isEmpty():
+            break
+        levels.append(twice)
+    reached = times.groupBy("key").agg(F.min("us").alias("us"))
+    for step in reversed(levels):
+        reached = settle(reached.unionByName(reached.join(step, ["key", "us"]).select("key", F.col("to").alias("us"))))
+    return reached
 
 
 def drop_repeated_keys(stream: DataFrame, key_col: str, datetime_col: str, ttl_seconds: int = TTL_SECONDS) -> DataFrame:
