@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tallyward.functions import scoring as S
 from tallyward.functions.hashing import hash_unit
 from tallyward.operators.ordering import exact_quantiles, ordinals
-from tallyward.operators.profile import sample_rows
+from tallyward.operators.profile import pair_corr, sample_rows
 from tallyward.operators.reports import top_per_row
 from tallyward.session import settle
 
@@ -211,11 +211,11 @@ def range_importance(pd: DataFrame, top_n: int = 10) -> DataFrame:
 
 
 def linearity(pd: DataFrame, threshold: float = 0.95) -> DataFrame:
-    """(feature, correlation, pdp_range, is_linear, recommendation)."""
+    """(feature, correlation, pdp_range, is_linear, recommendation); a flat curve has no correlation (NaN)."""
     c = pd.groupBy("feature").agg(
-        F.corr("value", "average").alias("correlation"), (F.max("average") - F.min("average")).alias("pdp_range")
+        F.coalesce(pair_corr("value", "average"), F.lit(float("nan"))).alias("correlation"), (F.max("average") - F.min("average")).alias("pdp_range")
     )
-    linear = F.abs("correlation") >= threshold
+    linear = (F.abs("correlation") >= threshold) & ~F.isnan("correlation")
     return c.select(
         "feature", "correlation", "pdp_range", linear.alias("is_linear"),
         F.when(linear, "Linear relationship")
@@ -387,3 +387,44 @@ def timing_summary(df: DataFrame, seconds: str, target: float = 2.0) -> DataFram
         "b.mean", "median", "p95", "p99", "b.std", "b.min", "b.max",
         (F.col("b.mean") <= target).alias("meets_target"), F.lit(float(target)).alias("target"),
     )
+
+
+def model_shapley(
+    df: DataFrame, background: DataFrame, features: Sequence[str], scorer: Callable[[DataFrame], DataFrame],
+    draws: int = 10, row: str = "transaction_id", seed: int = 42, pool_size: int = 100,
+) -> DataFrame:
+    """Permutation-sampled Shapley values of a fitted model: (row, feature, contribution).
+
+    ``scorer`` adds a ``score`` column to rows with a ``features`` array.  Each
+    draw unfolds into the steps from the background row to the row itself; a
+    step's score counts for the feature switched on before it and against the
+    one switched on next, and these signed scores are summed before the shuffle.
+    """
+    d = len(features)
+    names = F.array(*[F.lit(f) for f in features])
+    vector = lambda cols: F.array(*[c.cast("double") for c in cols])
+    pool = sample_rows(background, pool_size, row, seed).select(vector([F.col(f) for f in features]).alias("b"))
+    packed = pool.agg(F.array_sort(F.collect_list("b"))).scalar()
+    rng = random.Random(seed)
+    orders = F.array(*[F.array(*[F.lit(x) for x in rng.sample(range(d), d)]) for _ in range(draws)])
+    pick = F.pmod(F.xxhash64(F.col(row), F.col("__d"), F.lit(seed)), F.size("__pool")).cast("int")
+    steps = (
+        df.select(row, vector([F.col(f) for f in features]).alias("__x")).withColumn("__pool", packed)
+        .withColumn("__d", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+        .select(row, "__x", F.get("__pool", pick).alias("__b"), F.get(orders, F.col("__d")).alias("__o"))
+        .withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(d))))
+        .withColumn(
+            "features",
+            F.transform(
+                F.sequence(F.lit(0), F.lit(d - 1)),
+                lambda i: F.when(F.array_position("__o", i) <= F.col("__s"), F.get("__x", i)).otherwise(F.get("__b", i)),
+            ),
+        )
+        .select(row, "__o", "__s", "features")
+    )
+    gain = F.struct(F.get("__o", F.col("__s") - 1).alias("i"), F.col("score").alias("v"))
+    loss = F.struct(F.get("__o", F.col("__s")).alias("i"), (-F.col("score")).alias("v"))
+    signed = scorer(steps).select(row, F.inline(F.array(gain, loss))).where(F.col("i").isNotNull())
+    return signed.groupBy(row, F.get(names, F.col("i")).alias("feature")).agg(
+        (F.sum("v") / F.lit(float(draws))).alias("contribution")
+    )

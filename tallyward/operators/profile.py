@@ -60,10 +60,20 @@ def histogram(df: DataFrame, value: str, by: Sequence[str], bins: int = 50, log:
     )
 
 
+def pair_corr(a: str, b: str) -> Column:
+    """Pearson correlation over rows where both are present; null if either is constant.
+
+    ``F.corr`` divides by zero for a constant column under ANSI rules.
+    """
+    x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
+    y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(a, b, corr) for every ordered pair; nulls are dropped pair by pair; one pass."""
     pairs = list(combinations(columns, 2))
-    once = df.agg(*[F.corr(a, b).alias(f"__c{i}") for i, (a, b) in enumerate(pairs)])
+    once = df.agg(*[pair_corr(a, b).alias(f"__c{i}") for i, (a, b) in enumerate(pairs)])
     rows = [F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.lit(1.0).alias("corr")) for c in columns]
     for i, (a, b) in enumerate(pairs):
         for x, y in ((a, b), (b, a)):
@@ -72,7 +82,7 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def label_correlations(df: DataFrame, columns: Sequence[str], label: str, top_n: int = 10) -> DataFrame:
-    once = df.agg(*[F.corr(c, label).alias(c) for c in columns])
+    once = df.agg(*[pair_corr(c, label).alias(c) for c in columns])
     rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("corr")) for c in columns])
     return once.select(F.inline(rows)).orderBy(F.col("corr").desc_nulls_last(), "feature").limit(top_n)
 

@@ -98,8 +98,7 @@ def j5(spark, sf):
 
 @query("J6_surrogate_importance")
 def j6(spark, sf):
-    sample = P.sample_rows(V.scored(spark, sf), 100, "transaction_id")
-    return Ex.surrogate_importance(Ex.local_surrogate(sample, FEATS, steep, draws=1000, top_n=None))
+    return Ex.surrogate_importance(Ex.local_surrogate(V.scored(spark, sf), FEATS, steep, draws=100, top_n=None))
 
 
 _GRIDS = dict(

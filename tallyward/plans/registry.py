@@ -33,6 +33,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def load_all() -> None:
     """Import every module that registers queries."""
     from tallyward.plans import (  # noqa: F401
+        contract_queries,
         explain_queries,
         metric_queries,
         model_queries,
