@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,14 +72,46 @@ def pair_corr(a: str, b: str) -> Column:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(a, b, corr) for every ordered pair; nulls are dropped pair by pair; one pass."""
-    pairs = list(combinations(columns, 2))
-    once = df.agg(*[pair_corr(a, b).alias(f"__c{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.lit(1.0).alias("corr")) for c in columns]
-    for i, (a, b) in enumerate(pairs):
-        for x, y in ((a, b), (b, a)):
-            rows.append(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"__c{i}").alias("corr")))
-    return once.select(F.inline(F.array(*rows)))
+    """(a, b, corr) for every ordered pair; nulls are dropped pair by pair.
+
+    Each task multiplies its batches as matrices and hands on four sums per pair;
+    columns are centred first so that the sums keep their precision.
+    """
+    means = df.agg(F.struct(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).alias("m")).scalar()
+    centred = df.withColumn("__m", means).select(
+        *[(F.col(c).cast("double") - F.col(f"__m.m{i}")).alias(f"c{i}") for i, c in enumerate(columns)]
+    )
+    sums = centred.mapInArrow(_pair_sums(len(columns)), "i int, j int, n double, sx double, sxx double, sxy double")
+    pair = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sxx", "sxy")])
+    other = pair.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("sx").alias("sy"), F.col("sxx").alias("syy"))
+    n = F.col("n")
+    cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
+    vx = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n)
+    vy = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)
+    # rounding can leave a trace of variance in a constant column
+    solid = (vx > 1e-12 * F.col("sxx")) & (vy > 1e-12 * F.col("syy"))
+    corr = F.when(F.col("i") == F.col("j"), F.lit(1.0)).when(solid, cov / F.sqrt(vx * vy))
+    names = F.array(*[F.lit(c) for c in columns])
+    # columns x columns rows
+    return pair.join(other, ["i", "j"]).select(
+        F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), corr.alias("corr")
+    )
+
+
+def _pair_sums(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, k, k))
+        for b in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns])
+            seen = ~np.isnan(x)
+            x, seen = np.where(seen, x, 0.0), seen.astype(float)
+            total += np.stack([seen.T @ seen, x.T @ seen, (x * x).T @ seen, x.T @ x])
+        i, j = np.indices((k, k)).reshape(2, -1).astype("int32")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i), pa.array(j), *[pa.array(t.ravel()) for t in total]], names=["i", "j", "n", "sx", "sxx", "sxy"]
+        )
+
+    return run
 
 
 def label_correlations(df: DataFrame, columns: Sequence[str], label: str, top_n: int = 10) -> DataFrame:

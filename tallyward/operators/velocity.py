@@ -183,14 +183,10 @@ def rolling_stats(
             df, group_col, value_col, datetime_col, id_col, windows, sums, False, ties, scale, rule, chunk_us
         )
         out = done
-    for i, w in enumerate(windows):
-        for f in ("max", "min"):
-            if f in agg_funcs:
-                out = out.join(
-                    rolling_extreme(df, group_col, value_col, datetime_col, id_col, window_us(w), f, pieces)
-                    .withColumnRenamed("extreme", f"__{f}_{i}"),
-                    id_col, "left",
-                )
+    extremes = [f for f in ("max", "min") if f in agg_funcs]
+    for i, w in enumerate(windows if extremes else []):
+        part = rolling_extremes(df, group_col, value_col, datetime_col, id_col, window_us(w), extremes, pieces)
+        out = out.join(part.withColumnsRenamed({f: f"__{f}_{i}" for f in extremes}), id_col, "left")
     return out.select(
         id_col,
         *[
@@ -201,11 +197,11 @@ def rolling_stats(
     )
 
 
-def rolling_extreme(
+def rolling_extremes(
     df: DataFrame, group_col: str, value_col: str, datetime_col: str, id_col: str,
-    span_us: int, func: str = "max", pieces: int = 24,
+    span_us: int, funcs: Sequence[str] = ("max", "min"), pieces: int = 24,
 ) -> DataFrame:
-    """(id, extreme) over ``(t - w, t]`` with peers, from three parts.
+    """(id, max, min) over ``(t - w, t]`` with peers, from three parts.
 
     Time is cut into slices of ``w / pieces``.  A window is the end of its first
     slice, some whole slices, and the start of its last one: a running extreme
@@ -217,35 +213,47 @@ def rolling_extreme(
     while span_us % pieces:
         pieces -= 1
     width = span_us // pieces
-    best = F.max if func == "max" else F.min
-    pick = F.greatest if func == "max" else F.least
+    best = {"max": F.max, "min": F.min}
+    pick = {"max": F.greatest, "min": F.least}
     rows = df.where(F.col(group_col).isNotNull() & F.col(datetime_col).isNotNull()).select(
         F.col(id_col).alias("__id"),
         F.col(group_col).alias("__g"),
         F.unix_micros(F.col(datetime_col)).alias("at"),
         F.col(value_col).alias("__v"),
     )
-    slot = F.floor(F.col("at") / F.lit(width))
+    # a probe stands at t - w, in the first slice of the window of its row
+    moves = F.array(
+        F.struct(F.col("at").alias("at"), F.lit(False).alias("__probe")),
+        F.struct((F.col("at") - F.lit(span_us)).alias("at"), F.lit(True).alias("__probe")),
+    )
+    both = rows.select("__id", "__g", "__v", F.inline(moves)).withColumn("__slot", F.floor(F.col("at") / F.lit(width)))
     key = Window.partitionBy("__g", "__slot")
     forward = key.orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
-    head = rows.withColumn("__slot", slot).withColumn("__head", best("__v").over(forward))
-
-    probes = rows.select("__id", "__g", (F.col("at") - F.lit(span_us)).alias("at"), F.lit(None).cast("double").alias("__v"))
-    both = rows.withColumn("__id", F.lit(None).cast(rows.schema["__id"].dataType)).withColumn(
-        "__v", F.col("__v").cast("double")
-    ).unionByName(probes).withColumn("__slot", slot)
     backward = key.orderBy(F.col("at").desc()).rangeBetween(Window.unboundedPreceding, -1)
-    tail = both.withColumn("__tail", best("__v").over(backward)).where(F.col("__id").isNotNull()).select("__id", "__tail")
+    value = F.when(~F.col("__probe"), F.col("__v"))
+    marked = both.withColumns(
+        {f"__head_{f}": best[f](value).over(forward) for f in funcs} | {f"__tail_{f}": best[f](value).over(backward) for f in funcs}
+    )
+    head = marked.where(~F.col("__probe")).select("__id", "__g", "__slot", *[f"__head_{f}" for f in funcs])
+    tail = marked.where(F.col("__probe")).select("__id", *[f"__tail_{f}" for f in funcs])
 
-    slices = head.groupBy("__g", "__slot").agg(best("__v").alias("__whole"))
+    slot = F.floor(F.col("at") / F.lit(width)).alias("__slot")
+    slices = rows.groupBy("__g", slot).agg(*[best[f]("__v").alias(f"__whole_{f}") for f in funcs])
     between = Window.partitionBy("__g").orderBy("__slot").rangeBetween(-(pieces - 1), -1)
-    middle = slices.withColumn("__middle", best("__whole").over(between)) if pieces > 1 else slices.withColumn(
-        "__middle", F.lit(None).cast("double")
+    middle = slices.select(
+        "__g", "__slot",
+        *[
+            (best[f](f"__whole_{f}").over(between) if pieces > 1 else F.lit(None).cast("double")).alias(f"__middle_{f}")
+            for f in funcs
+        ],
     )
     return (
-        head.join(middle.select("__g", "__slot", "__middle"), ["__g", "__slot"])
+        head.join(middle, ["__g", "__slot"])
         .join(tail, "__id")
-        .select(F.col("__id").alias(id_col), pick("__head", "__middle", "__tail").alias("extreme"))
+        .select(
+            F.col("__id").alias(id_col),
+            *[pick[f](f"__head_{f}", f"__middle_{f}", f"__tail_{f}").alias(f) for f in funcs],
+        )
     )
 
 

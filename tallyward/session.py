@@ -39,12 +39,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder so that several readers do not recompute it.
+    """Write ``df`` once to the shared folder and read it back.
 
-    A reliable checkpoint survives lost executors, unlike executor-local storage.
+    Several readers then do not recompute it, the lineage is cut, and the table
+    survives lost executors.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = fresh_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

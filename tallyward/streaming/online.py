@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -191,7 +192,8 @@ def suppress_repeats_batch(
 ) -> DataFrame:
     """The same marks for a finished table.
 
-    An ordinary key is walked in one task.  A heavy key is a chain in which each
+    An ordinary key is walked in one pass over its sorted rows, which are
+    streamed, not held.  A heavy key is a chain in which each
     computed event points to the first event at least a TTL later; the chain is
     followed with pointer doubling, a logarithmic number of equi-joins.
     """
@@ -201,15 +203,9 @@ def suppress_repeats_batch(
         F.unix_micros(datetime_col).alias("us"),
     )
     heavy = settle(heavy_keys(rows, ["key"], rule))
-    schema = "id bigint, key string, us bigint, computed boolean"
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["us", "id"])
-        keep, _ = fresh_marks(pdf["us"].to_numpy(), None, ttl)
-        return pdf[["id", "key", "us"]].assign(computed=keep)
-
     light = rows.join(F.broadcast(heavy), "key", "left_anti").select("id", "key", "us")
-    out = light.groupBy("key").applyInPandas(walk, schema)
+    ordered = light.repartition("key").sortWithinPartitions("key", "us", "id")
+    out = ordered.mapInArrow(_walk(ttl), "id bigint, key string, us bigint, computed boolean")
     if heavy.isEmpty():
         return out
     busy = rows.join(F.broadcast(heavy), "key")
@@ -221,6 +217,21 @@ def suppress_repeats_batch(
     return out.unionByName(done)
 
 
+def _walk(ttl: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, last = None, 0
+        for b in batches:
+            marks = []
+            for k, us in zip(b.column("key").to_pylist(), b.column("us").to_pylist()):
+                fresh = k != key or us >= last + ttl
+                if fresh:
+                    key, last = k, us
+                marks.append(fresh)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(marks, pa.bool_())], names=["id", "key", "us", "computed"])
+
+    return run
+
+
 def _follow_chain(times: DataFrame, ttl: int) -> DataFrame:
     """(key, us) of the events on the chain that starts at each key's first event."""
     # the first event at or after us + ttl: look back from the slice ends, then to later slices
