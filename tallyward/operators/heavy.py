@@ -28,12 +28,16 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], rule: Heavy = Heavy()) -> Dat
     return counts.where(F.col("__n") > bar).select(*keys)
 
 
-def with_chunk(
-    df: DataFrame, keys: Sequence[str], at: Column, width: int, rule: Heavy = Heavy(), out: str = "__chunk",
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """Add a chunk number: the time slice for heavy keys, null for all others."""
-    heavy = heavy_keys(counted if counted is not None else df, keys, rule).withColumn("__heavy", F.lit(True))
-    return df.join(F.broadcast(heavy), list(keys), "left").withColumn(
-        out, F.when(F.col("__heavy"), F.floor(at / F.lit(width)))
-    ).drop("__heavy")
+def split_heavy(df: DataFrame, keys: Sequence[str], rule: Heavy = Heavy()) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary keys, rows of heavy keys).
+
+    Rows without a key count as ordinary.  With no heavy key, adaptive execution
+    finds the second part empty and skips its scan.
+    """
+    heavy = F.broadcast(heavy_keys(df, keys, rule))
+    return df.join(heavy, list(keys), "left_anti"), df.join(heavy, list(keys))
+
+
+def chunk_of(at: Column, width: int) -> Column:
+    """Time slice number."""
+    return F.floor(at / F.lit(width))

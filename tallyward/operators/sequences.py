@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.operators.heavy import Heavy, with_chunk
+from tallyward.operators.heavy import Heavy, chunk_of, split_heavy
 from tallyward.operators.history import last_n
 from tallyward.operators.velocity import UNIT_US
 
@@ -31,20 +31,21 @@ def user_sequences(
     ``length`` counts the real steps.  Users with fewer than ``min_length`` rows
     give no sequence.
     """
-    rows = df.select(
+    rows = df.where(F.col(user_col).isNotNull() & F.col(datetime_col).isNotNull()).select(
         F.col(id_col).alias("__id"), F.col(user_col).alias("__u"), F.unix_micros(datetime_col).alias("__us"),
         F.col(label_col).alias("__label"), _step(features).alias("__step"),
     )
-    rows = with_chunk(rows, ["__u"], F.col("__us"), chunk_us, rule).withColumn("__lent", F.lit(False))
+    light, heavy = split_heavy(rows, ["__u"], rule)
     order = ["__us", "__id"]
 
-    # heavy users only: the last rows of every chunk, and for each chunk the ones before it
+    def windowed(part: DataFrame, keys: list[str]) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(max_length - 1), 0)
+        return part.withColumn("__seq", F.collect_list("__step").over(w)).where(F.size("__seq") >= min_length)
+
+    # heavy users: the last rows of every chunk, and for each chunk the ones before it
+    chunked = heavy.withColumn("__chunk", chunk_of(F.col("__us"), chunk_us))
     recent = Window.partitionBy("__u", "__chunk").orderBy(*[F.col(c).desc() for c in order])
-    tails = (
-        rows.where(F.col("__chunk").isNotNull())
-        .withColumn("__rn", F.row_number().over(recent))
-        .where(F.col("__rn") <= max_length)
-    )
+    tails = chunked.withColumn("__rn", F.row_number().over(recent)).where(F.col("__rn") <= max_length)
     along = Window.partitionBy("__u").orderBy(*order)
     item = F.struct("__id", "__us", "__label", "__step")
     lent = (
@@ -54,14 +55,9 @@ def user_sequences(
         .select("__u", "__chunk", F.inline("__before"))
         .withColumn("__lent", F.lit(True))
     )
-    window = (
-        Window.partitionBy("__u", "__chunk").orderBy(*order).rowsBetween(-(max_length - 1), 0)
-    )
-    seqs = (
-        rows.unionByName(lent)
-        .withColumn("__seq", F.collect_list("__step").over(window))
-        .where(~F.col("__lent") & (F.size("__seq") >= min_length))
-    )
+    split = windowed(chunked.withColumn("__lent", F.lit(False)).unionByName(lent), ["__u", "__chunk"]).where(~F.col("__lent"))
+    cols = ["__id", "__u", "__label", "__seq"]
+    seqs = windowed(light, ["__u"]).select(*cols).unionByName(split.select(*cols))
     zero = F.array_repeat(F.array(*[F.lit(0.0)] * len(features)), max_length - F.size("__seq"))
     return seqs.select(
         F.col("__id").alias(id_col), F.col("__u").alias(user_col), F.col("__label").alias("label"),

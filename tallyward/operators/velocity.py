@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.operators.heavy import Heavy, with_chunk
+from tallyward.operators.heavy import Heavy, chunk_of, split_heavy
 
 # Unit -> microseconds, default windows, features and first-row gap.
 UNIT_US = {"s": 1_000_000, "min": 60_000_000, "h": 3_600_000_000, "d": 86_400_000_000}
@@ -72,10 +72,11 @@ def _windowed(
     spans = [window_us(w) for w in windows]
     moves = [F.struct(F.col("__us").alias("at"), F.lit(-1).alias("w"))]
     moves += [F.struct((F.col("__us") + F.lit(s)).alias("at"), F.lit(i).alias("w")) for i, s in enumerate(spans)]
-    events = rows.select(
-        F.col("__g"), F.col("__id"), F.col("__v"), F.inline(F.array(*moves))
-    ).withColumn("__id", F.when(F.col("w") == -1, F.col("__id")))
-    events = with_chunk(events, ["__g"], F.col("at"), chunk_us, rule, counted=rows)
+
+    def events_of(part: DataFrame) -> DataFrame:
+        return part.select("__g", "__id", "__v", F.inline(F.array(*moves))).withColumn(
+            "__id", F.when(F.col("w") == -1, F.col("__id"))
+        )
 
     need_std = "std" in funcs
     present = F.col("__v").isNotNull()
@@ -87,31 +88,44 @@ def _windowed(
         totals[f"s{i}"] = F.when(present, sign * F.col("__v")).otherwise(F.lit(0)).cast("bigint")
         if need_std:
             totals[f"q{i}"] = F.when(present & (sign != 0), sign * square.cast("decimal(27,0)"))
-    key = Window.partitionBy("__g", "__chunk")
-    step = [F.col("at"), F.when(F.col("w") == -1, 1).otherwise(0), F.col("__id")]
-    if ties == "row":
-        upto = key.orderBy(*step).rowsBetween(Window.unboundedPreceding, 0)
-    else:
-        upto = key.orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
     arrivals = F.when(F.col("w") == -1, F.col("at"))
-    cols = {n: F.sum(e).over(upto) for n, e in totals.items()}
-    if gap:
-        earlier = key.orderBy(*step).rowsBetween(Window.unboundedPreceding, -1)
-        cols["prev"] = F.max(arrivals).over(earlier)
-    local = events.withColumns(cols).where(F.col("w") == -1)
 
+    def windowed(events: DataFrame, keys: list[str]) -> DataFrame:
+        key = Window.partitionBy(*keys)
+        step = [F.col("at"), F.when(F.col("w") == -1, 1).otherwise(0), F.col("__id")]
+        if ties == "row":
+            upto = key.orderBy(*step).rowsBetween(Window.unboundedPreceding, 0)
+        else:
+            upto = key.orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+        if gap:
+            # the finer order first: its sort also serves the window by time alone
+            earlier = key.orderBy(*step).rowsBetween(Window.unboundedPreceding, -1)
+            events = events.withColumn("prev", F.max(arrivals).over(earlier))
+        return events.withColumns({n: F.sum(e).over(upto) for n, e in totals.items()}).where(F.col("w") == -1)
+
+    names = [*totals, *(["prev"] if gap else [])]
+    light, heavy = split_heavy(rows, ["__g"], rule)
+    # rows are shuffled once and only then unfolded into events
+    plain = windowed(events_of(light.repartition("__g")), ["__g"]).select("__id", "at", *names)
+
+    chunked = events_of(heavy).withColumn("__chunk", chunk_of(F.col("at"), chunk_us))
     before = Window.partitionBy("__g").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     sums = [F.sum(e).alias(n) for n, e in totals.items()] + ([F.max(arrivals).alias("prev")] if gap else [])
-    chunks = events.where(F.col("__chunk").isNotNull()).groupBy("__g", "__chunk").agg(*sums)
-    carry = chunks.select(
+    carry = chunked.groupBy("__g", "__chunk").agg(*sums).select(
         "__g", "__chunk",
         *[F.sum(n).over(before).alias(f"c_{n}") for n in totals],
         *([F.max("prev").over(before).alias("c_prev")] if gap else []),
     )
-    full = local.join(carry, ["__g", "__chunk"], "left")
+    zero = F.lit(0)
+    parts = windowed(chunked, ["__g", "__chunk"]).join(carry, ["__g", "__chunk"]).select(
+        "__id", "at",
+        *[(F.coalesce(F.col(n), zero) + F.coalesce(F.col(f"c_{n}"), zero)).alias(n) for n in totals],
+        *([F.coalesce("prev", "c_prev").alias("prev")] if gap else []),
+    )
+    full = plain.unionByName(parts)
 
     def total(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0)) + F.coalesce(F.col(f"c_{name}"), F.lit(0))
+        return F.coalesce(F.col(name), zero)
 
     out = [F.col("__id").alias(row_id)]
     for i, _ in enumerate(spans):
@@ -119,8 +133,7 @@ def _windowed(
             q = total(f"q{i}") if need_std else None
             out.append(_finish(f, total(f"n{i}"), total(f"s{i}"), q, unit).alias(f"__{f}_{i}"))
     if gap:
-        prev = F.coalesce(F.col("prev"), F.col("c_prev"))
-        out.append(F.coalesce((F.col("at") - prev) / F.lit(1e6), F.lit(NO_PREVIOUS_S)).alias("__gap"))
+        out.append(F.coalesce((F.col("at") - F.col("prev")) / F.lit(1e6), F.lit(NO_PREVIOUS_S)).alias("__gap"))
     return full.select(*out)
 
 
