@@ -31,21 +31,33 @@ def stack_rows(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def cross_validate(
-    df: DataFrame, fit: Callable, technique: str, key: str = "row_id", label: str = "label", folds: int = 5,
-    resample: Resampler | None = None,
+def fold_scores(
+    rows: DataFrame, fit: Callable, technique: str, folds: int, label: str = "label", resample: Resampler | None = None
 ) -> DataFrame:
-    """(technique, fold, metric, value).  Only the training folds are resampled."""
-    rows = settle(stratified_folds(df, key, label, folds))
+    """(technique, fold, label, score) of held-out rows.  Only the training folds are resampled."""
     parts = []
     for i in range(folds):
         train, held = rows.where(F.col("fold") != i).drop("fold"), rows.where(F.col("fold") == i)
         if resample is not None:
             train = settle(resample(train))
         _, scorer = fit(train)
-        m = Cu.all_metrics(scorer(held), label, "score", 0.5)
-        parts.append(m.select(F.lit(technique).alias("technique"), F.lit(i).alias("fold"), *METRICS))
-    return stack_rows(parts).unpivot(["technique", "fold"], METRICS, "metric", "value")
+        parts.append(scorer(held).select(F.lit(technique).alias("technique"), "fold", F.col(label).alias("label"), "score"))
+    return stack_rows(parts)
+
+
+def fold_metrics(scores: DataFrame) -> DataFrame:
+    """(technique, fold, metric, value): all folds of all techniques in one pass."""
+    m = Cu.all_metrics(scores, "label", "score", 0.5, ["technique", "fold"])
+    return m.select("technique", "fold", *METRICS).unpivot(["technique", "fold"], METRICS, "metric", "value")
+
+
+def cross_validate(
+    df: DataFrame, fit: Callable, technique: str, key: str = "row_id", label: str = "label", folds: int = 5,
+    resample: Resampler | None = None,
+) -> DataFrame:
+    """(technique, fold, metric, value) by stratified k-fold."""
+    rows = settle(stratified_folds(df, key, label, folds))
+    return fold_metrics(fold_scores(rows, fit, technique, folds, label, resample))
 
 
 def imbalance_techniques(width: int, ratio: float = 0.5) -> dict[str, tuple[Callable, Resampler | None]]:
@@ -69,12 +81,10 @@ def imbalance_benchmark(
 ) -> DataFrame:
     """(technique, fold, metric, value) over all techniques."""
     table = imbalance_techniques(width, ratio)
-    return stack_rows(
-        [
-            cross_validate(df, fit, name, folds=folds, resample=resample)
-            for name, (fit, resample) in table.items()
-            if techniques is None or name in techniques
-        ]
+    rows = settle(stratified_folds(df, "row_id", "label", folds))
+    chosen = {n: t for n, t in table.items() if techniques is None or n in techniques}
+    return fold_metrics(
+        stack_rows([fold_scores(rows, fit, name, folds, resample=resample) for name, (fit, resample) in chosen.items()])
     )
 
 

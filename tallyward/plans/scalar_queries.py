@@ -42,13 +42,13 @@ def hour_of_timestamp(spark, sf):
 
 @query(
     "B5_lenient_timestamp",
-    """SELECT o_orderkey AS transaction_id, CASE WHEN o_orderstatus='P' THEN NULL ELSE o_orderdate END AS parsed FROM orders""",
+    """SELECT o_orderkey AS transaction_id, CASE WHEN o_orderstatus='P' THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS parsed FROM orders""",
 )
 def lenient_timestamp(spark, sf):
     day = F.date_format(F.col("o_orderdate").cast("timestamp"), "dd/MM/yyyy")
     text = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("bad "), day)).otherwise(day)
     return V.table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("transaction_id"), C.parse_timestamp(text, "dd/MM/yyyy").alias("parsed")
+        F.col("o_orderkey").alias("transaction_id"), F.date_format(C.parse_timestamp(text, "dd/MM/yyyy"), "yyyy-MM-dd HH:mm:ss").alias("parsed")
     )
 
 

@@ -125,8 +125,8 @@ def i10(spark, sf):
 
 _RARE = "SELECT * FROM vec WHERE label=1"
 _VN = "SELECT count(*) FILTER (label=1) AS n1, count(*) FILTER (label=0) AS n0, CAST(floor(0.5::DOUBLE*count(*) FILTER (label=0)) AS BIGINT)-count(*) FILTER (label=1) AS g FROM vec"
-_MIX = """SELECT CAST(draw AS VARCHAR) AS draw, base, d.neighbour, list_transform(range(1,len(x.features)+1), lambda i: round(x.features[i]+u*(y.features[i]-x.features[i]),6)) AS features
- FROM d JOIN rare x ON x.row_id=base JOIN rare y ON y.row_id=d.neighbour"""
+_MIX = """SELECT CAST(draw AS VARCHAR) AS draw, base, d.neighbour, CAST(i-1 AS INTEGER) AS dim, round(x.features[i]+u*(y.features[i]-x.features[i]),6) AS value
+ FROM (SELECT *, unnest(range(1,65)) AS i FROM d) d JOIN rare x ON x.row_id=base JOIN rare y ON y.row_id=d.neighbour"""
 
 
 @query(
@@ -145,9 +145,8 @@ def h7(spark, sf):
 
 def _show(new):
     return new.select(
-        F.col("draw").cast("string").alias("draw"), "base", "neighbour",
-        F.transform("features", lambda v: F.round(v, 6)).alias("features"),
-    )
+        F.col("draw").cast("string").alias("draw"), "base", "neighbour", F.posexplode("features").alias("dim", "value")
+    ).withColumn("value", F.round("value", 6))
 
 
 @query(

@@ -9,7 +9,7 @@ from tallyward.operators.merchants import merchant_stats
 from tallyward.plans import views as V
 from tallyward.plans.registry import query
 from tallyward.plans.views import with_views
-from tallyward.plans.window_queries import US, _vel_sql
+from tallyward.plans.window_queries import _FLAT, US, _vel_sql, flat
 from tallyward.streaming import online as On
 
 
@@ -96,11 +96,14 @@ _SEQ = """SELECT transaction_id, user_id, list([amount, CAST(hour_of_day AS DOUB
 
 @query(
     "K4_sequence_stream",
-    with_views("tx", q=_SEQ) + """SELECT transaction_id, user_id, CAST(len(s) AS INTEGER) AS length,
-    list_concat(list_transform(range(10-len(s)), lambda i: [0.0::DOUBLE,0.0::DOUBLE]), s) AS sequence FROM q WHERE len(s)>=3""",
+    with_views(
+        "tx", q=_SEQ,
+        z="""SELECT transaction_id, user_id, CAST(len(s) AS INTEGER) AS length,
+        list_concat(list_transform(range(10-len(s)), lambda i: [0.0::DOUBLE,0.0::DOUBLE]), s) AS sequence FROM q WHERE len(s)>=3""",
+    ) + _FLAT.format(t="z"),
 )
 def k4(spark, sf):
-    return On.drain(On.sequence_stream(tx_stream(spark, sf), 10, ["amount", "hour_of_day"]), "sequences")
+    return flat(On.drain(On.sequence_stream(tx_stream(spark, sf), 10, ["amount", "hour_of_day"]), "sequences"))
 
 
 _REQ = """SELECT transaction_id, amount, rate AS merchant_risk, CAST(hour_of_day AS DOUBLE) AS velocity_1h, amount % 250.0::DOUBLE AS distance_from_home FROM tx JOIN merch USING (merchant_id)"""

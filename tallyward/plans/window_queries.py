@@ -182,36 +182,49 @@ _SEQ = """SELECT transaction_id, user_id, is_fraud AS label, list([amount, CAST(
  FROM {view} WINDOW w AS (PARTITION BY user_id ORDER BY timestamp, transaction_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"""
 _SEQ_OUT = """SELECT transaction_id, user_id, label, CAST(len(s) AS INTEGER) AS length,
  list_concat(list_transform(range(10-len(s)), lambda i: [0.0::DOUBLE,0.0::DOUBLE]), s) AS sequence FROM q WHERE len(s)>=3"""
-_SEQ_SQL = with_views("tx", q=_SEQ.format(view="tx")) + _SEQ_OUT
 SEQ = ["amount", "hour_of_day"]
+# one row per step, so that only plain values are compared
+_FLAT = "SELECT * EXCLUDE (sequence, i), CAST(i-1 AS INTEGER) AS step, sequence[i][1] AS amount, sequence[i][2] AS hour_of_day FROM (SELECT *, unnest(range(1,11)) AS i FROM {t})"
+_SEQ_SQL = with_views("tx", q=_SEQ.format(view="tx"), z=_SEQ_OUT) + _FLAT.format(t="z")
+
+
+def flat(seqs):
+    others = [c for c in seqs.columns if c != "sequence"]
+    steps = seqs.select(*others, F.posexplode("sequence").alias("step", "s"))
+    return steps.select(*others, "step", F.col("s")[0].alias("amount"), F.col("s")[1].alias("hour_of_day"))
 
 
 @query("F8_user_sequences", _SEQ_SQL)
 def f8(spark, sf):
-    return Sq.user_sequences(V.tx(spark, sf), 10, SEQ)
+    return flat(Sq.user_sequences(V.tx(spark, sf), 10, SEQ))
 
 
 @query("F8_user_sequences_split_users", _SEQ_SQL)
 def f8_split(spark, sf):
-    return Sq.user_sequences(V.tx(spark, sf), 10, SEQ, rule=SPLIT_ALL, chunk_us=86_400_000_000)
+    return flat(Sq.user_sequences(V.tx(spark, sf), 10, SEQ, rule=SPLIT_ALL, chunk_us=86_400_000_000))
 
 
 @query(
     "F9_latest_sequence",
-    with_views("tx", q=_SEQ.format(view="tx"), z=_SEQ_OUT, r=_RECENT)
-    + "SELECT z.user_id, transaction_id, length, sequence FROM z JOIN (SELECT transaction_id FROM r WHERE rn=1) USING (transaction_id)",
+    with_views(
+        "tx", q=_SEQ.format(view="tx"), z=_SEQ_OUT, r=_RECENT,
+        y="SELECT z.user_id, transaction_id, length, sequence FROM z JOIN (SELECT transaction_id FROM r WHERE rn=1) USING (transaction_id)",
+    ) + _FLAT.format(t="y"),
 )
 def f9(spark, sf):
-    return Sq.latest_sequences(V.tx(spark, sf), 10, SEQ)
+    return flat(Sq.latest_sequences(V.tx(spark, sf), 10, SEQ))
 
 
 @query(
     "F10_last_step",
     with_views("tx", q=_SEQ.format(view="tx"), z=_SEQ_OUT)
-    + "SELECT transaction_id, user_id, label, length, sequence[10] AS features FROM z",
+    + "SELECT transaction_id, user_id, label, length, sequence[10][1] AS amount, sequence[10][2] AS hour_of_day FROM z",
 )
 def f10(spark, sf):
-    return Sq.last_step(Sq.user_sequences(V.tx(spark, sf), 10, SEQ))
+    last = Sq.last_step(Sq.user_sequences(V.tx(spark, sf), 10, SEQ))
+    return last.select(
+        "transaction_id", "user_id", "label", "length", F.col("features")[0].alias("amount"), F.col("features")[1].alias("hour_of_day")
+    )
 
 
 @query(
@@ -220,16 +233,15 @@ def f10(spark, sf):
         "tx", q=_SEQ.format(view="tx"), z=_SEQ_OUT,
         m="""SELECT avg(s[1]) AS m1, stddev_pop(s[1]) AS s1, avg(s[2]) AS m2, stddev_pop(s[2]) AS s2
         FROM (SELECT unnest(sequence) AS s FROM z WHERE transaction_id<5000)""",
-    )
-    + """SELECT transaction_id, list_transform(sequence, lambda s: [round((s[1]-m1)/s1,6), round((s[2]-m2)/s2,6)]) AS sequence FROM z, m""",
+        y="""SELECT transaction_id, list_transform(sequence, lambda s: [round((s[1]-m1)/s1,6), round((s[2]-m2)/s2,6)]) AS sequence FROM z, m""",
+    ) + _FLAT.format(t="y"),
 )
 def f11(spark, sf):
     seqs = Sq.user_sequences(V.tx(spark, sf), 10, SEQ)
     train = seqs.where(F.col("transaction_id") < 5000)  # the earlier rows are the training part
     done = Sq.standardise_sequences(seqs, Sq.step_moments(train))
-    return done.select(
-        "transaction_id", F.transform("sequence", lambda s: F.transform(s, lambda v: F.round(v, 6))).alias("sequence")
-    )
+    steps = flat(done.select("transaction_id", "sequence"))
+    return steps.withColumns({c: F.round(c, 6) for c in SEQ})
 
 
 @query(
