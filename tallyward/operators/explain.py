@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions import scoring as S
@@ -49,6 +49,10 @@ def select_features(importance: DataFrame, n: int = 20, threshold: float | None
     return importance.orderBy(F.col("importance").desc(), "feature").limit(n)
 
 
+# Recommendation texts of the linearity check.
+LINEAR = "Linear relationship"
+NON_LINEAR = "Non-linear relationship - may require careful interpretation"
+
 ScoreFn = Callable[[Mapping[str, Column]], Column]
 
 
@@ -138,20 +142,36 @@ def permutation_effect(
 
 # partial dependence
 
-def feature_grid(
-    df: DataFrame, feature: str, points: int = 100, low: float = 0.05, high: float = 0.95, percentiles: bool = False
-) -> list[float]:
-    """Grid values: the distinct values if fewer than ``points``, else evenly between two
-    percentiles (or at evenly spaced percentiles).  At most ``points`` numbers reach the driver."""
-    few = df.select(F.col(feature).cast("double").alias("v")).where(F.col("v").isNotNull()).distinct().limit(points).collect()
-    if len(few) < points:
-        return sorted(r["v"] for r in few)
-    if percentiles:
-        shares = [i / (points - 1) for i in range(points)]
-        return sorted({r["value"] for r in exact_quantiles(df, [feature], shares).collect()})
-    ends = {r["share"]: r["value"] for r in exact_quantiles(df, [feature], [low, high]).collect()}
-    a, b = ends[low], ends[high]
-    return [a + (b - a) * i / (points - 1) for i in range(points)]
+def feature_grids(
+    df: DataFrame, features: Sequence[str], points: int = 100, low: float = 0.05, high: float = 0.95,
+    percentiles: bool = False,
+) -> dict[str, list[float]]:
+    """Grid values per feature: the distinct values if fewer than ``points``, else evenly between
+    two percentiles (or at evenly spaced percentiles).
+
+    At most ``points`` numbers per feature reach the driver.
+    """
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features])
+    values = df.select(F.inline(pairs)).where(F.col("v").isNotNull()).distinct()
+    first = Window.partitionBy("feature").orderBy("v")
+    few = values.withColumn("i", F.row_number().over(first)).where(F.col("i") <= points)
+    grids: dict[str, list[float]] = {f: [] for f in features}
+    for r in few.collect():
+        grids[r["feature"]].append(r["v"])
+    many = [f for f in features if len(grids[f]) >= points]
+    if many:
+        shares = [i / (points - 1) for i in range(points)] if percentiles else [low, high]
+        found: dict[str, dict[float, float]] = {f: {} for f in many}
+        for r in exact_quantiles(df, many, shares).collect():
+            found[r["column"]][r["share"]] = r["value"]
+        for f in many:
+            a, b = found[f][shares[0]], found[f][shares[-1]]
+            grids[f] = list(found[f].values()) if percentiles else [a + (b - a) * i / (points - 1) for i in range(points)]
+    return {f: sorted(set(g)) for f, g in grids.items()}
+
+
+def feature_grid(df: DataFrame, feature: str, points: int = 100, **options) -> list[float]:
+    return feature_grids(df, [feature], points, **options)[feature]
 
 
 def _on_grid(df: DataFrame, grids: Mapping[str, Sequence[float]], features: Sequence[str], score: ScoreFn, keep: Sequence[str] = ()) -> DataFrame:
@@ -218,8 +238,7 @@ def linearity(pd: DataFrame, threshold: float = 0.95) -> DataFrame:
     linear = (F.abs("correlation") >= threshold) & ~F.isnan("correlation")
     return c.select(
         "feature", "correlation", "pdp_range", linear.alias("is_linear"),
-        F.when(linear, "Linear relationship")
-        .otherwise("Non-linear relationship - may require careful interpretation").alias("recommendation"),
+        F.when(linear, LINEAR).otherwise(NON_LINEAR).alias("recommendation"),
     )
 
 

@@ -116,8 +116,7 @@ _GRIDS = dict(
 
 
 def grids(spark, sf):
-    s = V.scored(spark, sf)
-    return {f: Ex.feature_grid(s, f) for f in FEATS}
+    return Ex.feature_grids(V.scored(spark, sf), FEATS)
 
 
 def dependence(spark, sf):

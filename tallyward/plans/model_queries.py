@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyward.functions import scoring as S
-from tallyward.operators import curves as Cu
 from tallyward.operators import detectors as De
 from tallyward.operators import ensemble as En
 from tallyward.operators import models as Mo

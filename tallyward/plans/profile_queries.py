@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyward.functions.hashing import hash_unit
 from tallyward.operators import balance as B
 from tallyward.operators import profile as P
 from tallyward.operators import scaling as Sc
