@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -26,6 +27,11 @@ MERCHANT_RISK_EDGES = [0.0, 0.01, 0.05, 1.0]
 MERCHANT_RISK_LABELS = ["Low", "Medium", "High"]
 
 
+def literal_rows(rows: Sequence[dict], schema: str) -> Column:
+    """A constant array of structs; one literal however many rows (the optimizer folds it)."""
+    return F.from_json(F.lit(json.dumps(list(rows))), f"array<struct<{schema}>>")
+
+
 def hour_from_elapsed(seconds: Column) -> Column:
     """Hour of day from seconds since the first row."""
     return F.pmod(F.floor(seconds / 3600.0), F.lit(24)).cast("int")

@@ -14,6 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.functions.columns import literal_rows
 from tallyward.operators.metrics import f1, ratio
 from tallyward.operators.ordering import exact_quantiles, running_totals
 from tallyward.session import settle
@@ -121,7 +122,7 @@ def grid_threshold(
         part = F.col("cells") if at_least is None else F.filter("cells", lambda x: x["cell"] >= at_least)
         return F.aggregate(part, F.lit(0).cast("bigint"), lambda a, x: a + x[field])
 
-    items = F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(g).alias("threshold")) for i, g in enumerate(grid)])
+    items = literal_rows([{"i": i + 1, "threshold": g} for i, g in enumerate(grid)], "i: int, threshold: double")
     rows = packed.select("cells", F.inline(items))
     tp, hits = total("pos", F.col("i")), total("n", F.col("i"))
     p, n = total("pos", None), total("n", None)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions import scoring as S
+from tallyward.functions.columns import literal_rows
 from tallyward.functions.hashing import hash_unit
 from tallyward.operators.ordering import exact_quantiles, ordinals
 from tallyward.operators.profile import pair_corr, sample_rows
@@ -180,12 +181,9 @@ def _on_grid(df: DataFrame, grids: Mapping[str, Sequence[float]], features: Sequ
     The grid is a literal array that is unfolded inside the scan stage, so there
     is no join and an average right after it shuffles only one record per point.
     """
-    items = F.array(
-        *[
-            F.struct(F.lit(f).alias("feature"), F.lit(i).alias("point"), F.lit(float(v)).alias("value"))
-            for f, grid in grids.items()
-            for i, v in enumerate(grid)
-        ]
+    items = literal_rows(
+        [{"feature": f, "point": i, "value": float(v)} for f, grid in grids.items() for i, v in enumerate(grid)],
+        "feature: string, point: int, value: double",
     )
     wide = df.select(*dict.fromkeys([*keep, *features]), F.inline(items))
     swapped = {
@@ -218,8 +216,8 @@ def two_way_dependence(
     features: Sequence[str], score: ScoreFn,
 ) -> DataFrame:
     """(value_a, value_b, average) over the product of two grids."""
-    items = F.array(
-        *[F.struct(F.lit(float(a)).alias("value_a"), F.lit(float(b)).alias("value_b")) for a in grid_a for b in grid_b]
+    items = literal_rows(
+        [{"value_a": float(a), "value_b": float(b)} for a in grid_a for b in grid_b], "value_a: double, value_b: double"
     )
     wide = df.select(*features, F.inline(items))
     swapped = {**current(features), first: F.col("value_a"), second: F.col("value_b")}
