@@ -11,7 +11,7 @@ from tallyward.operators.ordering import exact_quantiles
 from tallyward.operators.outcomes import failures, with_outcome
 from tallyward.plans import views as V
 from tallyward.plans.registry import query
-from tallyward.plans.views import with_views
+from tallyward.plans.views import half_up, with_views
 
 D = "::DOUBLE"
 
@@ -63,13 +63,13 @@ def default_for_unseen(spark, sf):
 
 @query(
     "B7_clamp_probability",
-    with_views("tx") + "SELECT transaction_id, greatest(0.0::DOUBLE,least(1.0::DOUBLE,round(amount/300.0::DOUBLE-0.2::DOUBLE,4))) AS p FROM tx",
+    with_views("tx") + "SELECT transaction_id, greatest(0.0::DOUBLE,least(1.0::DOUBLE," + half_up("amount/300.0::DOUBLE-0.2::DOUBLE", 4) + ")) AS p FROM tx",
 )
 def clamp_probability(spark, sf):
     return V.tx(spark, sf).select("transaction_id", S.clamp_probability(F.col("amount") / 300.0 - 0.2).alias("p"))
 
 
-@query("B8_format_probability", with_views("tx") + "SELECT transaction_id, CAST(round(CAST(CAST(amount/500.0::DOUBLE AS VARCHAR) AS DECIMAL(30,20)),2) AS DOUBLE) AS p FROM tx")
+@query("B8_format_probability", with_views("tx") + "SELECT transaction_id, " + half_up("amount/500.0::DOUBLE", 2) + " AS p FROM tx")
 def format_probability(spark, sf):
     return V.tx(spark, sf).select("transaction_id", S.format_probability(F.col("amount") / 500.0, 2).alias("p"))
 
@@ -135,7 +135,7 @@ def reasons(spark, sf):
 
 @query(
     "B16_decision",
-    f"""WITH w AS ({_WIDE_SQL}), r AS (SELECT transaction_id, greatest(0.0::DOUBLE,least(1.0::DOUBLE,round({_WIDE_RAW},4))) AS p FROM w)
+    f"""WITH w AS ({_WIDE_SQL}), r AS (SELECT transaction_id, greatest(0.0::DOUBLE,least(1.0::DOUBLE,{half_up(_WIDE_RAW, 4)})) AS p FROM w)
     SELECT transaction_id, p, CASE WHEN p>=0.5::DOUBLE THEN 'fraud' ELSE 'legitimate' END AS prediction FROM r""",
 )
 def decision(spark, sf):
@@ -156,7 +156,7 @@ def predict_by_threshold(spark, sf):
 
 @query(
     "B18_blend_columns",
-    with_views("scored") + """SELECT transaction_id, greatest(0.0::DOUBLE,least(1.0::DOUBLE,round(0.0::DOUBLE+p*0.6::DOUBLE+q*0.4::DOUBLE+merchant_risk*0.0::DOUBLE,4))) AS score,
+    with_views("scored") + f"""SELECT transaction_id, greatest(0.0::DOUBLE,least(1.0::DOUBLE,{half_up("0.0::DOUBLE+p*0.6::DOUBLE+q*0.4::DOUBLE+merchant_risk*0.0::DOUBLE", 4)})) AS score,
     round(p*0.6::DOUBLE,6) AS part_rule, round(q*0.4::DOUBLE,6) AS part_amount FROM scored""",
 )
 def blend_columns(spark, sf):
@@ -172,8 +172,8 @@ def blend_columns(spark, sf):
 
 @query(
     "B18_blend_map",
-    with_views("scored", b="""SELECT transaction_id, p/2.0::DOUBLE AS a, q/2.0::DOUBLE AS b,
-      greatest(0.0::DOUBLE,least(1.0::DOUBLE,CAST(round(CAST(CAST(p/2.0::DOUBLE+q/2.0::DOUBLE AS VARCHAR) AS DECIMAL(30,20)),4) AS DOUBLE))) AS score FROM scored""")
+    with_views("scored", b=f"""SELECT transaction_id, p/2.0::DOUBLE AS a, q/2.0::DOUBLE AS b,
+      greatest(0.0::DOUBLE,least(1.0::DOUBLE,{half_up("p/2.0::DOUBLE+q/2.0::DOUBLE", 4)})) AS score FROM scored""")
     + """SELECT transaction_id, score, round(a,6) AS part_rule, round(b,6) AS part_amount,
     CASE WHEN score>=0.5::DOUBLE THEN 'fraud' ELSE 'legitimate' END AS label FROM b""",
 )

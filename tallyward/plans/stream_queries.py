@@ -8,7 +8,7 @@ from tallyward.operators.heavy import Heavy
 from tallyward.operators.merchants import merchant_stats
 from tallyward.plans import views as V
 from tallyward.plans.registry import query
-from tallyward.plans.views import with_views
+from tallyward.plans.views import half_up, with_views
 from tallyward.plans.window_queries import _FLAT, US, _vel_sql, flat
 from tallyward.streaming import online as On
 
@@ -114,7 +114,7 @@ _T = {
 }
 _K5_SQL = with_views(
     "tx", "merch", q=_REQ,
-    s=f"SELECT *, greatest(0.0::DOUBLE,least(1.0::DOUBLE,round({'+'.join(_T.values())},4))) AS p FROM q",
+    s=f"SELECT *, greatest(0.0::DOUBLE,least(1.0::DOUBLE,{half_up('+'.join(_T.values()), 4)})) AS p FROM q",
     t=" UNION ALL ".join(f"SELECT transaction_id, '{f}' AS f, {e} AS c FROM q" for f, e in _T.items()),
     k="SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY abs(c) DESC, f) AS rk FROM t",
     top="SELECT transaction_id, string_agg(f,'|' ORDER BY rk) AS top_factors FROM k WHERE rk<=3 GROUP BY transaction_id",

@@ -109,6 +109,11 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     return written(spark, sf, "scored", lambda s, d: scored_from(tx(s, d)))
 
 
+def half_up(expr: str, places: int) -> str:
+    """SQL for Spark's ``round``: half up on the shortest decimal text of the double."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(30,20)),{places}) AS DOUBLE)"
+
+
 SQL_VIEWS: dict[str, tuple[list[str], str]] = {
     "tx": ([], """SELECT event_id AS transaction_id, user_id, CAST(json_extract_string(props,'$.k') AS INTEGER) AS merchant_id,
         ts AS timestamp, value AS amount, CAST(hour(ts) AS INTEGER) AS hour_of_day,
@@ -135,7 +140,7 @@ SQL_VIEWS: dict[str, tuple[list[str], str]] = {
     "scored1": (["scored0"], """SELECT *, least(amount/1500.0::DOUBLE,1.0::DOUBLE)*0.35::DOUBLE + merchant_risk*0.3::DOUBLE
         + least(velocity_1h/20.0::DOUBLE,1.0::DOUBLE)*0.2::DOUBLE
         + least(distance_from_home/250.0::DOUBLE,1.0::DOUBLE)*0.15::DOUBLE AS raw, amount/500.0::DOUBLE AS q FROM scored0"""),
-    "scored": (["scored1"], """SELECT *, greatest(0.0::DOUBLE, least(1.0::DOUBLE, round(raw,4))) AS p FROM scored1"""),
+    "scored": (["scored1"], f"""SELECT *, greatest(0.0::DOUBLE, least(1.0::DOUBLE, {half_up('raw', 4)})) AS p FROM scored1"""),
 }
 
 

@@ -1,4 +1,4 @@
-"""Every query with a SQL twin equals it, row by row, on the smallest tables."""
+"""Every query with a SQL twin equals it, row by row."""
 
 import importlib
 import os
@@ -12,6 +12,11 @@ entry = importlib.import_module("__spark_entry__")
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
+@pytest.fixture(scope="module")
+def sf():
+    return os.environ.get("TEST_QUERY_SF_DIR", "/root/testdata/sf0.01")
+
+
 @pytest.fixture(scope="module")
 def con(sf):
     c = duckdb.connect()
