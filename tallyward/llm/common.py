@@ -35,7 +35,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, everything else as it is."""
-    return F.translate(text, UPPER, LOWER)
+    # For plain ASCII the two agree, and lower() has a fast path for it.
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def hash128(value: Column, name: str) -> list[Column]:

@@ -64,14 +64,18 @@ def drop_repeated_lines(
     bar = repeated.agg(F.sum("m").alias("m")).scalar() * F.lit(HOT_SHARE)
     hot = repeated.where(F.col("m") > F.greatest(bar, F.lit(10_000.0))).select("h1", "h2", F.col("keep").alias("keep_hot"))
     usual = repeated.where(F.col("m") <= F.greatest(bar, F.lit(10_000.0))).select("h1", "h2", "keep")
-    # Rows of a hot hash are settled by the broadcast; the others meet their count by a shuffle.
-    marked = rows.join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), ["h1", "h2"], "left")
-    lost_hot = marked.where(F.col("is_hot") & ~F.col("__id").eqNullSafe(F.col("keep_hot")))
-    rest = marked.where(F.col("is_hot").isNull()).select("h1", "h2", "__id", "__row", "__pos")
-    lost_usual = rest.join(usual, ["h1", "h2"]).where(~F.col("__id").eqNullSafe(F.col("keep")))
+    # Rows of a hot hash are settled by the broadcast and meet nothing in the join; the
+    # others meet their count by a shuffle.  One pass over the lines serves both.
+    marked = rows.join(F.broadcast(hot), ["h1", "h2"], "left")
+    hot_here = F.col("keep_hot").isNotNull()
+    marked = marked.where(~hot_here | ~F.col("__id").eqNullSafe(F.col("keep_hot")))
+    marked = marked.select(
+        "__id", "__row", "__pos", hot_here.alias("hot"), F.when(hot_here, F.xxhash64("__id")).otherwise(F.col("h1")).alias("h1"),
+        F.when(~hot_here, F.col("h2")).alias("h2"),
+    )
+    met = marked.join(usual, ["h1", "h2"], "left")
     lost = (
-        lost_hot.select("__id", "__row", "__pos")
-        .unionByName(lost_usual.select("__id", "__row", "__pos"))
+        met.where(F.col("hot") | (F.col("keep").isNotNull() & ~F.col("__id").eqNullSafe(F.col("keep"))))
         .groupBy(F.col("__id").alias("__id2"), F.col("__row").alias("__row2"))
         .agg(F.collect_list("__pos").alias("__lost"))
     )

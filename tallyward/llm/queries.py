@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tallyward.llm import line_dedup  # noqa: F401
+from tallyward.llm import decontaminate, jaccard_join, line_dedup, secrets, token_store  # noqa: F401
 from tallyward.llm.common import ORACLE, QUERIES  # noqa: F401
