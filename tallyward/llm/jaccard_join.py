@@ -383,9 +383,9 @@ wd AS ({WORDS_SQL.format(docs=docs)}),
 ss AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
        ELSE list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) END AS s FROM wd),
 sg AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM ss),
-cand AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS both
+cand AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS nb
          FROM sg a JOIN sg b USING (g) WHERE a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
-ln AS (SELECT x, y FROM cand WHERE 100 * both >= 80 * (nx + ny - both)),
+ln AS (SELECT x, y FROM cand WHERE 100 * nb >= 80 * (nx + ny - nb)),
 bi AS (SELECT x, y FROM ln UNION ALL SELECT y, x FROM ln),
 reach(x, y) AS (SELECT doc_id, doc_id FROM wd UNION SELECT r.x, b.y FROM reach r JOIN bi b ON r.y = b.x),
 comp AS (SELECT ss.doc_id, len(s) AS n_shingles, (SELECT min(y) FROM reach WHERE reach.x = ss.doc_id) AS component_id,
