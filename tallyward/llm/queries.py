@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tallyward.llm import decontaminate, jaccard_join, language, line_dedup, secrets, sentencepiece_unigram, token_store  # noqa: F401
+from tallyward.llm import decontaminate, html_text, jaccard_join, language, line_dedup, secrets, sentencepiece_unigram, token_store  # noqa: F401
 from tallyward.llm.common import ORACLE, QUERIES  # noqa: F401
