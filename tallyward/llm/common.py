@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,18 +45,10 @@ def hash128(value: Column, name: str) -> list[Column]:
     return [F.xxhash64(value).alias(f"{name}_1"), F.xxhash64(F.lit(7), value).alias(f"{name}_2")]
 
 
-def fresh(df: DataFrame, wanted: str) -> str:
-    """``wanted``, or a longer name that ``df`` does not have in any case."""
-    taken = {c.lower() for c in df.columns}
-    while wanted.lower() in taken:
-        wanted += "_"
-    return wanted
+#: Key tables are broadcast up to so many rows, which are counted before.
+BROADCAST_ROWS = 500_000
 
 
-def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality of the keys on both sides."""
-    tests = [left[k].eqNullSafe(right[k]) for k in keys]
-    out = tests[0]
-    for t in tests[1:]:
-        out = out & t
-    return out
+def checked(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has been counted to be small enough; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

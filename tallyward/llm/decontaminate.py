@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import query, table
+from tallyward.llm.common import checked, query, table
 from tallyward.session import settle
 
 #: Benchmark windows are broadcast up to this number (about 50 bytes each).
@@ -142,9 +142,7 @@ def contaminated(
     windows, items, lengths = benchmark_windows(benchmark, item_col, item_text, window)
     work = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     work = work.withColumn("__row", F.xxhash64("__text"))
-    small = windows.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
-    side = windows.select("h", "item_id", "text_key", "at")
-    side = F.broadcast(side) if small else side
+    side = checked(windows.select("h", "item_id", "text_key", "at"), BROADCAST_WINDOWS)
     tpl = templates(work, "__text")
     hits = None
     for n in lengths:
@@ -212,8 +210,8 @@ def contaminated(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; documents with a null id are judged together."""
-    hit = contaminated(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__hit")).distinct()
-    return docs.join(hit, docs[id_col].eqNullSafe(hit["__hit"]), "left_anti")
+    hit = settle(contaminated(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__hit")).distinct())
+    return docs.join(checked(hit), docs[id_col].eqNullSafe(F.col("__hit")), "left_anti")
 
 
 def _sql_list(words) -> str:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import query, table
+from tallyward.llm.common import checked, query, table
 from tallyward.llm.components import components
 from tallyward.llm.perfect_hash import mix
 from tallyward.llm.shingles import pieces, shingle_sets
@@ -41,8 +41,6 @@ from tallyward.session import settle
 SLOT_BITS = 18
 SMALL = 16
 BLOCK = 256
-#: Key tables are broadcast up to so many rows (about 24 bytes each), counted before.
-BROADCAST_ROWS = 500_000
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -115,11 +113,6 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(make, "id long, set binary")
 
 
-def _checked(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if it has been counted to be small enough."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Prefixes under the two hash orders first, then the whole sets."""
     la, lb = len(a), len(b)
@@ -274,7 +267,7 @@ def jaccard_components(
         F.col("a.rid").alias("u"), F.col("b.rid").alias("v")
     )
     more = heads.where(F.col("c") > 2).select("token", "c")
-    members = settle(rows.join(_checked(more), "token"))
+    members = settle(rows.join(checked(more), "token"))
     few = members.where(F.col("c") <= SMALL).groupBy("token").agg(F.array_sort(F.collect_list(F.struct("rid", "n"))).alias("m"))
     few = few.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
     few = few.where((F.col("x.rid") < F.col("y.rid")) & near(F.col("x.n"), F.col("y.n")))
@@ -316,7 +309,7 @@ def jaccard_components(
     needed = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).union(blocks.select("rid")).distinct()
     needed = settle(needed)
     sets = settle(
-        _sets(work.join(_checked(needed), "id", "left_semi").select("id", "text"), k).where(F.octet_length("set") > 0).distinct()
+        _sets(work.join(checked(needed), "id", "left_semi").select("id", "text"), k).where(F.octet_length("set") > 0).distinct()
     )
     mine = pairs.select("u").distinct().select("u", F.lit(False).alias("other"), F.col("u").alias("id"))
     asked = mine.unionByName(pairs.select("u", F.lit(True).alias("other"), F.col("v").alias("id")))
@@ -365,10 +358,19 @@ def jaccard_components(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one of the smallest id; rows without an id stay."""
-    found = jaccard_components(docs, id_col, text_col)
-    gone = found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti").dropDuplicates()
+    """``docs`` with one document of each component, the one of the smallest id.
+
+    Rows without an id stay.  Rows that repeat an id stay with it, once each.
+    """
+    found = settle(jaccard_components(docs, id_col, text_col))
+    gone = settle(found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("__gone")).distinct())
+    kept = docs.join(checked(gone), docs[id_col] == F.col("__gone"), "left_anti")
+    again = found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__again")).count().where("count > 1").select("__again")
+    if again.isEmpty():
+        return kept
+    again = checked(settle(again))
+    once = kept.join(again, kept[id_col] == F.col("__again"), "left_anti")
+    return once.unionByName(kept.join(again, kept[id_col] == F.col("__again"), "left_semi").dropDuplicates())
 
 
 WORDS_SQL = """
