@@ -253,19 +253,17 @@ def jaccard_components(
     classes = settle(
         with_id.groupBy("h1", "h2", "n").agg(F.min("id").alias("rid"), F.count(F.lit(1)).alias("copies"))
     )
-    reps = with_id.select("h1", "h2", "n", F.col("id").alias("rid"), "prefix").join(
-        classes.select("h1", "h2", "n", "rid"), ["h1", "h2", "n", "rid"], "left_semi"
-    )
-    rows = reps.select("rid", "n", F.explode("prefix").alias("token")).distinct()
+    copied = classes.where(F.col("copies") > 1).select("h1", "h2", "n", "rid")
+    further = with_id.join(copied, ["h1", "h2", "n"]).where(F.col("id") != F.col("rid")).select("id", "h1", "h2")
+    reps = with_id.join(checked(settle(further)), ["id", "h1", "h2"], "left_anti")
+    rows = reps.select(F.col("id").alias("rid"), "n", F.explode("prefix").alias("token"))
     heads = settle(
         rows.groupBy("token")
-        .agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rid", "n")).alias("a"), F.max(F.struct("rid", "n")).alias("b"))
+        .agg(F.count(F.lit(1)).alias("c"), F.min("rid").alias("u"), F.max("rid").alias("v"), F.min("n").alias("a"), F.max("n").alias("b"))
         .where(F.col("c") > 1)
     )
     near = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    two = heads.where((F.col("c") == 2) & near(F.col("a.n"), F.col("b.n"))).select(
-        F.col("a.rid").alias("u"), F.col("b.rid").alias("v")
-    )
+    two = heads.where((F.col("c") == 2) & near(F.col("a"), F.col("b"))).select("u", "v")
     more = heads.where(F.col("c") > 2).select("token", "c")
     members = settle(rows.join(checked(more), "token"))
     few = members.where(F.col("c") <= SMALL).groupBy("token").agg(F.array_sort(F.collect_list(F.struct("rid", "n"))).alias("m"))
