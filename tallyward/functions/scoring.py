@@ -114,34 +114,39 @@ def normalised_weights(weights: Mapping[str, float]) -> dict[str, float]:
 
 
 def blend(scores: Mapping[str, Column], weights: Mapping[str, float] | None = None) -> tuple[Column, dict[str, Column]]:
-    """Weighted blend of a fixed model list: (blended score, per-model contributions)."""
-    share = normalised_weights({m: (weights or {}).get(m, 1.0) for m in scores})
-    parts = {m: F.coalesce(scores[m], F.lit(0.0)) * F.lit(share[m]) for m in scores}
+    """Weighted blend of a fixed model list: (blended score, per-model contributions).
+
+    Without weights all models count alike; with weights, a model that has none
+    counts 0, as does a negative weight, and a weight sum of 0 counts 1.  The
+    score is the sum of the contributions, each rounded to 6 places, and is not
+    clamped; no models give 0.
+    """
+    clipped = {m: 1.0 if weights is None else max(float(weights.get(m, 0.0)), 0.0) for m in scores}
+    total_weight = sum(clipped.values()) or 1.0
+    parts = {m: F.round(F.coalesce(scores[m], F.lit(0.0)) * F.lit(clipped[m] / total_weight), 6) for m in scores}
     total: Column = F.lit(0.0)
     for part in parts.values():
         total = total + part
-    return clamp_probability(total), {m: F.round(p, 6) for m, p in parts.items()}
+    return F.round(total, 6), parts
 
 
 def blend_map(scores: Column, weights: Column | None = None) -> Column:
-    """Blend of a ``map<model, score>`` column: struct(score, contributions, label).
+    """``blend`` of a ``map<model, score>`` column: struct(score, contributions, label).
 
-    Missing weights count 1, negative weights 0, and a weight sum of 0 counts 1.
+    The label is 1 from a blended score of 0.5.  An empty map scores 0; a null map
+    gives nulls.
     """
     def weight(model: Column) -> Column:
-        given = F.try_element_at(weights, model) if weights is not None else F.lit(None).cast("double")
-        return F.greatest(F.coalesce(given, F.lit(1.0)), F.lit(0.0))
+        if weights is None:
+            return F.lit(1.0)
+        return F.greatest(F.coalesce(F.try_element_at(weights, model), F.lit(0.0)), F.lit(0.0))
 
     raw = F.map_from_entries(F.transform(F.map_keys(scores), lambda m: F.struct(m, weight(m))))
     total = F.aggregate(F.map_values(raw), F.lit(0.0), lambda a, w: a + w)
     total = F.when(total == 0, F.lit(1.0)).otherwise(total)
-    parts = F.map_zip_with(scores, raw, lambda m, s, w: F.coalesce(s, F.lit(0.0)) * w / total)
-    blended = clamp_probability(F.aggregate(F.map_values(parts), F.lit(0.0), lambda a, p: a + p))
-    return F.struct(
-        blended.alias("score"),
-        F.transform_values(parts, lambda m, p: F.round(p, 6)).alias("contributions"),
-        decision(blended).alias("label"),
-    )
+    parts = F.map_zip_with(scores, raw, lambda m, s, w: F.round(F.coalesce(s, F.lit(0.0)) * (w / total), 6))
+    blended = F.aggregate(F.map_values(parts), F.lit(0.0), lambda a, p: a + p)
+    return F.struct(F.round(blended, 6).alias("score"), parts.alias("contributions"), (blended >= 0.5).cast("int").alias("label"))
 
 
 def outcome_type(label: Column, predicted: Column) -> Column:

@@ -30,7 +30,6 @@ from tallyward.operators import scaling
 from tallyward.operators.explain import global_importance, model_shapley, select_features
 from tallyward.operators.features import FraudFeatures, FraudFeaturesModel
 from tallyward.operators.models import as_features, fit_forest
-from tallyward.operators.profile import sample_rows
 from tallyward.operators.velocity import require, velocity, velocity_names
 
 Resampler = Callable[[DataFrame], DataFrame]
@@ -216,22 +215,20 @@ class SelectColumns(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 class ContributionSelector(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
     """Keeps the features with the largest mean absolute contribution in a forest.
 
-    ``threshold`` wins over ``nFeatures``.  Contributions are taken on at most
-    ``sampleSize`` rows, chosen by hash.
+    ``threshold`` wins over ``nFeatures``.  Contributions are taken on all rows.
     """
 
     inputCols = _param("inputCols", "candidate features", TypeConverters.toListString)
     keepCols = _param("keepCols", "columns kept besides the features", TypeConverters.toListString)
     nFeatures = _param("nFeatures", "how many to keep", TypeConverters.toInt)
     threshold = _param("threshold", "least importance", TypeConverters.toFloat)
-    sampleSize = _param("sampleSize", "rows to explain", TypeConverters.toInt)
     trees = _param("trees", "trees in the forest", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCols=None, keepCols=None, nFeatures=None, threshold=None, sampleSize=None, trees=None, idCol=None, labelCol=None):
+    def __init__(self, *, inputCols=None, keepCols=None, nFeatures=None, threshold=None, trees=None, idCol=None, labelCol=None):
         super().__init__()
         self._column_defaults()
-        self._setDefault(nFeatures=20, sampleSize=1000, trees=20, keepCols=["transaction_id"])
+        self._setDefault(nFeatures=20, trees=20, keepCols=["transaction_id"])
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> SelectColumns:
@@ -240,8 +237,7 @@ class ContributionSelector(Estimator, _Columns, DefaultParamsReadable, DefaultPa
         clean = dataset.fillna(0.0, subset=names)
         rows = as_features(clean.withColumn("label", F.col(self._of("labelCol"))), names)
         _, scorer = fit_forest(rows.select(key, "features", "label"), trees=self._of("trees"), depth=5)
-        part = sample_rows(clean, self._of("sampleSize"), key)
-        importance = global_importance(model_shapley(part, part, names, scorer, row=key))
+        importance = global_importance(model_shapley(clean, clean, names, scorer, row=key))
         limit = self.getOrDefault("threshold") if self.isDefined("threshold") else None
         chosen = {r["feature"] for r in select_features(importance, self._of("nFeatures"), limit).collect()}
         return SelectColumns(columns=[*self._of("keepCols"), *[n for n in names if n in chosen]])

@@ -39,8 +39,8 @@ def _sum(parts: Sequence[Column]) -> Column:
 def vote_average(models: Sequence[str], weights: Mapping[str, float] | None = None) -> Column:
     if weights is None:
         return _sum([F.col(m) for m in models]) / F.lit(float(len(models)))
-    share = normalised_weights({m: weights[m] for m in models})
-    return _sum([F.col(m) * F.lit(share[m]) for m in models])
+    total = float(sum(weights[m] for m in models)) or 1.0
+    return _sum([F.col(m) * F.lit(weights[m] / total) for m in models])
 
 
 def scaled(df: DataFrame, models: Sequence[str], epsilon: float = 0.0, fitted_on: DataFrame | None = None) -> DataFrame:
@@ -68,8 +68,8 @@ def vote_binary(predictions: Sequence[str], weights: Mapping[str, float] | None
     """Majority of 0/1 predictions; a tie counts as anomaly."""
     if weights is None:
         return (_sum([F.col(p) for p in predictions]) >= F.lit(len(predictions) / 2.0)).cast("int")
-    share = normalised_weights({p: weights[p] for p in predictions})
-    return (_sum([F.col(p) * F.lit(share[p]) for p in predictions]) >= 0.5).cast("int")
+    total = float(sum(weights[p] for p in predictions)) or 1.0
+    return (_sum([F.col(p) * F.lit(weights[p] / total) for p in predictions]) >= 0.5).cast("int")
 
 
 def scaled_average(df: DataFrame, models: Sequence[str], out: str = "ensemble") -> DataFrame:

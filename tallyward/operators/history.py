@@ -99,6 +99,6 @@ def deviation(
                 F.lit(1.0),
             )
             z = (v - mean) / std
-            ratio = F.when(mean != 0, F.try_divide(v.cast("double"), mean)).when(v == 0, F.lit(1.0)).otherwise(F.lit(float("inf")))
+            ratio = F.when(mean != 0, F.try_divide(v.cast("double"), mean)).when(v == 0, F.lit(1.0)).when(v.isNotNull() & (mean == 0), F.lit(float("inf")))
         out += [z.alias(f"deviation_{f}_zscore"), ratio.alias(f"deviation_{f}_ratio")]
     return joined.select(*[F.col(c) for c in df.columns], *out)

@@ -15,8 +15,8 @@ from tallyward.operators.ordering import exact_quantiles
 
 
 def money_sum(amount: Column) -> Column:
-    """Exact money total, independent of the order of addition."""
-    return F.coalesce(F.sum(amount.cast("decimal(18,2)")).cast("double"), F.lit(0.0))
+    """Exact money total to six places, independent of the order of addition."""
+    return F.coalesce(F.sum(amount.cast("decimal(28,6)")).cast("double"), F.lit(0.0))
 
 
 def summary(df: DataFrame, label: str, amount: str, n_features: int) -> DataFrame:
@@ -25,7 +25,7 @@ def summary(df: DataFrame, label: str, amount: str, n_features: int) -> DataFram
     n, fraud, legit = F.count(F.lit(1)), F.count_if(lab == 1), F.count_if(lab == 0)
 
     def mean(condition: Column) -> Column:
-        total = F.sum(F.when(condition, amt.cast("decimal(18,2)"))).cast("double")
+        total = F.sum(F.when(condition, amt.cast("decimal(28,6)"))).cast("double")
         return F.coalesce(F.try_divide(total, F.count_if(condition & amt.isNotNull())), F.lit(0.0))
 
     return df.agg(
@@ -142,9 +142,9 @@ def amount_by_class(df: DataFrame, amount: str, label: str) -> DataFrame:
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """``n`` rows chosen by hash order of the key: repeatable, top-k per partition."""
-    return df.withColumn("__h", hash_unit(F.col(key), seed)).orderBy("__h", key).limit(n).drop("__h")
+    return df.withColumn("__h", hash_unit(F.col(key), f"sample:{seed}")).orderBy("__h", key).limit(n).drop("__h")
 
 
 def sample_share(df: DataFrame, share: float, key: str, seed: int = 42) -> DataFrame:
     """About ``share`` of the rows by a hash filter: no shuffle."""
-    return df.where(hash_unit(F.col(key), seed) < share)
+    return df.where(hash_unit(F.col(key), f"sample_share:{seed}") < share)

@@ -1,4 +1,7 @@
-"""Splits and folds from hash draws: repeatable, no shuffle unless exact sizes are asked for."""
+"""Splits and folds from hash draws: repeatable, no shuffle unless exact sizes are asked for.
+
+Each random step draws from a stream of its own name, so chained steps are independent.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +14,7 @@ from tallyward.operators.ordering import ordinals, running_totals
 
 def three_way(key: Column, test: float = 0.2, validation: float = 0.1, seed: int | str = 42) -> Column:
     """``test``, ``validation`` or ``train``; both sizes are fractions of the whole."""
-    h = hash_unit(key, seed)
+    h = hash_unit(key, f"split:{seed}")
     return F.when(h < test, "test").when(h < test + validation, "validation").otherwise("train")
 
 
@@ -37,7 +40,7 @@ def exact_class_split(
     ``key`` must be numeric.  The ranking is split by draw, so a class may hold
     nearly all rows.
     """
-    drawn = df.withColumn("__h", hash_unit(F.col(key), seed))
+    drawn = df.withColumn("__h", hash_unit(F.col(key), f"exact_split:{seed}"))
     ranked = ordinals(drawn, "__h", key, by=[label], out="__o")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     n, o = F.col("__n"), F.col("__o")
@@ -50,17 +53,17 @@ def exact_class_split(
 
 
 def hold_out(df: DataFrame, key: str, test: float = 0.2, seed: int | str = 42) -> DataFrame:
-    return df.withColumn("split", F.when(hash_unit(F.col(key), seed) < test, "test").otherwise("train"))
+    return df.withColumn("split", F.when(hash_unit(F.col(key), f"hold_out:{seed}") < test, "test").otherwise("train"))
 
 
-def fold_of(key: Column, k: int = 5, stream: int | str = 42) -> Column:
+def fold_of(key: Column, k: int = 5, stream: int | str = "folds:42") -> Column:
     """Fold number from a hash draw; with a per-class stream this is stratified."""
     return F.floor(hash_unit(key, stream) * F.lit(float(k))).cast("int")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int | str = 42) -> DataFrame:
     """Add ``fold``: rows of each class are dealt to folds in draw order, so class counts differ by at most 1."""
-    drawn = df.withColumn("__h", hash_unit(F.col(key), seed))
+    drawn = df.withColumn("__h", hash_unit(F.col(key), f"stratified_folds:{seed}"))
     ranked = ordinals(drawn, "__h", key, by=[label], out="__o")
     return ranked.withColumn("fold", (F.col("__o") % k).cast("int")).select(*df.columns, "fold")
 
@@ -98,7 +101,7 @@ def undersample(
         F.struct(F.count_if(F.col(label) == 1).alias("n1"), F.count_if(F.col(label) == 0).alias("n0")).alias("c")
     ).scalar()
     rare, common = df.where(F.col(label) == 1), df.where(F.col(label) == 0)
-    drawn = common.withColumn("__h", hash_unit(F.col(key), seed)).withColumn("__c", counts)
+    drawn = common.withColumn("__h", hash_unit(F.col(key), f"undersample:{seed}")).withColumn("__c", counts)
     if exact:
         wanted = F.floor(F.col("__c.n1") / F.lit(ratio))
         ranked = ordinals(drawn.drop("__c"), "__h", key, out="__o").withColumn("__c", counts)

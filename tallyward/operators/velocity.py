@@ -30,6 +30,11 @@ def require(df: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"Missing required columns: {missing}")
 
 
+def known(value: Column) -> Column:
+    """The value, null where it is NaN or infinite."""
+    return F.when(F.abs(value.cast("double")) < F.lit(float("inf")), value)
+
+
 def window_us(window: tuple[int, str]) -> int:
     size, unit = window
     if unit not in UNIT_US:
@@ -67,7 +72,7 @@ def _windowed(
         F.col(row_id).alias("__id"),
         F.col(group).alias("__g"),
         F.unix_micros(F.col(at)).alias("__us"),
-        F.round(F.col(value) * F.lit(float(unit))).cast("bigint").alias("__v"),
+        F.round(known(F.col(value)) * F.lit(float(unit))).cast("bigint").alias("__v"),
     )
     spans = [window_us(w) for w in windows]
     moves = [F.struct(F.col("__us").alias("at"), F.lit(-1).alias("w"))]
@@ -146,15 +151,16 @@ def velocity(
     windows: Sequence[tuple[int, str]] = tuple(DEFAULT_WINDOWS),
     features: Sequence[str] = tuple(DEFAULT_FEATURES),
     ties: str = "peers",
-    scale: int = 2,
+    scale: int = 4,
     rule: Heavy = Heavy(),
     chunk_us: int = UNIT_US["h"],
 ) -> DataFrame:
     """(id, velocity columns) per row.
 
     ``ties='peers'`` lets rows of equal time see each other; ``ties='row'`` orders
-    them by id.  Amounts are summed exactly at ``scale`` decimal places.  Rows
-    without user or time keep their id, with null velocity.
+    them by id.  Amounts are summed exactly at ``scale`` decimal places; more places
+    are rounded off first, so raise it where they matter.  NaN and infinite amounts
+    count as missing.  Rows without user or time keep their id, with null velocity.
     """
     require(df, [user_col, datetime_col, amount_col, id_col])
     funcs = [f for f in ("count", "sum", "mean", "std") if f in features]
@@ -169,8 +175,12 @@ def velocity(
         ],
         *([F.col("__gap").alias("velocity_time_since_last_s")] if gap else []),
     )
-    bare = df.where(F.col(user_col).isNull() | F.col(datetime_col).isNull()).select(id_col)
-    return renamed.unionByName(bare, allowMissingColumns=True)
+    return renamed.unionByName(_bare(df, user_col, datetime_col, id_col), allowMissingColumns=True)
+
+
+def _bare(df: DataFrame, key_col: str, datetime_col: str, id_col: str) -> DataFrame:
+    """Ids of the rows that no window can hold."""
+    return df.where(F.col(key_col).isNull() | F.col(datetime_col).isNull()).select(id_col)
 
 
 def rolling_stats(
@@ -182,12 +192,15 @@ def rolling_stats(
     windows: Sequence[tuple[int, str]],
     agg_funcs: Sequence[str] = ("count", "sum", "mean"),
     ties: str = "peers",
-    scale: int = 2,
+    scale: int = 4,
     rule: Heavy = Heavy(),
     chunk_us: int = UNIT_US["h"],
     pieces: int = 24,
 ) -> DataFrame:
-    """Generic rolling count/sum/mean/std/max/min: (id, ``{group}_{value}_{f}_{n}{u}``)."""
+    """Generic rolling count/sum/mean/std/max/min: (id, ``{group}_{value}_{f}_{n}{u}``).
+
+    Rows without key or time keep their id, with nulls.  Values as in ``velocity``.
+    """
     require(df, [group_col, value_col, datetime_col, id_col])
     sums = [f for f in ("count", "sum", "mean", "std") if f in agg_funcs]
     out = df.select(id_col)
@@ -195,7 +208,7 @@ def rolling_stats(
         done = _windowed(
             df, group_col, value_col, datetime_col, id_col, windows, sums, False, ties, scale, rule, chunk_us
         )
-        out = done
+        out = done.unionByName(_bare(df, group_col, datetime_col, id_col), allowMissingColumns=True)
     extremes = [f for f in ("max", "min") if f in agg_funcs]
     for i, w in enumerate(windows if extremes else []):
         part = rolling_extremes(df, group_col, value_col, datetime_col, id_col, window_us(w), extremes, pieces)
@@ -232,7 +245,7 @@ def rolling_extremes(
         F.col(id_col).alias("__id"),
         F.col(group_col).alias("__g"),
         F.unix_micros(F.col(datetime_col)).alias("at"),
-        F.col(value_col).alias("__v"),
+        known(F.col(value_col)).alias("__v"),
     )
     # a probe stands at t - w, in the first slice of the window of its row
     moves = F.array(
@@ -271,13 +284,14 @@ def rolling_extremes(
 
 
 def gaps(df: DataFrame, key_col: str, datetime_col: str, id_col: str, rule: Heavy = Heavy()) -> DataFrame:
-    """Seconds since the key's previous row, null for its first: (id, gap_s)."""
+    """Seconds since the key's previous row, null for its first and for rows without key or time: (id, gap_s)."""
     require(df, [key_col, datetime_col, id_col])
     done = _windowed(
         df.withColumn("__one", F.lit(0.0)), key_col, "__one", datetime_col, id_col, [], [], True, "row", 0,
         rule, UNIT_US["h"],
     )
-    return done.select(id_col, F.when(F.col("__gap") != NO_PREVIOUS_S, F.col("__gap")).alias("gap_s"))
+    out = done.select(id_col, F.when(F.col("__gap") != NO_PREVIOUS_S, F.col("__gap")).alias("gap_s"))
+    return out.unionByName(_bare(df, key_col, datetime_col, id_col), allowMissingColumns=True)
 
 
 def global_gaps(df: DataFrame, datetime_col: str, id_col: str) -> DataFrame:

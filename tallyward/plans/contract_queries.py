@@ -53,7 +53,7 @@ def l5(spark, sf):
     def resample(rows):
         return undersample(rows, "row_id", "label", 1.0)
 
-    return Be.cross_validate(V.vec(spark, sf), Mo.fit_logistic, "callback", folds=2, resample=resample)
+    return Be.cross_validate(V.vec(spark, sf), Mo.fit_logistic, "callback", resample=resample)
 
 
 @query(
@@ -73,5 +73,5 @@ def forest_shapley(spark, sf):
     """Sampled Shapley values of a fitted forest for every transaction."""
     s = V.scored(spark, sf)
     names = ["amount", "merchant_risk", "velocity_1h", "distance_from_home"]
-    _, scorer = Mo.fit_forest(Mo.as_features(s.withColumn("label", F.col("is_fraud")), names), trees=20, depth=5)
+    _, scorer = Mo.fit_forest(Mo.as_features(s.withColumn("label", F.col("is_fraud")), names))
     return Ex.model_shapley(s, s, names, scorer)

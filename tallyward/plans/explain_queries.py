@@ -63,12 +63,12 @@ def j1_sampled(spark, sf):
 @query(
     "J2_global_contributions",
     with_views(
-        "scored", pick=f"SELECT * FROM scored ORDER BY {unit('transaction_id', 42)}, transaction_id LIMIT 1000",
+        "scored", pick="SELECT * FROM scored",
         means=_MEANS.replace("FROM scored", "FROM pick"), c=_C.replace("FROM scored", "FROM pick"),
     ) + "SELECT feature, round(avg(abs(contribution)),6) AS importance FROM c GROUP BY feature",
 )
 def j2(spark, sf):
-    sample = P.sample_rows(V.scored(spark, sf), 1000, "transaction_id")
+    sample = V.scored(spark, sf)
     return _r(Ex.global_importance(Ex.rule_contributions(sample)), "importance")
 
 
@@ -88,17 +88,17 @@ def j3(spark, sf):
 
 @query("J4_local_surrogate")
 def j4(spark, sf):
-    return Ex.local_surrogate(V.scored(spark, sf), FEATS, steep, draws=100, top_n=5)
+    return Ex.local_surrogate(V.scored(spark, sf), FEATS, steep, draws=5000, top_n=5)
 
 
 @query("J5_local_surrogate_half_std")
 def j5(spark, sf):
-    return Ex.local_surrogate(V.scored(spark, sf), FEATS, steep, draws=50, top_n=5, preset="half_std")
+    return Ex.local_surrogate(V.scored(spark, sf), FEATS, steep, draws=1000, top_n=5, preset="half_std")
 
 
 @query("J6_surrogate_importance")
 def j6(spark, sf):
-    return Ex.surrogate_importance(Ex.local_surrogate(V.scored(spark, sf), FEATS, steep, draws=100, top_n=None))
+    return Ex.surrogate_importance(Ex.local_surrogate(V.scored(spark, sf), FEATS, steep, draws=1000, top_n=None))
 
 
 _GRIDS = dict(

@@ -49,14 +49,14 @@ def i5(spark, sf):
 @query("I6_gradient_boosting")
 def i6(spark, sf):
     train, test = _halves(supervised(spark, sf))
-    _, scorer = Mo.fit_boosting(train, rounds=10)
+    _, scorer = Mo.fit_boosting(train)
     return scorer(test).select("row_id", "label", "score")
 
 
 @query("I7_focal_loss_model")
 def i7(spark, sf):
     train, test = _halves(V.vec(spark, sf))
-    _, scorer = Mo.fit_focal(train, WIDTH, rounds=30)
+    _, scorer = Mo.fit_focal(train, WIDTH)
     return scorer(test).select("row_id", "label", "score")
 
 
@@ -65,7 +65,7 @@ def i8(spark, sf):
     seqs = Sq.last_step(Sq.user_sequences(V.tx(spark, sf), 10, ["amount", "hour_of_day"]))
     rows = seqs.select(F.col("transaction_id").alias("row_id"), "features", "label")
     train, test = _halves(rows)
-    _, scorer = Mo.fit_perceptron(undersample(train, "row_id", "label", 1.0), 2, max_iter=30)
+    _, scorer = Mo.fit_perceptron(undersample(train, "row_id", "label", 1.0), 2)
     return scorer(test).select("row_id", "label", "score")
 
 
@@ -83,7 +83,7 @@ def i9(spark, sf):
 @query("I11_one_class_boundary")
 def i11(spark, sf):
     v, normal = _normal(spark, sf)
-    return De.fit_one_class(normal, WIDTH, rounds=20).score(v).select("row_id", "label", "score")
+    return De.fit_one_class(normal, WIDTH).score(v).select("row_id", "label", "score")
 
 
 @query("I12_reconstruction_error")
@@ -169,27 +169,27 @@ def i18(spark, sf):
     train, test = _halves(V.vec(spark, sf))
     fits = {
         "lr": lambda d: Mo.fit_logistic(d, out="lr")[1],
-        "rf": lambda d: Mo.fit_forest(d, trees=20, depth=5, out="rf")[1],
+        "rf": lambda d: Mo.fit_forest(d, out="rf")[1],
     }
-    return Mo.stack_out_of_fold(train, test, fits, "row_id", folds=3).select("row_id", "label", "stacked")
+    return Mo.stack_out_of_fold(train, test, fits, "row_id").select("row_id", "label", "stacked")
 
 
 @query("I19_detector_benchmark")
 def i19(spark, sf):
-    return Be.detector_benchmark(V.vec(spark, sf), WIDTH, ("isolation_forest", "outlier_factor", "reconstruction"))
+    return Be.detector_benchmark(V.vec(spark, sf), WIDTH)
 
 
 @query("H9_resampled_cross_validation")
 def h9(spark, sf):
     return Be.cross_validate(
-        V.vec(spark, sf), Mo.fit_logistic, "random_undersampling", folds=3,
+        V.vec(spark, sf), Mo.fit_logistic, "random_undersampling",
         resample=lambda d: undersample(d, "row_id", "label", 0.5),
     )
 
 
 @query("I20_imbalance_benchmark")
 def i20(spark, sf):
-    return result_table(fold_summary(Be.imbalance_benchmark(V.vec(spark, sf), WIDTH, folds=2)), Be.METRICS)
+    return result_table(fold_summary(Be.imbalance_benchmark(V.vec(spark, sf), WIDTH)), Be.METRICS)
 
 
 _REASONS = """concat_ws('|', CASE WHEN amount>=500 THEN 'high_amount' END, CASE WHEN merchant_risk>=0.6::DOUBLE THEN 'merchant_risk' END,
@@ -224,7 +224,7 @@ def i21(spark, sf):
 def i22(spark, sf):
     rows = supervised(spark, sf)
     lr, _ = Mo.fit_logistic(rows)
-    rf, _ = Mo.fit_forest(rows, trees=20, depth=5)
+    rf, _ = Mo.fit_forest(rows)
     a = Mo.importances(FEATS, lr.coefficients.toArray(), rows).withColumn("model", F.lit("logistic"))
     b = Mo.importances(FEATS, rf.featureImportances.toArray(), rows).withColumn("model", F.lit("forest"))
     return a.unionByName(b)

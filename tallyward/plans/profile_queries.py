@@ -232,12 +232,12 @@ def g3_threshold(spark, sf):
     return chosen.withColumn("importance", F.round("importance", 6))
 
 
-@query("G5_fixed_sample", with_views("tx") + f"SELECT transaction_id, amount FROM tx ORDER BY {HASH.format(k='transaction_id', s=42)}, transaction_id LIMIT 5000")
+@query("G5_fixed_sample", with_views("tx") + f"SELECT transaction_id, amount FROM tx ORDER BY {HASH.format(k='transaction_id', s='sample:42')}, transaction_id LIMIT 5000")
 def g5(spark, sf):
     return P.sample_rows(V.tx(spark, sf).select("transaction_id", "amount"), 5000, "transaction_id")
 
 
-@query("G5_share_sample", with_views("tx") + f"SELECT transaction_id, amount FROM tx WHERE {HASH.format(k='transaction_id', s=42)}<0.1::DOUBLE")
+@query("G5_share_sample", with_views("tx") + f"SELECT transaction_id, amount FROM tx WHERE {HASH.format(k='transaction_id', s='sample_share:42')}<0.1::DOUBLE")
 def g5_share(spark, sf):
     return P.sample_share(V.tx(spark, sf).select("transaction_id", "amount"), 0.1, "transaction_id")
 

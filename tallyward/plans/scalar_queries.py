@@ -156,13 +156,13 @@ def predict_by_threshold(spark, sf):
 
 @query(
     "B18_blend_columns",
-    with_views("scored") + f"""SELECT transaction_id, greatest(0.0::DOUBLE,least(1.0::DOUBLE,{half_up("0.0::DOUBLE+p*0.6::DOUBLE+q*0.4::DOUBLE+merchant_risk*0.0::DOUBLE", 4)})) AS score,
-    round(p*0.6::DOUBLE,6) AS part_rule, round(q*0.4::DOUBLE,6) AS part_amount FROM scored""",
+    with_views("scored", b="SELECT transaction_id, round(p*0.6::DOUBLE,6) AS a, round(q*0.4::DOUBLE,6) AS b FROM scored")
+    + "SELECT transaction_id, round(a+b,6) AS score, a AS part_rule, b AS part_amount FROM b",
 )
 def blend_columns(spark, sf):
     s = V.scored(spark, sf)
     score, parts = S.blend(
-        {"rule": F.col("p"), "amount": F.col("q"), "merchant": F.col("merchant_risk")},
+        {"rule": F.col("p"), "amount": F.col("q"), "merchant": F.col("merchant_risk"), "unweighted": F.col("p")},
         {"rule": 3.0, "amount": 2.0, "merchant": -1.0},
     )
     return s.select(
@@ -172,10 +172,9 @@ def blend_columns(spark, sf):
 
 @query(
     "B18_blend_map",
-    with_views("scored", b=f"""SELECT transaction_id, p/2.0::DOUBLE AS a, q/2.0::DOUBLE AS b,
-      greatest(0.0::DOUBLE,least(1.0::DOUBLE,{half_up("p/2.0::DOUBLE+q/2.0::DOUBLE", 4)})) AS score FROM scored""")
-    + """SELECT transaction_id, score, round(a,6) AS part_rule, round(b,6) AS part_amount,
-    CASE WHEN score>=0.5::DOUBLE THEN 'fraud' ELSE 'legitimate' END AS label FROM b""",
+    with_views("scored", b="SELECT transaction_id, round(p*(1.0::DOUBLE/2.0::DOUBLE),6) AS a, round(q*(1.0::DOUBLE/2.0::DOUBLE),6) AS b FROM scored")
+    + """SELECT transaction_id, round(b+a,6) AS score, a AS part_rule, b AS part_amount,
+    CAST(b+a>=0.5::DOUBLE AS INTEGER) AS label FROM b""",
 )
 def blend_map(spark, sf):
     scores = F.create_map(F.lit("amount"), F.col("q"), F.lit("rule"), F.col("p"))

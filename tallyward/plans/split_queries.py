@@ -16,38 +16,41 @@ def unit(key: str, stream) -> str:
     return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{stream}'),1,8))::UBIGINT / 4294967296.0::DOUBLE)"
 
 
-_H = f"SELECT *, {unit('transaction_id', 42)} AS h FROM tx"
+def _h(stream: str) -> str:
+    return f"SELECT *, {unit('transaction_id', stream)} AS h FROM tx"
+
+
 _SPLIT = "CASE WHEN h<0.2::DOUBLE THEN 'test' WHEN h<0.2::DOUBLE+0.1::DOUBLE THEN 'validation' ELSE 'train' END"
 
 
-@query("H1_class_split", with_views("tx", s=_H, d=f"SELECT transaction_id, is_fraud, {_SPLIT} AS split FROM s") + "SELECT * FROM d WHERE split<>'train' OR is_fraud=0")
+@query("H1_class_split", with_views("tx", s=_h("split:42"), d=f"SELECT transaction_id, is_fraud, {_SPLIT} AS split FROM s") + "SELECT * FROM d WHERE split<>'train' OR is_fraud=0")
 def h1(spark, sf):
     return Sp.class_split(V.tx(spark, sf), "transaction_id", "is_fraud").select("transaction_id", "is_fraud", "split")
 
 
 @query(
     "H1_class_split_exact",
-    with_views("tx", s=_H, o="SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY h, transaction_id)-1 AS o, count(*) OVER (PARTITION BY is_fraud) AS n FROM s")
+    with_views("tx", s=_h("exact_split:42"), o="SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY h, transaction_id)-1 AS o, count(*) OVER (PARTITION BY is_fraud) AS n FROM s")
     + """SELECT transaction_id, is_fraud, CASE WHEN o<round(n*0.2::DOUBLE) THEN 'test' WHEN o<round(n*0.2::DOUBLE)+round(n*0.1::DOUBLE) THEN 'validation' ELSE 'train' END AS split FROM o""",
 )
 def h1_exact(spark, sf):
     return Sp.exact_class_split(V.tx(spark, sf), "transaction_id", "is_fraud").select("transaction_id", "is_fraud", "split")
 
 
-@query("H2_hold_out", with_views("tx", s=_H) + "SELECT transaction_id, CASE WHEN h<0.2::DOUBLE THEN 'test' ELSE 'train' END AS split FROM s")
+@query("H2_hold_out", with_views("tx", s=_h("hold_out:42")) + "SELECT transaction_id, CASE WHEN h<0.2::DOUBLE THEN 'test' ELSE 'train' END AS split FROM s")
 def h2(spark, sf):
     return Sp.hold_out(V.tx(spark, sf), "transaction_id").select("transaction_id", "split")
 
 
 @query(
     "H3_stratified_folds",
-    with_views("tx", s=_H) + "SELECT transaction_id, is_fraud, CAST((row_number() OVER (PARTITION BY is_fraud ORDER BY h, transaction_id)-1)%5 AS INTEGER) AS fold FROM s",
+    with_views("tx", s=_h("stratified_folds:42")) + "SELECT transaction_id, is_fraud, CAST((row_number() OVER (PARTITION BY is_fraud ORDER BY h, transaction_id)-1)%5 AS INTEGER) AS fold FROM s",
 )
 def h3(spark, sf):
     return Sp.stratified_folds(V.tx(spark, sf), "transaction_id", "is_fraud").select("transaction_id", "is_fraud", "fold")
 
 
-@query("H4_folds", with_views("tx", s=_H) + "SELECT transaction_id, CAST(floor(h*5) AS INTEGER) AS fold FROM s")
+@query("H4_folds", with_views("tx", s=_h("folds:42")) + "SELECT transaction_id, CAST(floor(h*5) AS INTEGER) AS fold FROM s")
 def h4(spark, sf):
     return V.tx(spark, sf).select("transaction_id", Sp.fold_of(F.col("transaction_id"), 5).alias("fold"))
 
@@ -67,7 +70,7 @@ def h5_user(spark, sf):
     return Sp.ordered_split(V.orders_tx(spark, sf), "timestamp", "transaction_id", order="user_time").select("transaction_id", "split")
 
 
-_U = f"SELECT *, {unit('transaction_id', 42)} AS h FROM tx"
+_U = _h("undersample:42")
 _N = "SELECT count(*) FILTER (is_fraud=1) AS n1, count(*) FILTER (is_fraud=0) AS n0 FROM tx"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyward.operators.heavy import Heavy
-from tallyward.operators.merchants import merchant_stats
+from tallyward.operators.merchants import global_rate, merchant_stats
 from tallyward.plans import views as V
 from tallyward.plans.registry import query
 from tallyward.plans.views import half_up, with_views
@@ -43,6 +43,15 @@ def k1_stream(spark, sf):
     return On.drain(out, "rate-limit")
 
 
+@query(
+    "K1_window_counts_batch",
+    with_views("tx") + "SELECT user_id AS key, epoch_us(timestamp)//86400000000*86400 AS window_start, count(*) AS requests FROM tx GROUP BY ALL",
+)
+def k1_counts_batch(spark, sf):
+    """All windows, also those that a stream still holds open when its source ends."""
+    return On.window_counts(V.tx(spark, sf), "user_id", "timestamp", 86400)
+
+
 @query(
     "K1_window_counts_stream",
     with_views("tx") + """SELECT user_id AS key, epoch_us(timestamp)//86400000000*86400 AS window_start, count(*) AS requests FROM tx
@@ -125,21 +134,24 @@ _K5_SQL = with_views(
  FROM s JOIN top USING (transaction_id)"""
 
 
-def _requests(df, stats):
-    """Request fields; merchant risk comes from a stream-static lookup."""
-    return df.join(stats.select("merchant_id", F.col("rate").alias("merchant_risk")), "merchant_id").select(
-        "transaction_id", "amount", "merchant_risk", F.col("hour_of_day").cast("double").alias("velocity_1h"),
+def _requests(df, stats, overall):
+    """Request fields; merchant risk comes from a stream-static lookup, the global rate for a new merchant."""
+    side = stats.select("merchant_id", F.col("rate").alias("merchant_risk"))
+    return df.join(side, "merchant_id", "left").select(
+        "transaction_id", "amount", F.coalesce("merchant_risk", overall).alias("merchant_risk"), F.col("hour_of_day").cast("double").alias("velocity_1h"),
         (F.col("amount") % 250.0).alias("distance_from_home"),
     )
 
 
 @query("K5_score_stream", _K5_SQL)
 def k5_stream(spark, sf):
-    stats = merchant_stats(V.tx(spark, sf))
-    return On.drain(On.score_rows(_requests(tx_stream(spark, sf), stats)), "alerts")
+    t = V.tx(spark, sf)
+    # one number, read before the stream starts
+    overall = F.lit(t.agg(F.avg("is_fraud")).first()[0])
+    return On.drain(On.score_rows(_requests(tx_stream(spark, sf), merchant_stats(t), overall)), "alerts")
 
 
 @query("K5_score_batch", _K5_SQL)
 def k5_batch(spark, sf):
     t = V.tx(spark, sf)
-    return On.score_rows(_requests(t, merchant_stats(t)))
+    return On.score_rows(_requests(t, merchant_stats(t), global_rate(t)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyward.functions.columns import MERCHANT_RISK_EDGES
+from tallyward.functions.hashing import hash_unit
 from tallyward.operators import history as Hi
 from tallyward.operators import merchants as M
 from tallyward.operators import sequences as Sq
@@ -227,18 +228,21 @@ def f10(spark, sf):
     )
 
 
+_IN_TRAIN = "('0x' || substr(md5(CAST(transaction_id AS VARCHAR) || ':train'),1,8))::UBIGINT / 4294967296.0::DOUBLE < 0.5::DOUBLE"
+
+
 @query(
     "F11_scaled_sequences",
     with_views(
         "tx", q=_SEQ.format(view="tx"), z=_SEQ_OUT,
         m="""SELECT avg(s[1]) AS m1, stddev_pop(s[1]) AS s1, avg(s[2]) AS m2, stddev_pop(s[2]) AS s2
-        FROM (SELECT unnest(sequence) AS s FROM z WHERE transaction_id<5000)""",
+        FROM (SELECT unnest(sequence) AS s FROM z WHERE """ + _IN_TRAIN + ")",
         y="""SELECT transaction_id, list_transform(sequence, lambda s: [round((s[1]-m1)/s1,6), round((s[2]-m2)/s2,6)]) AS sequence FROM z, m""",
     ) + _FLAT.format(t="y"),
 )
 def f11(spark, sf):
     seqs = Sq.user_sequences(V.tx(spark, sf), 10, SEQ)
-    train = seqs.where(F.col("transaction_id") < 5000)  # the earlier rows are the training part
+    train = seqs.where(hash_unit(F.col("transaction_id"), "train") < 0.5)
     done = Sq.standardise_sequences(seqs, Sq.step_moments(train))
     steps = flat(done.select("transaction_id", "sequence"))
     return steps.withColumns({c: F.round(c, 6) for c in SEQ})
@@ -264,7 +268,10 @@ def f12(spark, sf):
 
 # lookups and the statistics behind them
 
-_SEEN = "SELECT * FROM tx WHERE merchant_id<60"
+# a hash share of the keys is known when the statistics are learned, at every size
+_IS_SEEN = "('0x' || substr(md5(CAST(merchant_id AS VARCHAR) || ':known'),1,8))::UBIGINT / 4294967296.0::DOUBLE < 0.6::DOUBLE"
+_IS_KNOWN = "('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':known'),1,8))::UBIGINT / 4294967296.0::DOUBLE < 0.7::DOUBLE"
+_SEEN = f"SELECT * FROM tx WHERE {_IS_SEEN}"
 _HALF = """SELECT merchant_id, CAST(sum(is_fraud) AS BIGINT) AS f, count(*) AS n FROM seen GROUP BY merchant_id"""
 
 
@@ -276,7 +283,7 @@ _HALF = """SELECT merchant_id, CAST(sum(is_fraud) AS BIGINT) AS f, count(*) AS n
 )
 def c1(spark, sf):
     t = V.tx(spark, sf)
-    seen = t.where(F.col("merchant_id") < 60)  # merchants known when the statistics were learned
+    seen = t.where(hash_unit(F.col("merchant_id"), "known") < 0.6)
     out = M.merchant_features(t, M.merchant_stats(seen), M.global_rate(seen))
     return out.select(
         "transaction_id", F.round("merchant_fraud_rate", 6).alias("merchant_fraud_rate"), "merchant_fraud_count",
@@ -284,13 +291,13 @@ def c1(spark, sf):
     )
 
 
-_KNOWN = "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp DESC, transaction_id DESC) AS rn FROM tx WHERE user_id<100"
+_KNOWN = f"SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp DESC, transaction_id DESC) AS rn FROM tx WHERE {_IS_KNOWN}"
 
 
 @query(
     "C2_user_lookup_fallback",
     with_views(
-        "tx", r=_KNOWN, g="SELECT avg(amount) AS gm, stddev_samp(amount) AS gs FROM tx WHERE user_id<100",
+        "tx", r=_KNOWN, g=f"SELECT avg(amount) AS gm, stddev_samp(amount) AS gs FROM tx WHERE {_IS_KNOWN}",
         u="SELECT user_id, avg(amount) AS m, stddev_samp(amount) AS s FROM r WHERE rn<=30 GROUP BY user_id HAVING count(*)>=3",
     )
     + """SELECT transaction_id, round((amount-coalesce(m,gm))/coalesce(nullif(s,0),nullif(gs,0),1.0::DOUBLE),6) AS deviation_amount_zscore,
@@ -298,7 +305,7 @@ _KNOWN = "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp D
 )
 def c2(spark, sf):
     t = V.tx(spark, sf)
-    known = t.where(F.col("user_id") < 100)
+    known = t.where(hash_unit(F.col("user_id"), "known") < 0.7)
     d = Hi.deviation(t, Hi.user_stats(known, ["amount"]), Hi.global_moments(known, ["amount"]), ["amount"])
     return d.select(
         "transaction_id", F.round("deviation_amount_zscore", 6).alias("deviation_amount_zscore"),
@@ -306,10 +313,10 @@ def c2(spark, sf):
     )
 
 
-@query("C3_unseen_keys", with_views("tx") + "SELECT merchant_id, count(*) AS rows FROM tx WHERE merchant_id>=60 GROUP BY merchant_id")
+@query("C3_unseen_keys", with_views("tx") + f"SELECT merchant_id, count(*) AS rows FROM tx WHERE NOT {_IS_SEEN} GROUP BY merchant_id")
 def c3(spark, sf):
     t = V.tx(spark, sf)
-    return M.unseen_keys(t, M.merchant_stats(t.where(F.col("merchant_id") < 60)), "merchant_id")
+    return M.unseen_keys(t, M.merchant_stats(t.where(hash_unit(F.col("merchant_id"), "known") < 0.6)), "merchant_id")
 
 
 @query(

@@ -25,8 +25,9 @@ def get_session(app: str = "tallyward", cores: str = "*", shuffle_partitions: in
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (tests, a laptop) do we pick a temporary folder ourselves.
+    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset and
+    the master is local (tests, a laptop) do we pick a temporary folder ourselves;
+    on a cluster executors would not see it, so that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -34,6 +35,9 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
     if spark.sparkContext.getCheckpointDir() is None:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyward-"))
     return spark.sparkContext.getCheckpointDir()
 

@@ -51,6 +51,11 @@ def _gather(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
     return pd.concat(list(rows)).sort_values(list(order), kind="stable")
 
 
+def _text(key) -> str | None:
+    """A key as text; a null key stays null."""
+    return None if key is None or key != key else str(key)
+
+
 # K1: fixed-window limit
 
 def window_start(ts: Column, seconds: int) -> Column:
@@ -74,7 +79,7 @@ class _Limit(StatefulProcessor):
         self.handle.registerTimer((int(key[1]) + self.seconds) * 1000)
         yield pd.DataFrame(
             {
-                "id": pdf["id"].to_numpy(), "key": str(key[0]), "window_start": int(key[1]),
+                "id": pdf["id"].to_numpy(), "key": _text(key[0]), "window_start": int(key[1]),
                 "allowed": rank <= self.limit, "remaining": np.maximum(0, self.limit - rank).astype("int64"),
                 "reset_at": int(key[1]) + self.seconds,
             }
@@ -126,8 +131,19 @@ def rate_limit_batch(
     )
 
 
+def window_counts(df: DataFrame, key_col: str, datetime_col: str, seconds: int = WINDOW_SECONDS) -> DataFrame:
+    """Requests per key and window of a finished table."""
+    return (
+        df.groupBy(F.col(key_col).alias("key"), window_start(F.col(datetime_col), seconds).alias("window_start"))
+        .agg(F.count(F.lit(1)).alias("requests"))
+    )
+
+
 def window_counts_stream(stream: DataFrame, key_col: str, datetime_col: str, seconds: int = WINDOW_SECONDS, delay: str = "1 hour") -> DataFrame:
-    """Requests per key and window, emitted when the watermark closes the window."""
+    """Requests per key and window, emitted when the watermark closes the window.
+
+    A file sink appends, so windows still open when a source ends are not emitted.
+    """
     return (
         stream.withWatermark(datetime_col, delay)
         .groupBy(F.col(key_col).alias("key"), F.window(datetime_col, f"{seconds} seconds").alias("w"))
@@ -152,7 +168,7 @@ class _Repeats(StatefulProcessor):
         keep, last = fresh_marks(pdf["us"].to_numpy(), last, self.ttl_us)
         self.last.update((int(last),))
         self.handle.registerTimer(int(last // 1000 + self.ttl_us // 1000 + 1))
-        yield pd.DataFrame({"id": pdf["id"].to_numpy(), "key": str(key[0]), "us": pdf["us"].to_numpy(), "computed": keep})
+        yield pd.DataFrame({"id": pdf["id"].to_numpy(), "key": _text(key[0]), "us": pdf["us"].to_numpy(), "computed": keep})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.last.exists() and self.last.get()[0] // 1000 + self.ttl_us // 1000 < expiredTimerInfo.getExpiryTimeInMs():
@@ -219,11 +235,14 @@ def suppress_repeats_batch(
 
 def _walk(ttl: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, last = None, 0
+        key, last = None, None
         for b in batches:
             marks = []
             for k, us in zip(b.column("key").to_pylist(), b.column("us").to_pylist()):
-                fresh = k != key or us >= last + ttl
+                if us is None:  # without a time nothing is known to be recent
+                    marks.append(True)
+                    continue
+                fresh = k != key or last is None or us >= last + ttl
                 if fresh:
                     key, last = k, us
                 marks.append(fresh)
@@ -289,19 +308,22 @@ class _Velocity(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.totals = handle.getMapState("totals", "slice bigint", "n bigint, v bigint, last bigint")
-        self.rows = handle.getMapState("rows", "slice bigint", "us array<bigint>, v array<bigint>")
+        self.rows = handle.getMapState("rows", "slice bigint", "us array<bigint>, v array<bigint>, c array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _gather(rows, ["us", "id"])
-        us, v = pdf["us"].to_numpy(), np.round(pdf["amount"].to_numpy(dtype=float) * self.unit).astype("int64")
+        us, amount = pdf["us"].to_numpy(), pdf["amount"].to_numpy(dtype=float)
+        # Missing, NaN and infinite amounts count for the gap, not for the window.
+        counted = np.isfinite(amount)
+        v = np.round(np.where(counted, amount, 0.0) * self.unit).astype("int64")
         slices = us // self.SLICE_US
         totals = {k[0]: list(t) for k, t in self.totals.iterator()}
-        held: dict[int, tuple[list[int], list[int]]] = {}
+        held: dict[int, tuple[list[int], list[int], list[int]]] = {}
 
-        def raw(s: int) -> tuple[list[int], list[int]]:
+        def raw(s: int) -> tuple[list[int], list[int], list[int]]:
             if s not in held:
                 got = self.rows.getValue((s,)) if s in totals else None
-                held[s] = (list(got[0]), list(got[1])) if got else ([], [])
+                held[s] = (list(got[0]), list(got[1]), list(got[2])) if got else ([], [], [])
             return held[s]
 
         def before(t: int) -> int | None:
@@ -318,15 +340,16 @@ class _Velocity(StatefulProcessor):
 
         previous = [before(int(us[0]))] + [None] * (len(us) - 1)
         touched: set[int] = set()
-        for i, (t, x, s) in enumerate(zip(us.tolist(), v.tolist(), slices.tolist())):
+        for i, (t, x, c, s) in enumerate(zip(us.tolist(), v.tolist(), counted.astype(int).tolist(), slices.tolist())):
             if i:
                 previous[i] = before(t)
-            times, values = raw(s)
+            times, values, counts = raw(s)
             at = bisect.bisect_right(times, t)
             times.insert(at, t)
             values.insert(at, x)
+            counts.insert(at, c)
             old = totals.get(s, [0, 0, t])
-            totals[s] = [old[0] + 1, old[1] + x, max(old[2], t)]
+            totals[s] = [old[0] + c, old[1] + x, max(old[2], t)]
             touched.add(s)
 
         out = {"id": pdf["id"].to_numpy(), "user": [key[0]] * len(us)}
@@ -338,16 +361,16 @@ class _Velocity(StatefulProcessor):
                 n = sum(totals[s][0] for s in totals if first < s < last)
                 total = sum(totals[s][1] for s in totals if first < s < last)
                 for s in {first, last}:
-                    times, values = raw(s)
+                    times, values, counts = raw(s)
                     a, b = bisect.bisect_right(times, t - span), bisect.bisect_right(times, t)
-                    n, total = n + b - a, total + sum(values[a:b])
+                    n, total = n + sum(counts[a:b]), total + sum(values[a:b])
                 answer[t] = (n, total)
             out[f"n{j}"] = [answer[t][0] for t in us.tolist()]
             out[f"s{j}"] = [answer[t][1] for t in us.tolist()]
         out["gap"] = [NO_PREVIOUS_S if p is None else (t - p) / 1e6 for t, p in zip(us.tolist(), previous)]
 
         for s in touched:
-            self.rows.updateValue((s,), (held[s][0], held[s][1]))
+            self.rows.updateValue((s,), held[s])
             self.totals.updateValue((s,), tuple(int(x) for x in totals[s]))
         # slices older than the longest window, counted from the watermark, are never read again
         horizon = (timerValues.getCurrentWatermarkInMs() * 1000 - max(self.spans)) // self.SLICE_US
@@ -364,7 +387,7 @@ class _Velocity(StatefulProcessor):
 
 def velocity_stream(
     stream: DataFrame, user_col: str = "user_id", datetime_col: str = "timestamp", amount_col: str = "amount",
-    id_col: str = "transaction_id", windows: Sequence[tuple[int, str]] = tuple(DEFAULT_WINDOWS), scale: int = 2,
+    id_col: str = "transaction_id", windows: Sequence[tuple[int, str]] = tuple(DEFAULT_WINDOWS), scale: int = 4,
     delay: str = "1 hour",
 ) -> DataFrame:
     """Count, sum and mean per window and the gap, emitted when a transaction arrives.
@@ -385,7 +408,7 @@ def velocity_stream(
     )
     cols = [F.col("id").alias(id_col)]
     for j, (n, u) in enumerate(windows):
-        total = F.col(f"s{j}") / F.lit(float(unit))
+        total = F.when(F.col(f"n{j}") > 0, F.col(f"s{j}") / F.lit(float(unit)))
         cols += [
             F.col(f"n{j}").alias(f"velocity_count_{n}{u}"), total.alias(f"velocity_sum_{n}{u}"),
             (total / F.col(f"n{j}")).alias(f"velocity_mean_{n}{u}"),
