@@ -151,6 +151,16 @@ def chunk_pattern(texts: list[str]):
 class Codec:
     """Encodes and decodes single texts in a task."""
 
+    #: Python workers serve many tasks; what the last one learned stays.
+    _kept: tuple[int, Codec] | None = None
+
+    @classmethod
+    def of(cls, model: Broadcast) -> Codec:
+        mark = hash((tuple(model.value.scores), model.value.trie.base.tobytes()))
+        if cls._kept is None or cls._kept[0] != mark:
+            cls._kept = (mark, cls(model.value))
+        return cls._kept[1]
+
     def __init__(self, model: Unigram) -> None:
         self.model = model
         self.cache: dict[str, tuple[int, ...]] = {}
@@ -313,7 +323,7 @@ def encode(model: Broadcast, text: Column) -> Column:
     """array<int> of piece ids; null or empty text gives an empty array."""
 
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(model.value)
+        codec = Codec.of(model)
         for a in arrays:
             found: list[list[int]] = []
             for at in range(0, len(a), 256):
@@ -327,7 +337,7 @@ def decode(model: Broadcast, ids: Column) -> Column:
     """The text of an array of ids; null gives null."""
 
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(model.value)
+        codec = Codec.of(model)
         for a in arrays:
             yield pa.array([None if (x := i.as_py()) is None else codec.decode(x) for i in a], pa.string())
 
@@ -346,7 +356,7 @@ def round_trips(docs: DataFrame, model: Broadcast, id_col: str = "doc_id", text_
     names = [id_col, "n_ids", "n_bytes", "ids_crc32", "ids", "decoded_sha256", "exact"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model.value)
+        codec = Codec.of(model)
         is_byte = np.zeros(len(codec.model.texts), dtype=bool)
         is_byte[list(codec.byte_of)] = True
         for batch in batches:

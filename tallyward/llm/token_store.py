@@ -18,7 +18,7 @@ hash number: fingerprint u32, copies u32, first id u64, ids u64.
 
 from __future__ import annotations
 
-import itertools
+import hashlib
 import json
 import os
 import re
@@ -67,7 +67,17 @@ class Encoder:
     work and changes no result.  Other tokenizers encode whole texts.
     """
 
-    def __init__(self, blob: bytes, cache: int = 300_000) -> None:
+    #: Python workers serve many tasks; what the last one learned stays.
+    _kept: tuple[bytes, Encoder] | None = None
+
+    @classmethod
+    def of(cls, blob: bytes) -> Encoder:
+        mark = hashlib.sha256(blob).digest()
+        if cls._kept is None or cls._kept[0] != mark:
+            cls._kept = (mark, cls(blob))
+        return cls._kept[1]
+
+    def __init__(self, blob: bytes, cache: int = 700_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core already
         from tokenizers import Tokenizer
 
@@ -76,7 +86,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         probe = "one two.\nThree, four  five's <x> 6.7"
         self.by_word = self._plain([probe])[0] == [i for w in self._words(probe) for i in self._plain([w])[0]]
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, bytes] = {}
         self.most = cache
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
@@ -96,8 +106,8 @@ class Encoder:
         new = list({w for p in parts for w in p if w not in cache})
         for at in range(0, len(new), 5000):
             part = new[at : at + 5000]
-            cache.update(zip(part, self._plain(part), strict=True))
-        return [np.fromiter(itertools.chain.from_iterable([cache[w] for w in p]), dtype=np.uint32) for p in parts]
+            cache.update((w, np.array(ids, dtype=np.uint32).tobytes()) for w, ids in zip(part, self._plain(part), strict=True))
+        return [np.frombuffer(b"".join([cache[w] for w in p]), dtype=np.uint32) for p in parts]
 
 
 class _Shard:
@@ -186,7 +196,7 @@ def write_store(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = Encoder(shared.value), None
+        encoder, shard = Encoder.of(shared.value), None
         for batch in batches:
             column, texts = batch.column(0), batch.column(1)
             size = np.array(pc.utf8_length(texts))
