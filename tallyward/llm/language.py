@@ -75,11 +75,15 @@ def _vector(slots: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarra
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` is the number of labelled documents, over all languages, that weights are trained on."""
+    """``sample`` is the number of labelled documents, over all languages, that weights are trained on.
+
+    It is trained in up to ``parts`` parts of at least ``part_rows`` documents.
+    """
 
     sample: int = 8000
     parts: int = 8
-    passes: int = 3
+    part_rows: int = 500
+    passes: int = 5
     alpha: float = 2.0
     beta: float = 1.0
     l1: float = 0.2
@@ -201,8 +205,10 @@ def fit(docs: DataFrame, text_col: str, label_col: str, key: Column, settings: S
 
     drawn = rows.where(F.col("ok") & (unit < share)).select("text", number.cast("int").alias("label"), "h")
     sample = settle(drawn.mapInArrow(features, "label int, h long, slots array<int>, counts array<int>").where(F.size("slots") > 0))
-    part = F.pmod(F.shiftright("h", 8), F.lit(s.parts + 2)).cast("int")  # the last two parts are for calibration
-    sample = sample.withColumn("part", part)
+    parts = max(1, min(s.parts, sample.count() // s.part_rows))
+    # A fifth of the sample is for calibration; its part is -1.
+    held_out = F.pmod(F.shiftright("h", 40), F.lit(5)) == 0
+    sample = sample.withColumn("part", F.when(held_out, F.lit(-1)).otherwise(F.pmod(F.shiftright("h", 8), F.lit(parts)).cast("int")))
     z, n = np.zeros((SIZE, len(names))), np.zeros((SIZE, len(names)))
     for _ in range(s.passes):
         shared = spark.sparkContext.broadcast((z, n))
@@ -223,12 +229,12 @@ def fit(docs: DataFrame, text_col: str, label_col: str, key: Column, settings: S
             return pa.table({"z": [z0.tobytes()], "n": [n0.tobytes()]}, schema=pa.schema([("z", pa.binary()), ("n", pa.binary())]))
 
         # ``parts`` states of fixed size come back.
-        got = sample.where(F.col("part") < s.parts).groupBy("part").applyInArrow(train, "z binary, n binary").collect()
+        got = sample.where(F.col("part") >= 0).groupBy("part").applyInArrow(train, "z binary, n binary").collect()
         if got:
             z = np.mean([np.frombuffer(r["z"]).reshape(z.shape) for r in got], axis=0)
             n = np.mean([np.frombuffer(r["n"]).reshape(n.shape) for r in got], axis=0)
     weights = _weights(z, n, s)
-    held = sample.where(F.col("part") >= s.parts).select("label", "slots", "counts").toArrow()
+    held = sample.where(F.col("part") < 0).select("label", "slots", "counts").toArrow()
     logits = [
         _vector(np.asarray(a.values), np.asarray(b.values), idf) @ weights[np.asarray(a.values)]
         for a, b in zip(held["slots"], held["counts"], strict=True)

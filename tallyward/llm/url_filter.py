@@ -1,8 +1,8 @@
 """URL filters: rules first, then naive Bayes over segmented host and path words.
 
 Method: a host label such as ``freebets`` is split by unigram Viterbi into the words
-of highest total log probability.  Word counts come from the whole corpus of page
-texts and urls, counted in Spark; a label meets only the counted words that are
+of highest total log probability.  Word counts come from the text of all pages (not
+from urls, where a joined name would be its own word), counted in Spark; a label meets only the counted words that are
 substrings of it, by a join.  Multinomial naive Bayes then scores the words of host
 and path: both classes have the words of labelled examples, smoothed by how common a
 word is among the distinct hosts of the corpus, so words that any host has say little.
@@ -100,12 +100,10 @@ def labels_of(host: Column) -> Column:
     return F.when(F.size(parts) > 1, F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
-def word_counts(pages: DataFrame, url: str, html: str | None) -> DataFrame:
-    """(word, n): lower-case words of all urls and, if given, of the text between tags of all pages."""
-    texts = pages.select(F.coalesce(F.col(url), F.lit("")).alias("t"))
-    if html:
-        bare = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), "<[^>]*>", " ")
-        texts = texts.unionByName(pages.select(bare.alias("t")))
+def word_counts(pages: DataFrame, html: str) -> DataFrame:
+    """(word, n): lower-case words of the text between the tags of all pages."""
+    bare = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), "<[^>]*>", " ")
+    texts = pages.select(bare.alias("t"))
     words = texts.select(F.explode(F.regexp_extract_all(F.lower("t"), F.lit("[\\p{L}]+"), F.lit(0))).alias("word"))
     return words.where(F.char_length("word") <= LONGEST_WORD).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -192,7 +190,7 @@ class NaiveBayes:
 
 
 def judge(
-    pages: DataFrame, url_col: str = "url", html_col: str | None = "html", rules: tuple[Rule, ...] = RULES
+    pages: DataFrame, url_col: str = "url", html_col: str = "html", rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
     """``pages`` with host, path, rule, words, score and verdict.
 
@@ -202,7 +200,7 @@ def judge(
     """
     host, path = split_url(F.col(url_col))
     work = pages.withColumns({"__host": host, "__path": path})
-    counts = settle(word_counts(pages, url_col, html_col))
+    counts = settle(word_counts(pages, html_col))
     hosts = work.select(F.col("__host").alias("host")).distinct()
     labels = hosts.select("host", F.posexplode(labels_of(F.col("host"))).alias("i", "label"))
     split = segment(labels, counts)
