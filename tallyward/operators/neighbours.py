@@ -20,7 +20,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from tallyward.operators.ordering import ordinals
 from tallyward.operators.profile import sample_rows
 from tallyward.session import settle
 
@@ -98,8 +100,18 @@ def nearest_neighbours(
 ) -> DataFrame:
     """(row_id, rank, neighbour, distance): the k nearest reference rows of every query row.
 
-    Ties are broken by neighbour id.  Row ids are bigint.
+    Ties are broken by neighbour id.  Row ids are whole numbers or text; text ids are
+    numbered in their order for the search.
     """
+    if isinstance(queries.schema[row].dataType, StringType):
+        ids = queries.select(row).union(reference.select(row)).where(F.col(row).isNotNull()).distinct()
+        numbers = settle(ordinals(ids, row, row, out="__n"))
+        named = lambda df: df.join(numbers, row).select(F.col("__n").alias(row), features)
+        found = nearest_neighbours(named(queries), named(reference), k, row, features, exclude_self, pivots, block_rows)
+        back = lambda column: numbers.select(F.col("__n").alias(column), F.col(row).alias(f"__{column}"))
+        return found.join(back("row_id"), "row_id").join(back("neighbour"), "neighbour").select(
+            F.col("__row_id").alias("row_id"), "rank", F.col("__neighbour").alias("neighbour"), "distance"
+        )
     need = k + 1 if exclude_self else k
     rows = queries.select(F.col(row).cast("bigint").alias("r"), F.col(features).alias("f"))
     asked = rows.groupBy("f").agg(F.min("r").alias("r"))

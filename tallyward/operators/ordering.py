@@ -11,11 +11,13 @@ and group) supply what comes before.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tallyward.session import settle
 
@@ -25,6 +27,22 @@ def bucket_count(df: DataFrame) -> int:
     return max(2, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4096))
 
 
+def number_line(df: DataFrame, column: str) -> Column:
+    """A double that rises with the column, for cutting its axis; not one to one.
+
+    Numbers, dates and times stand for themselves.  Text counts by its first six
+    bytes behind the beginning that all its values share (that of least and largest).
+    """
+    kind = df.schema[column].dataType
+    if not isinstance(kind, StringType):
+        value = F.col(column)
+        return (F.unix_micros(value) if kind.typeName() == "timestamp" else value).cast("double")
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    common = len(os.path.commonprefix([(low or "").encode(), (high or "").encode()]))
+    six = F.substring(F.col(column).cast("binary"), common + 1, 6)
+    return F.conv(F.rpad(F.hex(six), 12, "0"), 16, 10).cast("double")
+
+
 def cut_points(df: DataFrame, column: str, buckets: int) -> tuple[list[float], list[float]]:
     """Approximate quantile cuts of a numeric column, and the values heavy enough to repeat."""
     shares = [i / buckets for i in range(1, buckets)]
@@ -55,27 +73,27 @@ def running_totals(
 ) -> DataFrame:
     """Add inclusive running sums of ``measures`` along ``order`` within each ``by`` group.
 
-    ``order`` (and ``tie``, which orders equal values) must be numeric, and together
-    unique within a group.  A value of ``order`` so frequent that it spans several
-    quantile cuts gets its own bucket, which is cut again along ``tie``.
+    ``order`` (and ``tie``, which orders equal values) are numbers, times or text, and
+    together unique within a group.  A value of ``order`` so frequent that it spans
+    several quantile cuts gets its own bucket, which is cut again along ``tie``.
     """
     buckets = bucket_count(df)
-    axis = F.col(order) if not descending else -F.col(order)
-    df = df.withColumn("__axis", axis)
-    cuts, heavy = cut_points(df, "__axis", buckets)
-    df = with_bucket(df, "__axis", cuts, "__b1")
+    line = number_line(df, order)
+    df = df.withColumn("__axis", F.col(order)).withColumn("__line", -line if descending else line)
+    cuts, heavy = cut_points(df, "__line", buckets)
+    df = with_bucket(df, "__line", cuts, "__b1")
     if tie and heavy:
-        tie_cuts, _ = cut_points(df.where(F.col("__axis").cast("double").isin(heavy)), tie, buckets)
-        df = with_bucket(df, tie, tie_cuts, "__b2")
-        df = df.withColumn(
-            "__b2", F.when(F.col("__axis").cast("double").isin(heavy), F.col("__b2")).otherwise(F.lit(0.0))
-        )
+        busy = F.col("__line").isin(heavy)
+        df = df.withColumn("__tie", number_line(df, tie))
+        tie_cuts, _ = cut_points(df.where(busy), "__tie", buckets)
+        df = with_bucket(df, "__tie", tie_cuts, "__b2").drop("__tie")
+        df = df.withColumn("__b2", F.when(busy, F.col("__b2")).otherwise(F.lit(0.0)))
     else:
         df = df.withColumn("__b2", F.lit(0.0))
     slot = [*by, "__b1", "__b2"]
     within = (
         Window.partitionBy(*slot)
-        .orderBy("__axis", *([tie] if tie else []))
+        .orderBy(F.col("__axis").desc() if descending else F.col("__axis").asc(), *([tie] if tie else []))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     exprs = {name: (F.col(e) if isinstance(e, str) else e) for name, e in measures.items()}
@@ -89,7 +107,7 @@ def running_totals(
     joined = local.alias("l").join(
         prior.alias("r"), [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in slot], "left"
     )
-    kept = [c for c in local.columns if c not in exprs and c not in ("__axis", "__b1", "__b2")]
+    kept = [c for c in local.columns if c not in exprs and c not in ("__axis", "__line", "__b1", "__b2")]
     return joined.select(
         *[F.col(f"l.{c}") for c in kept],
         *[(F.col(f"l.{n}") + F.coalesce(F.col(f"r.__p_{n}"), F.lit(0))).alias(n) for n in exprs],

@@ -51,6 +51,11 @@ def _gather(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
     return pd.concat(list(rows)).sort_values(list(order), kind="stable")
 
 
+def _id_field(rows: DataFrame) -> str:
+    """The id column as a schema field; ids keep their type."""
+    return "id " + rows.schema["id"].dataType.simpleString()
+
+
 def _text(key) -> str | None:
     """A key as text; a null key stays null."""
     return None if key is None or key != key else str(key)
@@ -93,7 +98,7 @@ class _Limit(StatefulProcessor):
         pass
 
 
-LIMIT_OUT = "id bigint, key string, window_start bigint, allowed boolean, remaining bigint, reset_at bigint"
+LIMIT_OUT = "key string, window_start bigint, allowed boolean, remaining bigint, reset_at bigint"
 
 
 def rate_limit_stream(
@@ -107,10 +112,10 @@ def rate_limit_stream(
     """
     rows = stream.withWatermark(datetime_col, delay).select(
         F.col(key_col).cast("string").alias("key"), window_start(F.col(datetime_col), seconds).alias("window_start"),
-        F.unix_micros(datetime_col).alias("us"), F.col(id_col).cast("bigint").alias("id"), F.col(datetime_col),
+        F.unix_micros(datetime_col).alias("us"), F.col(id_col).alias("id"), F.col(datetime_col),
     )
     return rows.groupBy("key", "window_start").transformWithStateInPandas(
-        _Limit(limit, seconds), outputStructType=LIMIT_OUT, outputMode="Append", timeMode="EventTime"
+        _Limit(limit, seconds), outputStructType=f"{_id_field(rows)}, {LIMIT_OUT}", outputMode="Append", timeMode="EventTime"
     )
 
 
@@ -119,7 +124,7 @@ def rate_limit_batch(
 ) -> DataFrame:
     """The same verdicts for a finished table."""
     rows = df.select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(key_col).cast("string").alias("key"),
+        F.col(id_col).alias("id"), F.col(key_col).cast("string").alias("key"),
         window_start(F.col(datetime_col), seconds).alias("window_start"), F.unix_micros(datetime_col).alias("us"),
     )
     w = Window.partitionBy("key", "window_start").orderBy("us", "id")
@@ -195,10 +200,10 @@ def suppress_repeats_stream(
     """(id, key, us, computed): false where an answer not older than the TTL would be served again."""
     rows = stream.withWatermark(datetime_col, delay).select(
         F.col(key_col).cast("string").alias("key"), F.unix_micros(datetime_col).alias("us"),
-        F.col(id_col).cast("bigint").alias("id"), F.col(datetime_col),
+        F.col(id_col).alias("id"), F.col(datetime_col),
     )
     return rows.groupBy("key").transformWithStateInPandas(
-        _Repeats(ttl_seconds * 1_000_000), outputStructType="id bigint, key string, us bigint, computed boolean",
+        _Repeats(ttl_seconds * 1_000_000), outputStructType=f"{_id_field(rows)}, key string, us bigint, computed boolean",
         outputMode="Append", timeMode="EventTime",
     )
 
@@ -215,13 +220,13 @@ def suppress_repeats_batch(
     """
     ttl = ttl_seconds * 1_000_000
     rows = df.select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(key_col).cast("string").alias("key"),
+        F.col(id_col).alias("id"), F.col(key_col).cast("string").alias("key"),
         F.unix_micros(datetime_col).alias("us"),
     )
     heavy = settle(heavy_keys(rows, ["key"], rule))
     light = rows.join(F.broadcast(heavy), "key", "left_anti").select("id", "key", "us")
     ordered = light.repartition("key").sortWithinPartitions("key", "us", "id")
-    out = ordered.mapInArrow(_walk(ttl), "id bigint, key string, us bigint, computed boolean")
+    out = ordered.select("id", "key", "us").mapInArrow(_walk(ttl), f"{_id_field(rows)}, key string, us bigint, computed boolean")
     if heavy.isEmpty():
         return out
     busy = rows.join(F.broadcast(heavy), "key")
@@ -397,12 +402,12 @@ def velocity_stream(
     """
     rows = stream.withWatermark(datetime_col, delay).select(
         F.col(user_col).alias("user"), F.unix_micros(datetime_col).alias("us"), F.col(amount_col).alias("amount"),
-        F.col(id_col).cast("bigint").alias("id"), F.col(datetime_col),
+        F.col(id_col).alias("id"), F.col(datetime_col),
     )
     unit = 10**scale
     spans = [window_us(w) for w in windows]
     kind = rows.schema["user"].dataType.simpleString()
-    schema = f"id bigint, user {kind}, " + ", ".join(f"n{j} bigint, s{j} bigint" for j in range(len(spans))) + ", gap double"
+    schema = f"{_id_field(rows)}, user {kind}, " + ", ".join(f"n{j} bigint, s{j} bigint" for j in range(len(spans))) + ", gap double"
     done = rows.groupBy("user").transformWithStateInPandas(
         _Velocity(spans, unit), outputStructType=schema, outputMode="Append", timeMode="EventTime"
     )
@@ -449,13 +454,13 @@ def sequence_stream(
 ) -> DataFrame:
     """The padded sequence that ends in each arriving transaction: (id, user, length, sequence)."""
     rows = stream.select(
-        F.col(user_col).alias("user"), F.unix_micros(datetime_col).alias("us"), F.col(id_col).cast("bigint").alias("id"),
+        F.col(user_col).alias("user"), F.unix_micros(datetime_col).alias("us"), F.col(id_col).alias("id"),
         F.array(*[F.col(c).cast("double") for c in features]).alias("step"),
     )
     kind = rows.schema["user"].dataType.simpleString()
     done = rows.groupBy("user").transformWithStateInPandas(
         _Buffer(length, minimum, len(features)),
-        outputStructType=f"id bigint, user {kind}, length int, sequence array<array<double>>",
+        outputStructType=f"{_id_field(rows)}, user {kind}, length int, sequence array<array<double>>",
         outputMode="Append", timeMode="None",
     )
     return done.select(F.col("id").alias(id_col), F.col("user").alias(user_col), "length", "sequence")
