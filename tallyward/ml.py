@@ -83,12 +83,10 @@ class VelocityFeatures(Transformer, _Columns, DefaultParamsReadable, DefaultPara
         return velocity_names([parse_window(w) for w in self._of("windows")], self._of("features"))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        key = self._of("idCol")
-        added = velocity(
-            dataset, self._of("userCol"), self._of("datetimeCol"), self._of("amountCol"), key,
-            [parse_window(w) for w in self._of("windows")], self._of("features"), self._of("ties"),
-        )
-        return dataset.join(added, key, "left").select(*dataset.columns, *self.get_feature_names_out())
+        return velocity(
+            dataset, self._of("userCol"), self._of("datetimeCol"), self._of("amountCol"), self._of("idCol"),
+            [parse_window(w) for w in self._of("windows")], self._of("features"), self._of("ties"), keep=dataset.columns,
+        ).select(*dataset.columns, *self.get_feature_names_out())
 
 
 class _TableWriter(MLWriter):

@@ -17,7 +17,7 @@ FAMILIES = ("velocity", "deviation", "merchant")
 
 
 class FraudFeatures:
-    """Velocity, deviation and merchant features, joined by transaction id.
+    """Velocity, deviation and merchant features of each transaction.
 
     ``fit`` learns small tables (user and merchant statistics, global moments);
     ``transform`` joins them back.  Keys not seen in ``fit`` fall back to the
@@ -112,11 +112,10 @@ class FraudFeaturesModel:
             moments = self.tables["moments"].select(F.struct(*names).alias("s")).scalar()
             out = deviation(out, self.tables["users"], moments, feats, p["user_col"], p["min_transactions"])
         if "velocity" in p["include"]:
-            v = velocity(
-                df, p["user_col"], p["datetime_col"], p["amount_col"], p["id_col"],
-                [tuple(w) for w in p["windows"]], p["velocity_features"], p["ties"], rule=rule,
+            out = velocity(
+                out, p["user_col"], p["datetime_col"], p["amount_col"], p["id_col"],
+                [tuple(w) for w in p["windows"]], p["velocity_features"], p["ties"], rule=rule, keep=out.columns,
             )
-            out = out.join(v, p["id_col"], "left")
         return out.select(*df.columns, *self.feature_names())
 
     def save(self, path: str) -> None:

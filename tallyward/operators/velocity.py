@@ -64,24 +64,27 @@ def _finish(func: str, n: Column, s: Column, q: Column | None, unit: int) -> Col
 
 def _windowed(
     df: DataFrame, group: str, value: str, at: str, row_id: str, windows, funcs, gap: bool,
-    ties: str, scale: int, rule: Heavy, chunk_us: int,
+    ties: str, scale: int, rule: Heavy, chunk_us: int, keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(row_id, one column per (window, func), gap) for rows with a key and a time."""
+    """(row_id or ``keep``, one column per (window, func), gap) for rows with a key and a time."""
     unit = 10**scale
     rows = df.where(F.col(group).isNotNull() & F.col(at).isNotNull()).select(
         F.col(row_id).alias("__id"),
         F.col(group).alias("__g"),
         F.unix_micros(F.col(at)).alias("__us"),
         F.round(known(F.col(value)) * F.lit(float(unit))).cast("bigint").alias("__v"),
+        *([F.struct(*keep).alias("__keep")] if keep else []),
     )
     spans = [window_us(w) for w in windows]
     moves = [F.struct(F.col("__us").alias("at"), F.lit(-1).alias("w"))]
     moves += [F.struct((F.col("__us") + F.lit(s)).alias("at"), F.lit(i).alias("w")) for i, s in enumerate(spans)]
 
+    carried = ["__id", *(["__keep"] if keep else [])]
+
     def events_of(part: DataFrame) -> DataFrame:
-        return part.select("__g", "__id", "__v", F.inline(F.array(*moves))).withColumn(
-            "__id", F.when(F.col("w") == -1, F.col("__id"))
-        )
+        # only arrivals carry the id and the kept columns
+        events = part.select("__g", *carried, "__v", F.inline(F.array(*moves)))
+        return events.withColumns({c: F.when(F.col("w") == -1, F.col(c)) for c in carried})
 
     need_std = "std" in funcs
     present = F.col("__v").isNotNull()
@@ -111,7 +114,7 @@ def _windowed(
     names = [*totals, *(["prev"] if gap else [])]
     light, heavy = split_heavy(rows, ["__g"], rule)
     # rows are shuffled once and only then unfolded into events
-    plain = windowed(events_of(light.repartition("__g")), ["__g"]).select("__id", "at", *names)
+    plain = windowed(events_of(light.repartition("__g")), ["__g"]).select(*carried, "at", *names)
 
     chunked = events_of(heavy).withColumn("__chunk", chunk_of(F.col("at"), chunk_us))
     before = Window.partitionBy("__g").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -123,7 +126,7 @@ def _windowed(
     )
     zero = F.lit(0)
     parts = windowed(chunked, ["__g", "__chunk"]).join(carry, ["__g", "__chunk"]).select(
-        "__id", "at",
+        *carried, "at",
         *[(F.coalesce(F.col(n), zero) + F.coalesce(F.col(f"c_{n}"), zero)).alias(n) for n in totals],
         *([F.coalesce("prev", "c_prev").alias("prev")] if gap else []),
     )
@@ -132,7 +135,7 @@ def _windowed(
     def total(name: str) -> Column:
         return F.coalesce(F.col(name), zero)
 
-    out = [F.col("__id").alias(row_id)]
+    out = [F.col("__keep").getField(c).alias(c) for c in keep] if keep else [F.col("__id").alias(row_id)]
     for i, _ in enumerate(spans):
         for f in funcs:
             q = total(f"q{i}") if need_std else None
@@ -154,8 +157,12 @@ def velocity(
     scale: int = 4,
     rule: Heavy = Heavy(),
     chunk_us: int = UNIT_US["h"],
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(id, velocity columns) per row.
+    """(id, velocity columns) per row; with ``keep``, these columns instead of the id alone.
+
+    Kept columns travel with their row through the windows, which saves a join of
+    the table with itself.
 
     ``ties='peers'`` lets rows of equal time see each other; ``ties='row'`` orders
     them by id.  Amounts are summed exactly at ``scale`` decimal places; more places
@@ -165,9 +172,9 @@ def velocity(
     require(df, [user_col, datetime_col, amount_col, id_col])
     funcs = [f for f in ("count", "sum", "mean", "std") if f in features]
     gap = "time_since_last" in features
-    done = _windowed(df, user_col, amount_col, datetime_col, id_col, windows, funcs, gap, ties, scale, rule, chunk_us)
+    done = _windowed(df, user_col, amount_col, datetime_col, id_col, windows, funcs, gap, ties, scale, rule, chunk_us, keep)
     renamed = done.select(
-        id_col,
+        *(keep or [id_col]),
         *[
             F.col(f"__{f}_{i}").alias(f"velocity_{f}_{n}{u}")
             for i, (n, u) in enumerate(windows)
@@ -175,12 +182,12 @@ def velocity(
         ],
         *([F.col("__gap").alias("velocity_time_since_last_s")] if gap else []),
     )
-    return renamed.unionByName(_bare(df, user_col, datetime_col, id_col), allowMissingColumns=True)
+    return renamed.unionByName(_bare(df, user_col, datetime_col, *(keep or [id_col])), allowMissingColumns=True)
 
 
-def _bare(df: DataFrame, key_col: str, datetime_col: str, id_col: str) -> DataFrame:
-    """Ids of the rows that no window can hold."""
-    return df.where(F.col(key_col).isNull() | F.col(datetime_col).isNull()).select(id_col)
+def _bare(df: DataFrame, key_col: str, datetime_col: str, *columns: str) -> DataFrame:
+    """The given columns of the rows that no window can hold."""
+    return df.where(F.col(key_col).isNull() | F.col(datetime_col).isNull()).select(*columns)
 
 
 def rolling_stats(

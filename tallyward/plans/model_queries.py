@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tallyward import ml
 from tallyward.functions import scoring as S
 from tallyward.operators import detectors as De
 from tallyward.operators import ensemble as En
@@ -12,10 +17,12 @@ from tallyward.operators import sequences as Sq
 from tallyward.operators.explain import top_factors
 from tallyward.operators.metrics import fold_summary, result_table
 from tallyward.operators.splits import class_split, hold_out, undersample
+from tallyward.operators.velocity import velocity_names
 from tallyward.plans import benchmarks as Be
 from tallyward.plans import views as V
 from tallyward.plans.registry import query
 from tallyward.plans.views import with_views
+from tallyward.session import fresh_path
 
 FEATS = S.RULE_FEATURES
 WIDTH = 64
@@ -220,6 +227,51 @@ def i21(spark, sf):
     )
 
 
+FACTORS = ["amount", "hour_of_day", *velocity_names([(1, "h"), (24, "h")], ["count", "sum"]), "deviation_amount_zscore", "merchant_fraud_rate"]
+
+
+def scoring_pipeline() -> Pipeline:
+    """Features, scaling and a classifier as one savable pipeline."""
+    filled = ", ".join(f"coalesce(double({c}), 0.0) AS x_{c}" for c in FACTORS)
+    return Pipeline(
+        stages=[
+            ml.MerchantRiskFeatures(),
+            ml.DeviationFeatures(features=["amount"]),
+            ml.VelocityFeatures(windows=["1h", "24h"], features=["count", "sum"]),
+            SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+            VectorAssembler(inputCols=[f"x_{c}" for c in FACTORS], outputCol="x"),
+            StandardScaler(inputCol="x", outputCol="z", withMean=True),
+            LogisticRegression(featuresCol="z", labelCol="is_fraud", regParam=0.01),
+        ]
+    )
+
+
+def score_with(model: PipelineModel, df):
+    """Probability, decision, tier and the three factors of largest absolute contribution to the log odds."""
+    weights = [float(w) for w in model.stages[-1].coefficients]
+    p = F.round(vector_to_array("probability")[1], 4)
+    parts = F.zip_with(
+        vector_to_array("z"),
+        F.array(*[F.struct(F.lit(n).alias("n"), F.lit(w).alias("w")) for n, w in zip(FACTORS, weights, strict=True)]),
+        lambda z, f: F.struct((-F.abs(z * f["w"])).alias("size"), f["n"].alias("name")),
+    )
+    top = F.array_join(F.transform(F.slice(F.array_sort(parts), 1, 3), lambda x: x["name"]), "|")
+    return model.transform(df).select(
+        "transaction_id", p.alias("fraud_probability"), S.decision(p).alias("prediction"), S.risk_tier(p).alias("risk_tier"),
+        top.alias("top_factors"),
+    )
+
+
+@query("I21_batch_score_fitted")
+def i21_fitted(spark, sf):
+    """Fitted on a hold-out's training part, saved, loaded again, and applied to the whole table."""
+    t = V.tx(spark, sf)
+    train = hold_out(t, "transaction_id", 0.3).where(F.col("split") == "train").drop("split")
+    path = fresh_path(spark, "scoring-pipeline")
+    scoring_pipeline().fit(train).write().save(path)
+    return score_with(PipelineModel.load(path), t)
+
+
 @query("I22_importances")
 def i22(spark, sf):
     rows = supervised(spark, sf)

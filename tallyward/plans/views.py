@@ -78,8 +78,8 @@ def card(spark: SparkSession, sf: str) -> DataFrame:
 def scored_from(t: DataFrame) -> DataFrame:
     """Rule-score inputs and score for every transaction of ``t``."""
     stats = merchant_stats(t)
-    v = velocity(t, windows=[(1, "h")], features=["count"])
-    joined = merchant_features(t, stats, global_rate(t)).join(v, "transaction_id")
+    risk = merchant_features(t, stats, global_rate(t))
+    joined = velocity(risk, windows=[(1, "h")], features=["count"], keep=risk.columns)
     out = joined.select(
         "transaction_id", "user_id", "merchant_id", "timestamp", "is_fraud", "amount",
         F.col("merchant_fraud_rate").alias("merchant_risk"),

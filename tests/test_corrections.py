@@ -137,3 +137,30 @@ def test_text_ids_give_what_numbers_give(spark):
     assert Rs.smote(base, ratio=0.3, row="name").count() == Rs.smote(base, ratio=0.3, row="number").count() > 0
     effect = Ex.permutation_effect(base.withColumn("a", F.col("number") % 5), ["a"], lambda c: c["a"] * 2.0, row="name")
     assert effect.count() == 1
+
+
+def test_a_saved_pipeline_scores_like_the_fitted_one(spark, sf):
+    from pyspark.ml import PipelineModel
+
+    from tallyward.plans import model_queries as Mq
+    from tallyward.plans import views as V
+    from tallyward.session import fresh_path
+
+    t = V.tx(spark, sf)
+    fitted = Mq.scoring_pipeline().fit(t)
+    path = fresh_path(spark, "saved-pipeline")
+    fitted.write().save(path)
+    rows = lambda m: sorted(map(tuple, Mq.score_with(m, t).collect()))
+    got = rows(fitted)
+    assert got == rows(PipelineModel.load(path)) and len(got) == t.count()
+    assert all(0 <= r[1] <= 1 and len(r[4].split("|")) == 3 for r in got)
+
+
+def test_kept_columns_travel_through_the_windows(spark):
+    df = spark.createDataFrame(ROWS, TX).withColumn("extra", F.concat(F.lit("x"), "transaction_id"))
+    for rule in (Ve.Heavy(), Ve.Heavy(share=0.0, min_rows=0)):
+        got = Ve.velocity(df, windows=[(1, "h")], keep=df.columns, rule=rule)
+        plain = Ve.velocity(df, windows=[(1, "h")], rule=rule)
+        assert got.count() == len(ROWS) and {r["extra"] for r in got.collect()} == {"x" + r[0] for r in ROWS}
+        cols = plain.columns
+        assert sorted(map(tuple, got.select(cols).collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
