@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 
 def hash_unit(key: Column, stream: str | int) -> Column:
-    """Uniform number in [0, 1) from the first 32 bits of ``md5(key:stream)``."""
+    """Uniform number in [0, 1) from the first 52 bits of ``md5(key:stream)``."""
     digest = F.md5(F.concat(key.cast("string"), F.lit(f":{stream}")).cast("binary"))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def json_number(value: Column) -> Column:

@@ -23,7 +23,7 @@ class Heavy:
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], rule: Heavy = Heavy()) -> DataFrame:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = counts.agg(F.sum("__n").alias("n")).scalar()  # the same counts, no further scan
     bar = F.greatest(total * F.lit(rule.share), F.lit(float(rule.min_rows)))
     return counts.where(F.col("__n") > bar).select(*keys)
 

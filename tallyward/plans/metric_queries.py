@@ -108,7 +108,7 @@ def d24(spark, sf):
     return _r6(O.failure_profile(o, _FEATS, 3), "mean", "mean_abs", "total")
 
 
-_FOLD = "CAST(floor(('0x' || substr(md5(CAST(transaction_id AS VARCHAR) || ':fold'),1,8))::UBIGINT / 4294967296.0::DOUBLE*5) AS INTEGER)"
+_FOLD = "CAST(floor(('0x' || substr(md5(CAST(transaction_id AS VARCHAR) || ':fold'),1,13))::UBIGINT / 4503599627370496.0::DOUBLE*5) AS INTEGER)"
 _FOLD_CTES = dict(
     l=_LONG, h=f"SELECT model AS technique, {_FOLD} AS fold, is_fraud AS y, CAST(score>=0.2::DOUBLE AS INTEGER) AS h FROM l",
     c=f"SELECT technique, fold, {_CONF} FROM h GROUP BY technique, fold",

@@ -13,7 +13,7 @@ from tallyward.plans import views as V
 from tallyward.plans.registry import query
 from tallyward.plans.views import LINE_FEATURES, with_views
 
-HASH = "(('0x' || substr(md5(CAST({k} AS VARCHAR) || ':{s}'),1,8))::UBIGINT / 4294967296.0::DOUBLE)"
+HASH = "(('0x' || substr(md5(CAST({k} AS VARCHAR) || ':{s}'),1,13))::UBIGINT / 4503599627370496.0::DOUBLE)"
 
 
 @query(

@@ -13,7 +13,7 @@ from tallyward.plans.views import with_views
 
 
 def unit(key: str, stream) -> str:
-    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{stream}'),1,8))::UBIGINT / 4294967296.0::DOUBLE)"
+    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{stream}'),1,13))::UBIGINT / 4503599627370496.0::DOUBLE)"
 
 
 def _h(stream: str) -> str:

@@ -14,7 +14,7 @@ from tallyward.sources import quality as Q
 from tallyward.sources import readers as R
 from tallyward.sources import sinks
 
-HASH_SQL = "('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{stream}'),1,8))::UBIGINT / 4294967296.0::DOUBLE"
+HASH_SQL = "('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{stream}'),1,13))::UBIGINT / 4503599627370496.0::DOUBLE"
 
 
 @query("A1_card_csv_scan", with_views("card") + "SELECT Time, V1, V14, V28, Amount, Class FROM card")

@@ -228,7 +228,7 @@ def f10(spark, sf):
     )
 
 
-_IN_TRAIN = "('0x' || substr(md5(CAST(transaction_id AS VARCHAR) || ':train'),1,8))::UBIGINT / 4294967296.0::DOUBLE < 0.5::DOUBLE"
+_IN_TRAIN = "('0x' || substr(md5(CAST(transaction_id AS VARCHAR) || ':train'),1,13))::UBIGINT / 4503599627370496.0::DOUBLE < 0.5::DOUBLE"
 
 
 @query(
@@ -269,8 +269,8 @@ def f12(spark, sf):
 # lookups and the statistics behind them
 
 # a hash share of the keys is known when the statistics are learned, at every size
-_IS_SEEN = "('0x' || substr(md5(CAST(merchant_id AS VARCHAR) || ':known'),1,8))::UBIGINT / 4294967296.0::DOUBLE < 0.6::DOUBLE"
-_IS_KNOWN = "('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':known'),1,8))::UBIGINT / 4294967296.0::DOUBLE < 0.7::DOUBLE"
+_IS_SEEN = "('0x' || substr(md5(CAST(merchant_id AS VARCHAR) || ':known'),1,13))::UBIGINT / 4503599627370496.0::DOUBLE < 0.6::DOUBLE"
+_IS_KNOWN = "('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':known'),1,13))::UBIGINT / 4503599627370496.0::DOUBLE < 0.7::DOUBLE"
 _SEEN = f"SELECT * FROM tx WHERE {_IS_SEEN}"
 _HALF = """SELECT merchant_id, CAST(sum(is_fraud) AS BIGINT) AS f, count(*) AS n FROM seen GROUP BY merchant_id"""
 

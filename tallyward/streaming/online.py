@@ -242,16 +242,17 @@ def _walk(ttl: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, last = None, None
         for b in batches:
-            marks = []
-            for k, us in zip(b.column("key").to_pylist(), b.column("us").to_pylist()):
-                if us is None:  # without a time nothing is known to be recent
-                    marks.append(True)
-                    continue
-                fresh = k != key or last is None or us >= last + ttl
-                if fresh:
-                    key, last = k, us
-                marks.append(fresh)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(marks, pa.bool_())], names=["id", "key", "us", "computed"])
+            keys = np.array(b.column("key").to_pylist(), dtype=object)
+            timed = ~np.array(b.column("us").is_null())
+            us = b.column("us").fill_null(0).to_numpy(zero_copy_only=False)
+            marks = np.ones(len(keys), dtype=bool)  # without a time nothing is known to be recent
+            starts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)] if len(keys) else []
+            for first, stop in zip(starts, starts[1:], strict=False):
+                last = last if keys[first] == key else None
+                key = keys[first]
+                here = np.flatnonzero(timed[first:stop]) + first
+                marks[here], last = fresh_marks(us[here], last, ttl)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(marks)], names=["id", "key", "us", "computed"])
 
     return run
 
