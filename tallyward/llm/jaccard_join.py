@@ -38,7 +38,7 @@ from tallyward.llm.perfect_hash import mix
 from tallyward.llm.shingles import pieces, shingle_sets
 from tallyward.session import settle
 
-SLOT_BITS = 18
+SLOT_BITS = 19
 SMALL = 16
 BLOCK = 256
 
@@ -258,12 +258,16 @@ def jaccard_components(
     reps = with_id.join(checked(settle(further)), ["id", "h1", "h2"], "left_anti")
     rows = reps.select(F.col("id").alias("rid"), "n", F.explode("prefix").alias("token"))
     heads = settle(
-        rows.groupBy("token")
-        .agg(F.count(F.lit(1)).alias("c"), F.min("rid").alias("u"), F.max("rid").alias("v"), F.min("n").alias("a"), F.max("n").alias("b"))
-        .where(F.col("c") > 1)
+        rows.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("rid").alias("u"), F.max("rid").alias("v")).where(F.col("c") > 1)
     )
     near = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    two = heads.where((F.col("c") == 2) & near(F.col("a"), F.col("b"))).select("u", "v")
+    two = heads.where((F.col("c") == 2) & (F.col("u") != F.col("v"))).select("u", "v").distinct()
+    # Sizes of both, whatever text of a repeated id they come from.
+    span = classes.groupBy("rid").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    for side in ("u", "v"):
+        two = two.join(span.select(F.col("rid").alias(side), F.col("lo").alias(f"lo_{side}"), F.col("hi").alias(f"hi_{side}")), side)
+    apart = (100 * F.col("hi_u") < percent * F.col("lo_v")) | (100 * F.col("hi_v") < percent * F.col("lo_u"))
+    two = two.where(~apart).select("u", "v")
     more = heads.where(F.col("c") > 2).select("token", "c")
     members = settle(rows.join(checked(more), "token"))
     few = members.where(F.col("c") <= SMALL).groupBy("token").agg(F.array_sort(F.collect_list(F.struct("rid", "n"))).alias("m"))
@@ -278,7 +282,8 @@ def jaccard_components(
     homes = frequent.groupBy("rid", "n").agg(
         F.max(F.struct("c", "token"))["token"].alias("home"), F.collect_set("token").alias("tokens")
     )
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent)))
+    # The small addend keeps sizes that are exact powers on one side of their bound.
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent)) + F.lit(1e-9))
     homes = homes.withColumn("band", band)
     parts = homes.groupBy("home", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("parts"))
     part = F.pmod(F.xxhash64("rid"), F.col("parts"))
@@ -289,8 +294,7 @@ def jaccard_components(
     )
     block_tokens = blocks.select("block", "band", F.explode("tokens").alias("token")).distinct()
     other = block_tokens.select(F.col("block").alias("block2"), F.col("band").alias("band2"), "token")
-    # Logarithms are rounded, so bands may touch by one more than the threshold says.
-    meets = (F.col("block") <= F.col("block2")) & (F.abs(F.col("band") - F.col("band2")) <= 2)
+    meets = (F.col("block") <= F.col("block2")) & (F.abs(F.col("band") - F.col("band2")) <= 1)
     units = settle(block_tokens.join(other, "token").where(meets).select("block", "block2").distinct())
 
     # Pairs that share a frequent token are met in blocks already.
@@ -303,25 +307,30 @@ def jaccard_components(
     )
     pairs = settle(pairs)
 
-    # Sets of the classes that some candidate needs, from their texts.
-    needed = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).union(blocks.select("rid")).distinct()
-    needed = settle(needed)
-    sets = settle(
-        _sets(work.join(checked(needed), "id", "left_semi").select("id", "text"), k).where(F.octet_length("set") > 0).distinct()
-    )
+    # Sets of the classes that some candidate needs, from their texts.  The small side
+    # of each join is broadcast where it has been counted to be small, so that sets are
+    # shuffled once, to the task that compares them.
+    repeated = not with_id.groupBy("id", "h1", "h2").count().where("count > 1").isEmpty()
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        wanted = work.join(checked(settle(ids.distinct())), "id", "left_semi").select("id", "text")
+        found = _sets(wanted, k).where(F.octet_length("set") > 0)
+        return found.distinct() if repeated else found
+
     mine = pairs.select("u").distinct().select("u", F.lit(False).alias("other"), F.col("u").alias("id"))
-    asked = mine.unionByName(pairs.select("u", F.lit(True).alias("other"), F.col("v").alias("id")))
-    stream = asked.join(sets, "id").select("u", "other", "id", "set")
+    asked = settle(mine.unionByName(pairs.select("u", F.lit(True).alias("other"), F.col("v").alias("id"))))
+    stream = sets_of(asked.select("id")).join(checked(asked), "id").select("u", "other", "id", "set")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     linked = settle(
         stream.repartition(n, "u").sortWithinPartitions("u", "other", "id").mapInArrow(_verify_pairs(percent), "u long, v long").distinct()
     )
     sized = classes.groupBy("rid").agg(F.sum("copies").alias("copies"))
-    loaded = blocks.select("rid", "block").join(sized, "rid").join(sets.withColumnRenamed("id", "rid"), "rid")
+    placed = settle(blocks.join(sized, "rid").select(F.col("rid").alias("id"), F.col("block").alias("b"), "copies"))
     sides = units.select("block", "block2", F.lit(0).alias("side"), F.col("block").alias("b")).unionByName(
         units.where("block <> block2").select("block", "block2", F.lit(1).alias("side"), F.col("block2").alias("b"))
     )
-    met = sides.join(loaded.withColumnRenamed("block", "b"), "b").select("block", "block2", "side", "rid", "copies", "set")
+    loaded = sets_of(placed.select("id")).join(checked(placed), "id")
+    met = loaded.join(checked(settle(sides)), "b").select("block", "block2", "side", F.col("id").alias("rid"), "copies", "set")
     compared = settle(
         met.repartition(n, "block", "block2")
         .sortWithinPartitions("block", "block2", "side")
