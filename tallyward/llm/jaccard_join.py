@@ -11,7 +11,8 @@ Shape of the plan.
 
 * Equal sets are one class, found by grouping 128-bit set hashes; copies never meet.
 * Prefix tokens are counted with partial sums.  Tokens of up to ``SMALL`` classes
-  give pairs.  The classes of more frequent tokens are put into blocks of about
+  give pairs.  More frequent ones first move to the end of the order, which leaves them
+  in few prefixes; the classes that still hold one are put into blocks of about
   ``BLOCK``; blocks that share such a token meet in one task, which compares them by
   matrix products and returns a spanning forest and link counts, never the pairs.
 * Blocks also hold a band of set sizes; bands further apart than the threshold
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import checked, query, table
+from tallyward.llm.common import BROADCAST_ROWS, checked, query, table
 from tallyward.llm.components import components
 from tallyward.llm.perfect_hash import mix
 from tallyward.llm.shingles import pieces, shingle_sets
@@ -69,12 +70,15 @@ def _token_counts(texts: DataFrame, k: int) -> np.ndarray:
     return out
 
 
-def _signatures(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
-    """(id, n, h1, h2, prefix) of each document: set size, set hash, prefix in the first order."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+def _signatures(docs: DataFrame, counts: np.ndarray, k: int, percent: int, last: np.ndarray | None = None) -> DataFrame:
+    """(id, n, h1, h2, prefix) of each document: set size, set hash, prefix in the first order.
+
+    The order is by slot count, then hash; the tokens ``last`` (sorted) stand behind all others.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((counts, last))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = shared.value
+        weight, behind = shared.value
         for batch in batches:
             for at, flat, offsets in pieces(batch.column(1)):
                 n, h1, h2, prefix = [], [], [], []
@@ -82,7 +86,12 @@ def _signatures(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> Da
                     n.append(len(s))
                     h1.append(int(mix(s, 21).sum(dtype=np.uint64)))
                     h2.append(int(mix(s, 22).sum(dtype=np.uint64)))
-                    order = np.argsort(weight[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")
+                    place = weight[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
+                    if behind is not None:
+                        spot = np.searchsorted(behind, s)
+                        spot[spot == len(behind)] = 0
+                        place = np.where(behind[spot] == s, place + (1 << 60), place)
+                    order = np.argsort(place, kind="stable")
                     prefix.append(s[order[: prefix_length(len(s), percent)]].view(np.int64))
                 ids = batch.column(0).slice(at, len(n))
                 yield pa.RecordBatch.from_arrays(
@@ -255,11 +264,26 @@ def jaccard_components(
     )
     copied = classes.where(F.col("copies") > 1).select("h1", "h2", "n", "rid")
     further = with_id.join(copied, ["h1", "h2", "n"]).where(F.col("id") != F.col("rid")).select("id", "h1", "h2")
-    reps = with_id.join(checked(settle(further)), ["id", "h1", "h2"], "left_anti")
-    rows = reps.select(F.col("id").alias("rid"), "n", F.explode("prefix").alias("token"))
-    heads = settle(
-        rows.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("rid").alias("u"), F.max("rid").alias("v")).where(F.col("c") > 1)
-    )
+    further = settle(further)
+    reps = with_id.join(checked(further), ["id", "h1", "h2"], "left_anti")
+
+    def count_prefixes(signs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        found = signs.select(F.col("id").alias("rid"), "n", F.explode("prefix").alias("token"))
+        each = found.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("rid").alias("u"), F.max("rid").alias("v"))
+        return found, settle(each.where(F.col("c") > 1))
+
+    rows, heads = count_prefixes(reps)
+    # Tokens that turn out frequent go to the end of the order.  Only documents that had one
+    # in their prefix get another prefix; for all others the old one is that of the new order.
+    often = heads.where(F.col("c") > SMALL).select("token")
+    if 0 < often.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        last = np.sort(often.toArrow().column("token").to_numpy().view(np.uint64))
+        again = settle(rows.join(F.broadcast(often), "token", "left_semi").select(F.col("rid").alias("id")).distinct())
+        anew = _signatures(work.join(checked(again), "id", "left_semi").select("id", "text"), counts, k, percent, last)
+        anew = settle(anew.where(F.col("n") > 0)).join(checked(further), ["id", "h1", "h2"], "left_anti")
+        rows, heads = count_prefixes(
+            reps.join(checked(again), "id", "left_anti").select("id", "n", "prefix").unionByName(anew.select("id", "n", "prefix"))
+        )
     near = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
     two = heads.where((F.col("c") == 2) & (F.col("u") != F.col("v"))).select("u", "v").distinct()
     # Sizes of both, whatever text of a repeated id they come from.

@@ -2,14 +2,14 @@
 
 Method: a host label such as ``freebets`` is split by unigram Viterbi into the words
 of highest total log probability.  Word counts come from the text of all pages (not
-from urls, where a joined name would be its own word), counted in Spark; a label meets only the counted words that are
-substrings of it, by a join.  Multinomial naive Bayes then scores the words of host
-and path: both classes have the words of labelled examples, smoothed by how common a
+from urls, where a joined name would be its own word), counted in Spark; a label meets
+only the counted words that are substrings of it, by a join.  Multinomial naive Bayes
+then scores the words of host and path: both classes have the words of labelled examples, smoothed by how common a
 word is among the distinct hosts of the corpus, so words that any host has say little.
 
 Shape of the plan: word counts are partial sums; each distinct label is segmented
 once; labels and their words are grouped per label, whose substrings are bounded by
-the square of its length.  Scores of distinct (host, path words) are joined back.
+the square of its length.  A host's words are joined back to its pages.
 """
 
 from __future__ import annotations
@@ -56,7 +56,8 @@ casino win casino online casino bonus free bets best bets sports betting bet now
 adult videos adult x adult chat xxx movies xxx tube porn videos free porn sex chat sex cams nude pics hot girls escort girls
 spam farm link farm seo spam buy backlinks cheap backlinks payday loans fast loans easy money make money get rich earn cash
 cheap viagra buy pills cheap meds online pharmacy weight loss pills replica watches cheap replica fake designer warez crack
-keygen crack serial ads track ad tracker ads tracking banner ads popup ads click tracker torrents free torrents malware phishing scam free iphone free gift free prize free cash click here hot deals
+keygen crack serial ads track ad tracker ads tracking banner ads popup ads click tracker torrents free torrents malware
+phishing scam free iphone free gift free prize free cash click here hot deals
 """.split()
 #: ... and names of ordinary ones.
 ALLOW_EXAMPLES = """
