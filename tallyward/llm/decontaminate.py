@@ -4,8 +4,10 @@ Method: numbers, names and units become typed placeholders, so a question asked
 again with other values has the same template.  Windows of template tokens are
 hashed and hash-joined with the windows of the benchmark.  The values that stood in
 the slots are then held against each other: a re-parameterised question replaces
-equal values by equal values and different ones by different ones; an alignment
-that does not is dropped.  Only built-in functions are used.
+equal values by equal values.  Where an alignment does not, it is read in two ways:
+as the item with other values, without the windows that hold a conflicting slot, and
+as a verbatim copy, by the windows of equal tokens alone.  The better one counts.
+Only built-in functions are used.
 
 Shape of the plan: window hashes of the documents stream past the benchmark's
 windows, which are broadcast only after they have been counted; beyond
@@ -33,6 +35,7 @@ NUMBER_WORDS = (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
     "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
 ).split()
+NUMBER_VALUES = [str(n) for n in [*range(21), *range(30, 100, 10), 100, 1000, 10**6, 10**9]]
 UNITS = (
     "mm cm km kg mg ml metre metres meter meters kilometre kilometres kilometer kilometers mile miles gram grams kilogram "
     "kilograms pound pounds ounce ounces litre litres liter liters gallon gallons second seconds minute minutes hour hours "
@@ -83,6 +86,11 @@ def window_hashes(tpl: Column, length: int) -> Column:
     return F.transform(starts, one)
 
 
+def _value(token: Column) -> Column:
+    """A number word as digits, other tokens as they are."""
+    return F.coalesce(F.get(F.lit(NUMBER_VALUES), F.array_position(F.lit(list(NUMBER_WORDS)), token).cast("int") - 1), token)
+
+
 def _informative(tpl: Column, at: Column, length: int) -> Column:
     slots = F.size(F.filter(F.slice(tpl, at + 1, length), lambda t: t.startswith("<")))
     return slots * 2 <= length
@@ -131,9 +139,9 @@ def contaminated(
 ) -> DataFrame:
     """(id, item_id, n_matched, n_windows, n_changed) for each document that holds an item.
 
-    ``n_matched`` counts the item's windows found in alignments whose slots are
-    consistent; a pair is reported from ``min_share`` of its ``n_windows``.
-    ``n_changed`` counts slots whose value differs (0: the same values).
+    ``n_matched`` counts the item's windows found with consistent slots, or found
+    word for word, whichever are more; a pair is reported from ``min_share`` of its
+    ``n_windows``.  ``n_changed`` counts slots whose value differs (0: the same values).
 
     Null or empty texts hold nothing; items under ``MIN_TOKENS`` tokens are not
     searched.  Rows that repeat an id report each pair once, with the best row's
@@ -186,14 +194,32 @@ def contaminated(
             ),
         )
     )
-    judged = joined.withColumn("pairs", pairs)
-    one_to_one = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p[side])))) == F.size("pairs")
-    consistent = judged.where(one_to_one("a") & one_to_one("b"))
-    per_row = consistent.groupBy("__id", "__row", "item_id", "text_key", "n_windows").agg(
-        F.array_distinct(F.flatten(F.collect_list("ats"))).alias("all_ats"),
+    judged = joined.withColumn("slots", slots).withColumn("pairs", pairs)
+    # Slots whose item value stands for several values of the document; 2 and two are one value.
+    torn = F.transform(
+        F.filter(
+            "pairs",
+            lambda p: F.exists("pairs", lambda q: (q["kind"] == p["kind"]) & (q["a"] == p["a"]) & (_value(q["b"]) != _value(p["b"]))),
+        ),
+        lambda p: F.struct(p["kind"].alias("kind"), p["a"].alias("a")),
+    )
+    judged = judged.withColumn("torn", torn)
+    slot = lambda x: F.struct(F.get(F.col("tpl"), x).alias("kind"), F.get(F.col("item_raw"), x).alias("a"))
+    judged = judged.withColumn("bad", F.filter("slots", lambda x: F.array_contains("torn", slot(x))))
+    whole = F.size("bad") == 0
+    free = F.filter("ats", lambda a: ~F.exists("bad", lambda x: (x >= a) & (x < a + F.col("len"))))
+    same = F.filter(
+        "ats",
+        lambda a: F.slice("item_raw", a + 1, F.col("len")) == F.slice("doc_raw", a + F.col("shift") + 1, F.col("len")),
+    )
+    judged = judged.withColumn("free", F.when(whole, F.col("ats")).otherwise(free))
+    judged = judged.withColumn("same", F.when(whole, F.col("ats")).otherwise(same))
+    judged = judged.where((F.size("free") > 0) | (F.size("same") > 0))
+    per_row = judged.groupBy("__id", "__row", "item_id", "text_key", "n_windows").agg(
+        *[F.size(F.array_distinct(F.flatten(F.collect_list(c)))).cast("long").alias(f"n_{c}") for c in ("free", "same")],
         F.min(F.size(F.filter("pairs", lambda p: p["a"] != p["b"]))).cast("long").alias("n_changed"),
     )
-    per_row = per_row.withColumn("n_matched", F.size("all_ats").cast("long")).where(
+    per_row = per_row.withColumn("n_matched", F.greatest("n_free", "n_same")).where(
         F.col("n_matched") >= F.ceil(F.lit(min_share) * F.col("n_windows"))
     )
     best = per_row.groupBy("__id", "item_id").agg(

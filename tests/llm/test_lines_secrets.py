@@ -112,6 +112,22 @@ def test_decontamination_catches_other_parameters(spark):
     assert {r["doc_id"] for r in left.collect()} == {12, 13, 14, 15} and left.columns == ["doc_id", "text", "lang", "H1"]
 
 
+def test_one_conflict_does_not_clear_a_copy(spark):
+    """A repeated value edited once, different values that become equal, and 2 written as two."""
+    item = (
+        "A farmer keeps 5 hens in the yard behind the old barn and feeds them corn every single morning before work. "
+        "Each of the 5 hens lays 3 eggs on most days of the summer, so how many eggs are there?"
+    )
+    edited = item.replace("the 5 hens", "the 7 hens")
+    equal = item.replace("5", "4").replace("3", "4")
+    spelled = item.replace("keeps 5", "keeps 2").replace("the 5", "the two")
+    docs = frame(spark, [(1, edited), (2, equal), (3, spelled)])
+    got = {r["doc_id"]: r for r in De.contaminated(docs, spark.createDataFrame([(1, item)], BENCH)).collect()}
+    assert set(got) == {1, 2, 3} and got[1]["n_changed"] == 1
+    assert got[2]["n_matched"] == got[2]["n_windows"] and got[3]["n_matched"] == got[3]["n_windows"]
+    assert got[1]["n_windows"] / 2 <= got[1]["n_matched"] < got[1]["n_windows"]
+
+
 @pytest.mark.parametrize("docs, bench", [([], [(1, ITEM)]), ([(1, ITEM)], [])])
 def test_decontamination_of_empty_tables(spark, docs, bench):
     assert De.contaminated(frame(spark, docs), spark.createDataFrame(bench, BENCH)).count() == 0
