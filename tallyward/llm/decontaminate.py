@@ -26,7 +26,8 @@ from tallyward.session import settle
 #: Benchmark windows are broadcast up to this number (about 50 bytes each).
 BROADCAST_WINDOWS = 1_000_000
 WINDOW = 8
-#: Items of fewer template tokens say too little to be searched.
+#: Items of fewer template tokens, or without a window that is at most half
+#: placeholders, are searched word for word: by windows of their tokens.
 MIN_TOKENS = 4
 MIN_SHARE = 0.5
 
@@ -42,9 +43,20 @@ UNITS = (
     "day days week weeks month months year years dollar dollars euro euros cent cents percent degree degrees watt watts "
     "volt volts joule joules newton newtons"
 ).split()
-TOKEN = "[.!?\\n]|[0-9]+(?:[.,][0-9]+)*|[\\p{L}\\p{M}]+"
+#: Han and kana are written without spaces: each character is a token.
+CJK = "\\u3005-\\u3007\\u3041-\\u3096\\u309d-\\u309f\\u30a1-\\u30fa\\u30fc-\\u30ff\\u31f0-\\u31ff\\u3400-\\u4dbf\\u4e00-\\u9fff\\uf900-\\ufaff\\uff66-\\uff9f\\x{20000}-\\x{323af}"
+TOKEN = f"[.!?\\n]|[0-9]+(?:[.,][0-9]+)*|[\\p{{L}}\\p{{M}}&&[^{CJK}]]+|[{CJK}]"
 MARKS = (".", "!", "?", "\n")
 NAME = "^\\p{Lu}\\p{Ll}+$"
+#: Words that open a sentence without being a name; another first word is no other value of theirs.
+OPENERS = (
+    "a an the this that these those there here it he she we you they i his her its my our your their what which who whom whose "
+    "when where why how if in on at by for from with to of as after before during while since although because suppose let given "
+    "consider assume find compute calculate determine solve evaluate explain describe write state name list choose select complete "
+    "identify show prove is are was were do does did can could should would will may might must has have had and or but not no "
+    "yes each every all some many most one both either neither another any under over between into through only just now then "
+    "so also once first next last finally"
+).split()
 
 
 def _template(tokens: Column) -> Column:
@@ -66,24 +78,72 @@ def _template(tokens: Column) -> Column:
     return F.transform(tokens, one)
 
 
+def _opens(tokens: Column) -> Column:
+    """Whether each token that is no sentence mark begins a sentence and may be a name."""
+
+    def one(t: Column, i: Column) -> Column:
+        first = (i == 0) | F.coalesce(F.get(tokens, i - 1).isin(*MARKS), F.lit(False))
+        name = first & F.rlike(t, F.lit(NAME)) & ~F.lower(t).isin(*NUMBER_WORDS, *UNITS, *OPENERS)
+        return F.when(~t.isin(*MARKS), name)
+
+    return F.array_compact(F.transform(tokens, one))
+
+
 def templates(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with ``raw`` (tokens, lower-cased) and ``tpl`` (template tokens), position by position."""
+    """``df`` with ``raw`` (tokens, lower-cased), ``tpl`` (template tokens) and ``opens``, position by position."""
     with_tokens = df.withColumn("__tok", F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), F.lit(0)))
     return (
         with_tokens.withColumn("tpl", F.array_compact(_template(F.col("__tok"))))
+        .withColumn("opens", _opens(F.col("__tok")))
         .withColumn("raw", F.transform(F.filter("__tok", lambda t: ~t.isin(*MARKS)), F.lower))
         .drop("__tok")
     )
 
 
-def window_hashes(tpl: Column, length: int) -> Column:
-    """Hash of each window of ``length`` template tokens; null where over half of them are placeholders."""
+#: What a hash is made of: template tokens, raw tokens, or template tokens after a first word of any kind or name.
+TEMPLATE, RAW, ANY_WORD = "template", "raw", "<first>"
+
+
+def _starts(tokens: Column, length: int) -> Column:
+    return F.when(F.size(tokens) >= length, F.sequence(F.lit(0), F.size(tokens) - length)).otherwise(F.array().cast("array<int>"))
+
 
-    def one(i: Column) -> Column:
-        return F.xxhash64(F.lit(length), *[F.get(tpl, i + k) for k in range(length)])
+def _hash(tokens: Column, at: Column, length: int, first: Column | None = None) -> Column:
+    return F.xxhash64(F.lit(length), *([first] if first is not None else []), *[F.get(tokens, at + k) for k in range(first is not None, length)])
 
-    starts = F.when(F.size(tpl) >= length, F.sequence(F.lit(0), F.size(tpl) - length)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, one)
+
+def _raw_hash(raw: Column, at: Column, length: int) -> Column:
+    return F.xxhash64(F.lit(-length), *[F.get(raw, at + k) for k in range(length)])
+
+
+def _plain_hashes(length: int) -> Column:
+    tpl = F.col("tpl")
+    return F.transform(_starts(tpl, length), lambda i: F.struct(i.alias("p"), _hash(tpl, i, length).alias("h")))
+
+
+def window_hashes(kind: str, length: int) -> Column:
+    """(p, h) of each window of ``length`` tokens of ``raw``, ``tpl`` and ``opens``.
+
+    Template windows that begin with what may be a name at the start of a sentence
+    have a second hash, which leaves the name open.
+    """
+    tpl, raw = F.col("tpl"), F.col("raw")
+    entry = lambda i, h: F.struct(i.alias("p"), h.alias("h"))
+    if kind == RAW:
+        return F.transform(_starts(raw, length), lambda i: entry(i, _raw_hash(raw, i, length)))
+    named = F.filter(_starts(tpl, length), lambda i: F.get("opens", i))
+    return F.concat(_plain_hashes(length), F.transform(named, lambda i: entry(i, _hash(tpl, i, length, F.lit(ANY_WORD)))))
+
+
+def first_word_hashes(length: int) -> Column:
+    """(p, h) of an item's first window with its first word as a name, as running text has it, and left open."""
+    tpl, zero = F.col("tpl"), F.lit(0)
+    entry = lambda first: F.struct(zero.alias("p"), _hash(tpl, zero, length, F.lit(first)).alias("h"))
+    word = ~F.get(tpl, 0).startswith("<")
+    none = F.array().cast("array<struct<p:int,h:bigint>>")
+    return F.concat(
+        F.when(word, F.array(entry("<name>"))).otherwise(none), F.when(word & F.get("opens", 0), F.array(entry(ANY_WORD))).otherwise(none)
+    )
 
 
 def _value(token: Column) -> Column:
@@ -96,35 +156,47 @@ def _informative(tpl: Column, at: Column, length: int) -> Column:
     return slots * 2 <= length
 
 
-def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> tuple[DataFrame, DataFrame, list[int]]:
-    """(windows: item, at, len, h; items: item, raw, tpl, n_windows; lengths in use).
+def benchmark_windows(
+    benchmark: DataFrame, item_col: str, text_col: str, window: int
+) -> tuple[DataFrame, DataFrame, list[tuple[str, int]]]:
+    """(windows: item, at, len, h; items: item, raw, tpl, opens, n_windows; kinds and lengths in use).
 
     An item of fewer tokens than ``window`` is one window of its own length.
-    Windows that are more than half placeholders are left out.
+    Windows that are more than half placeholders are left out; an item without
+    others, or under ``MIN_TOKENS`` tokens, has windows of its raw tokens.
     """
     items = templates(benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("__text")), "__text")
-    items = items.where(F.size("tpl") >= MIN_TOKENS).select("item_id", "raw", "tpl")
+    items = items.where(F.size("tpl") > 0).select("item_id", "raw", "tpl", "opens")
     items = items.withColumn("len", F.least(F.size("tpl"), F.lit(window))).dropDuplicates(["item_id", "raw", "tpl"])
-    items = settle(items.withColumn("text_key", F.xxhash64("raw", "tpl")))
-    lengths = sorted(r[0] for r in items.select("len").distinct().collect())  # at most ``window`` numbers
+    slots = lambda i: F.size(F.filter(F.slice("tpl", i + 1, F.col("len")), lambda t: t.startswith("<")))
+    telling = F.filter(F.sequence(F.lit(0), F.size("tpl") - F.col("len")), lambda i: slots(i) * 2 <= F.col("len"))
+    items = items.withColumn("single", F.size(telling) == 1)
+    items = items.withColumn("kind", F.when((F.size("tpl") >= MIN_TOKENS) & (F.size(telling) > 0), TEMPLATE).otherwise(RAW))
+    items = settle(items.withColumn("text_key", F.xxhash64("raw", "tpl", "opens")))
+    used = sorted((r[0], r[1]) for r in items.select("kind", "len").distinct().collect())  # at most twice ``window``
     parts = []
-    for n in lengths:
-        mine = items.where(F.col("len") == n)
-        at = mine.select("item_id", "text_key", "tpl", F.posexplode(window_hashes(F.col("tpl"), n)).alias("at", "h"))
+    for kind, n in used:
+        mine = items.where((F.col("len") == n) & (F.col("kind") == kind))
+        if kind == RAW:
+            parts.append(mine.select("item_id", "text_key", F.inline(window_hashes(kind, n)).alias("at", "h"), F.lit(n).alias("len")))
+            continue
+        # With two windows or more, half of them remain without the first word's window.
+        hashes = F.when(F.col("single"), F.concat(_plain_hashes(n), first_word_hashes(n))).otherwise(_plain_hashes(n))
+        at = mine.select("item_id", "text_key", "tpl", F.inline(hashes).alias("at", "h"))
         parts.append(
-            at.where(_informative(F.col("tpl"), F.col("at"), n)).select("item_id", "text_key", "at", F.lit(n).alias("len"), "h")
+            at.where(_informative(F.col("tpl"), F.col("at"), n)).select("item_id", "text_key", "at", "h", F.lit(n).alias("len"))
         )
     if not parts:
-        empty = items.select("item_id", "text_key", F.lit(0).alias("at"), "len", F.lit(0).cast("long").alias("h"))
-        return empty, items.withColumn("n_windows", F.lit(0).cast("long")), lengths
+        empty = items.select("item_id", "text_key", F.lit(0).alias("at"), F.lit(0).cast("long").alias("h"), "len")
+        return empty, items.withColumn("n_windows", F.lit(0).cast("long")), used
     windows = parts[0]
     for p in parts[1:]:
         windows = windows.unionByName(p)
     windows = settle(windows)
-    counts = windows.groupBy("item_id", "text_key").agg(F.count(F.lit(1)).alias("n_windows"))
+    counts = windows.groupBy("item_id", "text_key").agg(F.count_distinct("at").alias("n_windows"))
     return windows, items.join(counts.withColumnRenamed("item_id", "__i"), F.col("item_id").eqNullSafe(F.col("__i"))
                                & (items["text_key"] == counts["text_key"])).select(
-        "item_id", items["text_key"], "raw", "tpl", "n_windows"), lengths
+        "item_id", items["text_key"], "raw", "tpl", "opens", "n_windows"), used
 
 
 def contaminated(
@@ -143,18 +215,18 @@ def contaminated(
     word for word, whichever are more; a pair is reported from ``min_share`` of its
     ``n_windows``.  ``n_changed`` counts slots whose value differs (0: the same values).
 
-    Null or empty texts hold nothing; items under ``MIN_TOKENS`` tokens are not
-    searched.  Rows that repeat an id report each pair once, with the best row's
+    Null or empty texts hold nothing; an item without any word or number is nowhere.
+    Items too short or too full of placeholders for a template are found verbatim.  Rows that repeat an id report each pair once, with the best row's
     figures.  A null id is reported as null.
     """
-    windows, items, lengths = benchmark_windows(benchmark, item_col, item_text, window)
+    windows, items, used = benchmark_windows(benchmark, item_col, item_text, window)
     work = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     work = work.withColumn("__row", F.xxhash64("__text"))
     side = checked(windows.select("h", "item_id", "text_key", "at"), BROADCAST_WINDOWS)
     tpl = templates(work, "__text")
     hits = None
-    for n in lengths:
-        rows = tpl.select("__id", "__row", F.posexplode(window_hashes(F.col("tpl"), n)).alias("__p", "h"))
+    for kind, n in used:
+        rows = tpl.select("__id", "__row", F.inline(window_hashes(kind, n)).alias("__p", "h"))
         found = rows.join(side, "h").select(
             "__id", "__row", "item_id", "text_key", (F.col("__p") - F.col("at")).alias("shift"), "at", F.lit(n).alias("len")
         )
@@ -177,18 +249,25 @@ def contaminated(
     ).select(F.col("__id").alias("__i"), F.col("__row").alias("__r"), F.col("raw").alias("doc_raw"))
     joined = runs.join(raw, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__row") == F.col("__r")))
     it = items.select(
-        F.col("item_id").alias("__item"), F.col("text_key").alias("__key"), F.col("raw").alias("item_raw"), "tpl", "n_windows"
+        F.col("item_id").alias("__item"), F.col("text_key").alias("__key"), F.col("raw").alias("item_raw"), "tpl", "opens", "n_windows"
     )
     joined = joined.join(it, F.col("item_id").eqNullSafe(F.col("__item")) & (F.col("text_key") == F.col("__key")))
+    # A first word that differs is a slot if it may be a name on both sides, else the first window does not match.
+    here, there = F.get("item_raw", F.lit(0)), F.get("doc_raw", F.col("shift"))
+    joined = joined.withColumn("renamed", F.array_contains("ats", 0) & (here != there) & ~F.get("tpl", F.lit(0)).startswith("<"))
+    other = F.col("renamed") & (~F.get("opens", F.lit(0)) | there.isin(*NUMBER_WORDS, *UNITS, *OPENERS))
+    joined = joined.withColumn("ats", F.when(other, F.filter("ats", lambda a: a > 0)).otherwise(F.col("ats")))
+    joined = joined.withColumn("renamed", F.col("renamed") & ~other).where(F.size("ats") > 0)
     covered = F.array_distinct(
         F.flatten(F.transform("ats", lambda a: F.sequence(a, a + F.col("len") - 1)))
     )
-    slots = F.filter(covered, lambda x: F.get(F.col("tpl"), x).startswith("<"))
+    kind_of = lambda x: F.when(F.col("renamed") & (x == 0), F.lit("<name>")).otherwise(F.get(F.col("tpl"), x))
+    slots = F.filter(covered, lambda x: kind_of(x).startswith("<"))
     pairs = F.array_distinct(
         F.transform(
             slots,
             lambda x: F.struct(
-                F.get(F.col("tpl"), x).alias("kind"),
+                kind_of(x).alias("kind"),
                 F.get(F.col("item_raw"), x).alias("a"),
                 F.get(F.col("doc_raw"), x + F.col("shift")).alias("b"),
             ),
@@ -196,15 +275,16 @@ def contaminated(
     )
     judged = joined.withColumn("slots", slots).withColumn("pairs", pairs)
     # Slots whose item value stands for several values of the document; 2 and two are one value.
+    several = F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["a"])))) < F.size("pairs")
     torn = F.transform(
         F.filter(
             "pairs",
-            lambda p: F.exists("pairs", lambda q: (q["kind"] == p["kind"]) & (q["a"] == p["a"]) & (_value(q["b"]) != _value(p["b"]))),
+            lambda p: several & F.exists("pairs", lambda q: (q["kind"] == p["kind"]) & (q["a"] == p["a"]) & (_value(q["b"]) != _value(p["b"]))),
         ),
         lambda p: F.struct(p["kind"].alias("kind"), p["a"].alias("a")),
     )
     judged = judged.withColumn("torn", torn)
-    slot = lambda x: F.struct(F.get(F.col("tpl"), x).alias("kind"), F.get(F.col("item_raw"), x).alias("a"))
+    slot = lambda x: F.struct(kind_of(x).alias("kind"), F.get(F.col("item_raw"), x).alias("a"))
     judged = judged.withColumn("bad", F.filter("slots", lambda x: F.array_contains("torn", slot(x))))
     whole = F.size("bad") == 0
     free = F.filter("ats", lambda a: ~F.exists("bad", lambda x: (x >= a) & (x < a + F.col("len"))))

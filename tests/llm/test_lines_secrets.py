@@ -128,6 +128,21 @@ def test_one_conflict_does_not_clear_a_copy(spark):
     assert got[1]["n_windows"] / 2 <= got[1]["n_matched"] < got[1]["n_windows"]
 
 
+def test_short_items_are_found(spark):
+    items = [
+        (1, "日本の首都はどこですか"), (2, "What is 12 + 34 - 56?"), (3, "What is the capital city of France?"),
+        (4, "Anna has 5 apples and eats 2 daily."), (5, "Define osmosis"), (6, "???"),
+    ]
+    texts = [
+        (1, "質問は日本の首都はどこですかと聞いた"), (2, "Please say: what is 12 + 34 - 56?"),
+        (3, "Question: What is the capital city of France?"), (4, "Bob has 7 apples and eats 3 daily."),
+        (5, "Your task: define osmosis."), (6, "What is 13 + 34 - 56? That is the capital city of Spain. 日本の首都は"),
+    ]
+    got = {(r["doc_id"], r["item_id"]): r for r in De.contaminated(frame(spark, texts), spark.createDataFrame(items, BENCH)).collect()}
+    assert set(got) == {(i, i) for i in range(1, 6)}
+    assert got[(3, 3)]["n_changed"] == 0 and got[(4, 4)]["n_changed"] == 3
+
+
 @pytest.mark.parametrize("docs, bench", [([], [(1, ITEM)]), ([(1, ITEM)], [])])
 def test_decontamination_of_empty_tables(spark, docs, bench):
     assert De.contaminated(frame(spark, docs), spark.createDataFrame(bench, BENCH)).count() == 0
