@@ -30,6 +30,9 @@ WINDOW = 8
 #: placeholders, are searched word for word: by windows of their tokens.
 MIN_TOKENS = 4
 MIN_SHARE = 0.5
+#: So many consistent windows in a row are a leak whatever share of the item they are:
+#: 20 tokens with windows of 8.
+RUN = 13
 
 #: Number words and units that become placeholders.
 NUMBER_WORDS = (
@@ -213,7 +216,7 @@ def contaminated(
 
     ``n_matched`` counts the item's windows found with consistent slots, or found
     word for word, whichever are more; a pair is reported from ``min_share`` of its
-    ``n_windows``.  ``n_changed`` counts slots whose value differs (0: the same values).
+    ``n_windows``, or from ``RUN`` of them in a row.  ``n_changed`` counts slots whose value differs (0: the same values).
 
     Null or empty texts hold nothing; an item without any word or number is nowhere.
     Items too short or too full of placeholders for a template are found verbatim.  Rows that repeat an id report each pair once, with the best row's
@@ -295,12 +298,17 @@ def contaminated(
     judged = judged.withColumn("free", F.when(whole, F.col("ats")).otherwise(free))
     judged = judged.withColumn("same", F.when(whole, F.col("ats")).otherwise(same))
     judged = judged.where((F.size("free") > 0) | (F.size("same") > 0))
+    run = lambda c: F.exists(
+        F.transform(F.col(c), lambda a, i: F.get(F.col(c), i + RUN - 1) - a == RUN - 1), lambda x: F.coalesce(x, F.lit(False))
+    )
+    judged = judged.withColumn("run", run("free") | run("same"))
     per_row = judged.groupBy("__id", "__row", "item_id", "text_key", "n_windows").agg(
         *[F.size(F.array_distinct(F.flatten(F.collect_list(c)))).cast("long").alias(f"n_{c}") for c in ("free", "same")],
         F.min(F.size(F.filter("pairs", lambda p: p["a"] != p["b"]))).cast("long").alias("n_changed"),
+        F.max("run").alias("run"),
     )
     per_row = per_row.withColumn("n_matched", F.greatest("n_free", "n_same")).where(
-        F.col("n_matched") >= F.ceil(F.lit(min_share) * F.col("n_windows"))
+        F.col("run") | (F.col("n_matched") >= F.ceil(F.lit(min_share) * F.col("n_windows")))
     )
     best = per_row.groupBy("__id", "item_id").agg(
         F.max(F.struct("n_matched", "n_windows", (-F.col("n_changed")).alias("c"))).alias("b")

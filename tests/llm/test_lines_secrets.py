@@ -143,6 +143,14 @@ def test_short_items_are_found(spark):
     assert got[(3, 3)]["n_changed"] == 0 and got[(4, 4)]["n_changed"] == 3
 
 
+def test_a_long_passage_is_found_whatever_its_share(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(600)]
+    texts = [(1, "Some prose before it. " + " ".join(words[100:340])), (2, "Some prose before it. " + " ".join(words[100:119]))]
+    bench = spark.createDataFrame([(1, " ".join(words))], BENCH)
+    got = [tuple(r) for r in De.contaminated(frame(spark, texts), bench).collect()]
+    assert got == [(1, 1, 233, 593, 0)]
+
+
 @pytest.mark.parametrize("docs, bench", [([], [(1, ITEM)]), ([(1, ITEM)], [])])
 def test_decontamination_of_empty_tables(spark, docs, bench):
     assert De.contaminated(frame(spark, docs), spark.createDataFrame(bench, BENCH)).count() == 0
