@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -97,17 +98,22 @@ def _pair_blocks(k: int, dims: int):
 def nearest_neighbours(
     queries: DataFrame, reference: DataFrame, k: int, row: str = "row_id", features: str = "features",
     exclude_self: bool = False, pivots: int | None = None, block_rows: int = BLOCK_ROWS,
+    approximate: Hashing | None = None,
 ) -> DataFrame:
     """(row_id, rank, neighbour, distance): the k nearest reference rows of every query row.
 
     Ties are broken by neighbour id.  Row ids are whole numbers or text; text ids are
-    numbered in their order for the search.
+    numbered in their order for the search.  With ``approximate`` the candidates come
+    from the hash tables of :class:`Hashing` and are ranked by exact distance; a
+    query row that finds fewer than k candidates is searched exactly.
     """
     if isinstance(queries.schema[row].dataType, StringType):
         ids = queries.select(row).union(reference.select(row)).where(F.col(row).isNotNull()).distinct()
         numbers = settle(ordinals(ids, row, row, out="__n"))
         named = lambda df: df.join(numbers, row).select(F.col("__n").alias(row), features)
-        found = nearest_neighbours(named(queries), named(reference), k, row, features, exclude_self, pivots, block_rows)
+        found = nearest_neighbours(
+            named(queries), named(reference), k, row, features, exclude_self, pivots, block_rows, approximate
+        )
         back = lambda column: numbers.select(F.col("__n").alias(column), F.col(row).alias(f"__{column}"))
         return found.join(back("row_id"), "row_id").join(back("neighbour"), "neighbour").select(
             F.col("__row_id").alias("row_id"), "rank", F.col("__neighbour").alias("neighbour"), "distance"
@@ -122,7 +128,10 @@ def nearest_neighbours(
         .where(F.col("i") <= need)
         .drop("i")
     )
-    found = _nearest(asked, ref, need, pivots, block_rows)
+    if approximate is None:
+        found = _nearest(asked, ref, need, pivots, block_rows)
+    else:
+        found = _nearest_hashed(asked, ref, need, approximate, pivots, block_rows)
     shared = rows.join(asked.select("f", F.col("r").alias("rep")), "f").join(
         found.withColumnRenamed("row_id", "rep"), "rep"
     )
@@ -170,6 +179,119 @@ def _nearest(asked: DataFrame, ref: DataFrame, k: int, pivots: int | None, block
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
 
 
+
+@dataclass(frozen=True)
+class Hashing:
+    """Parameters of the approximate path: random-projection hash tables with multi-probe.
+
+    Each of ``tables`` tables hashes a vector by ``bits`` projections
+    ``floor((a . x + b) / w)``, a Gaussian and b uniform in [0, w), drawn from ``seed``.
+    ``w`` is ``width`` times the median k-th neighbour distance of ``sample`` query
+    rows, measured exactly against all reference rows.  A query also probes, per
+    table, the ``probes`` buckets one step over the boundaries it lies closest to.
+    """
+
+    tables: int = 10
+    bits: int = 4
+    width: float = 4.0
+    probes: int = 2
+    sample: int = 256
+    seed: int = 11
+
+
+def _scale(asked: DataFrame, ref: DataFrame, k: int, sample: int, seed: int) -> float:
+    """Median k-th neighbour distance of a bounded sample of query vectors, exact over all of ``ref``."""
+    probe = np.array([x["f"] for x in sample_rows(asked, sample, "r", seed).collect()], dtype=float)
+    m = len(probe)
+
+    def closest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = np.full((m, k), np.inf)
+        for b in batches:
+            if len(b):
+                d = _distances(probe, _vectors(b["f"]))
+                best = np.sort(np.concatenate([best, d], axis=1), axis=1)[:, :k]
+        yield pd.DataFrame({"s": np.repeat(np.arange(m), k), "d": best.ravel()})
+
+    parts = ref.select("f").mapInPandas(closest, "s long, d double")
+    kth = parts.where(F.col("d") < float("inf")).groupBy("s").agg(F.sort_array(F.collect_list("d")).alias("d"))
+    kth = kth.select(F.element_at("d", F.least(F.lit(k), F.size("d"))).alias("d")).collect()
+    values = sorted(x["d"] for x in kth)
+    return values[len(values) // 2] if values else 1.0
+
+
+def _buckets(a: np.ndarray, b: np.ndarray, w: float, p: Hashing, probing: bool):
+    """Per vector: (table, key) of its home bucket in every table, plus probed neighbours of the home."""
+
+    @F.pandas_udf("array<struct<t: int, key: string>>")
+    def keys(features: pd.Series) -> pd.Series:
+        x = _vectors(features)
+        if len(x) == 0:
+            return pd.Series([], dtype=object)
+        v = (x @ a.T + b) / w
+        h = np.floor(v).astype(np.int64)
+        frac = v - h
+        out = []
+        for i in range(len(x)):
+            mine = []
+            for t in range(p.tables):
+                cols = slice(t * p.bits, (t + 1) * p.bits)
+                home = h[i, cols]
+                mine.append({"t": t, "key": ",".join(map(str, home))})
+                if probing and p.probes:
+                    f = frac[i, cols]
+                    step = np.where(f < 0.5, -1, 1)
+                    gap = np.minimum(f, 1 - f)
+                    for j in np.argsort(gap, kind="stable")[: p.probes]:
+                        moved = home.copy()
+                        moved[j] += step[j]
+                        mine.append({"t": t, "key": ",".join(map(str, moved))})
+            out.append(mine)
+        return pd.Series(out)
+
+    return keys
+
+
+def _nearest_hashed(asked: DataFrame, ref: DataFrame, k: int, p: Hashing, pivots: int | None, block_rows: int) -> DataFrame:
+    """Like :func:`_nearest`, with candidates from hash buckets; the exact path serves rows left short."""
+    n = ref.count()
+    if n == 0:
+        raise ValueError("empty reference set")
+    dims = len(ref.first()["f"])
+    rng = np.random.default_rng(p.seed)
+    w = p.width * max(_scale(asked, ref, k, p.sample, p.seed), 1e-12)
+    a = rng.normal(size=(p.tables * p.bits, dims))
+    b = rng.uniform(0, w, size=p.tables * p.bits)
+    home = settle(ref.select("r", "f", F.explode(_buckets(a, b, w, p, False)("f")).alias("h")).select("r", "f", "h.t", "h.key"))
+    probed = asked.select("r", "f", F.explode(_buckets(a, b, w, p, True)("f")).alias("h")).select("r", "f", "h.t", "h.key")
+    size = home.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"))
+    # Crowded buckets are cut into blocks of block_rows; queries meet every block of theirs.
+    ref_b = home.join(size, ["t", "key"]).withColumn(
+        "block", F.pmod(F.xxhash64("r"), F.ceil(F.col("n") / block_rows)).cast("int")
+    )
+    right = ref_b.groupBy("t", "key", "block").agg(F.collect_list(F.struct("r", "f")).alias("l")).select(
+        "t", "key", "block", F.transform("l", lambda x: x["r"]).alias("ri"), F.flatten(F.transform("l", lambda x: x["f"])).alias("rf")
+    )
+    asking = probed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("qn"))
+    q = probed.join(size, ["t", "key"]).join(asking, ["t", "key"]).withColumn(
+        "part", F.pmod(F.xxhash64("r"), F.ceil(F.col("qn") / block_rows)).cast("int")
+    )
+    left = q.groupBy("t", "key", "part").agg(F.collect_list(F.struct("r", "f")).alias("l"), F.max("n").alias("n")).select(
+        "t", "key", F.transform("l", lambda x: x["r"]).alias("qi"), F.flatten(F.transform("l", lambda x: x["f"])).alias("qf"),
+        F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / block_rows) - 1).cast("int"))).alias("block"),
+    )
+    pairs = left.join(right, ["t", "key", "block"]).select("qi", "qf", "ri", "rf")
+    found = pairs.mapInArrow(_pair_blocks(k, dims), "row_id bigint, neighbour bigint, distance double")
+    found = found.groupBy("row_id", "neighbour").agg(F.min("distance").alias("distance"))
+    order = Window.partitionBy("row_id").orderBy("distance", "neighbour")
+    found = settle(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank"))
+    enough = found.groupBy("row_id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= min(k, n))
+    short = asked.join(enough.select(F.col("row_id").alias("r")), "r", "left_anti")
+    if short.limit(1).count() == 0:
+        return found
+    exact = _nearest(short, ref, k, pivots, block_rows)
+    return found.join(enough.select("row_id"), "row_id", "left_semi").unionByName(exact)
+
+
 def _assign_cells(asked: DataFrame, ref: DataFrame, k: int, wanted: int, n: int):
     """Reference rows with their cell, query rows once per cell they must visit, and both row counts per cell."""
     # at most MAX_PIVOTS vectors on the driver, whatever the size of the data

@@ -112,6 +112,30 @@ def c7_cells(spark, sf):
     return out.withColumn("distance", F.round("distance", 6))
 
 
+@query("C7_nearest_neighbours_hashed")
+def c7_hashed(spark, sf):
+    """The k = 5 nearest of every row by hash tables with multi-probe, ranked by exact distance."""
+    v = V.vec(spark, sf)
+    out = N.nearest_neighbours(v, v, 5, exclude_self=True, approximate=N.Hashing())
+    return out.withColumn("distance", F.round("distance", 6))
+
+
+@query("C7_hashed_recall")
+def c7_recall(spark, sf):
+    """Recall at k = 5 of the hashed path against the exact one, over every row: one row per query and the total."""
+    v = V.vec(spark, sf)
+    exact = N.nearest_neighbours(v, v, 5, exclude_self=True)
+    found = N.nearest_neighbours(v, v, 5, exclude_self=True, approximate=N.Hashing())
+    # A neighbour counts as found when the hashed path returns one at its distance (ties are interchangeable).
+    at = exact.alias("e").join(
+        found.alias("f"), (F.col("e.row_id") == F.col("f.row_id")) & (F.col("e.rank") == F.col("f.rank")), "left"
+    )
+    hit = (F.abs(F.col("f.distance") - F.col("e.distance")) <= 1e-9).cast("int")
+    per = at.groupBy(F.col("e.row_id").alias("row_id")).agg(F.avg(F.coalesce(hit, F.lit(0))).alias("recall"))
+    total = per.agg(F.lit(None).cast("long").alias("row_id"), F.avg("recall").alias("recall"))
+    return per.unionByName(total)
+
+
 @query(
     "I10_local_outlier_factor",
     with_views(
