@@ -14,6 +14,7 @@ from tallyward.operators import detectors as De
 from tallyward.operators import ensemble as En
 from tallyward.operators import models as Mo
 from tallyward.operators import sequences as Sq
+from tallyward.operators import stages as St
 from tallyward.operators.explain import top_factors
 from tallyward.operators.metrics import fold_summary, result_table
 from tallyward.operators.splits import class_split, hold_out, undersample
@@ -290,3 +291,17 @@ def l3(spark, sf):
     d = De.Detector("reconstruction", WIDTH).fit(normal)
     d.set_threshold(d.score(normal), 0.05)
     return d.predict(v).select("row_id", "label", "score", "predicted")
+
+
+@query("L3_detector_stages")
+def l3_stages(spark, sf):
+    """An isolation forest and its threshold as a Pipeline: fit on normal training rows, saved, loaded, scored."""
+    from tallyward.session import fresh_path
+
+    v = V.vec(spark, sf)
+    rows = class_split(v, "row_id", "label")
+    normal = rows.where(F.col("split") == "train").drop("split")
+    fitted = Pipeline(stages=[St.IsolationForestDetector(), St.ShareThreshold(contamination=0.05)]).fit(normal)
+    path = fresh_path(spark, "detector-pipeline")
+    fitted.save(path)
+    return PipelineModel.load(path).transform(v).select("row_id", "label", "score", "predicted")

@@ -103,7 +103,7 @@ def test_blend_edges(spark):
     assert row.select(zero["score"]).first()[0] == 0.0
     two = S.blend_map(F.create_map(F.lit("a"), F.lit(0.9), F.lit("b"), F.lit(0.3)), F.create_map(F.lit("a"), F.lit(3.0), F.lit("b"), F.lit(1.0)))
     r = row.select(two.alias("t")).first()["t"]
-    assert r["score"] == 0.75 and r["label"] == "fraud" and r["contributions"] == {"a": 0.675, "b": 0.075}
+    assert r["score"] == 0.75 and r["label"] == 1 and r["contributions"] == {"a": 0.675, "b": 0.075}
 
 
 def test_top_factors_are_at_most_n_and_quality(spark):
