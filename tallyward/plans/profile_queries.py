@@ -109,11 +109,13 @@ def d7(spark, sf):
 
 @query(
     "D8_label_correlation",
-    with_views("card", c=" UNION ALL ".join(f"SELECT 'V{i}' AS feature, corr(V{i},Class) AS corr FROM card" for i in range(1, 29)))
+    with_views("vec", c=" UNION ALL ".join(f"SELECT 'V{i}' AS feature, corr(features[{i}],label) AS corr FROM vec" for i in range(1, 65)))
     + "SELECT feature, round(corr,6) AS corr FROM c ORDER BY c.corr DESC, feature LIMIT 10",
 )
 def d8(spark, sf):
-    top = P.label_correlations(V.card(spark, sf), [f"V{i}" for i in range(1, 29)], "Class", 10)
+    """Top ten of all 64 embedding dimensions by correlation with the label."""
+    wide = V.vec(spark, sf).select(*[F.col("features")[i].alias(f"V{i + 1}") for i in range(64)], "label")
+    top = P.label_correlations(wide, [f"V{i}" for i in range(1, 65)], "label", 10)
     return top.withColumn("corr", F.round("corr", 6))
 
 
