@@ -4,16 +4,18 @@ Reference rows are grouped around a few pivots.  The triangle inequality bounds
 the distance from a query row to everything in a group, so a row visits only the
 groups that can still hold one of its k nearest.  Equal vectors are handled once:
 copies share their neighbours, and of equal reference rows only the first k by id
-can be among the k nearest.  Both sides travel as blocks of
-about a thousand vectors; a crowded group is cut into several blocks, so copies
-and dense regions spread over tasks.  Each pair of blocks yields at most k
-candidates per row, and the k best of those are exact.
+can be among the k nearest.  Reference rows travel in a few large groups of whole
+cells (a crowded cell is cut), query rows in a few parts, and a task compares one
+part with one group block by block, so a row is copied a few times, not once per
+block.  A block is screened by a matrix product with an error bound; what passes is
+measured by plain differences, so each task's k candidates per row, and the k best
+of all, are exact.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,12 +25,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tallyward.functions.columns import literal_rows
 from tallyward.operators.ordering import ordinals
 from tallyward.operators.profile import sample_rows
 from tallyward.session import settle
 
 BLOCK_ROWS = 1024
 MAX_PIVOTS = 256
+# Rows of one side that a task holds at most, and the parts each side is cut into below that.
+GROUP_ROWS = 65_536
+SPLIT = 6
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -53,48 +59,182 @@ def _nearest_pivot(pivots: np.ndarray):
     return assign
 
 
-def _reachable_cells(pivots: np.ndarray, radius: np.ndarray, nearest: np.ndarray, need: int):
-    """Cells that may hold one of the ``need`` nearest rows.
+def _reachable_cells(pivots: np.ndarray, radius: np.ndarray, nearest: np.ndarray, need: int, groups: dict[int, range]):
+    """Cells that may hold one of the ``need`` nearest rows, and the groups that hold these cells.
 
     ``nearest[c]`` are the smallest pivot distances in cell c (inf padded): each
     such row is at most ``d(q, pivot) + nearest`` away, which bounds the answer.
     """
 
-    @F.pandas_udf("array<int>")
-    def cells(features: pd.Series) -> pd.Series:
+    @F.pandas_udf("struct<cells: array<int>, groups: array<int>>")
+    def cells(features: pd.Series) -> pd.DataFrame:
         d = _distances(_vectors(features), pivots)
-        out = []
+        reach, where = [], []
         for row in d:
-            upper = np.sort((row[:, None] + nearest).ravel())[need - 1]
+            upper = np.partition((row[:, None] + nearest).ravel(), need - 1)[need - 1]
             keep = row - radius <= upper * (1 + 1e-9) + 1e-12
-            out.append(np.flatnonzero(keep & (radius >= 0)).astype("int32"))
-        return pd.Series(out)
+            mine = np.flatnonzero(keep & (radius >= 0)).astype("int32")
+            reach.append(mine)
+            where.append(sorted({g for c in mine.tolist() for g in groups[c]}))
+        return pd.DataFrame({"cells": reach, "groups": where})
 
     return cells
 
 
-def _pair_blocks(k: int, dims: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, near, dist = [], [], []
-            for i in range(batch.num_rows):
-                qi, qf, ri, rf = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("qi", "qf", "ri", "rf"))
-                d = _distances(qf.reshape(-1, dims), rf.reshape(-1, dims))
-                for q, line in zip(qi, d):
-                    n = min(k, len(line))
-                    close = np.flatnonzero(line <= np.partition(line, n - 1)[n - 1])
-                    best = close[np.lexsort((ri[close], line[close]))][:n]
-                    rows.append(np.full(len(best), q))
-                    near.append(ri[best])
-                    dist.append(line[best])
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (rows, near, dist)], names=["row_id", "neighbour", "distance"]
-                )
+def _group_rows(n: int, block_rows: int) -> int:
+    """Rows of a group: a ``SPLIT``-th of the table, but a block at least and ``GROUP_ROWS`` at most."""
+    return min(GROUP_ROWS, max(min(block_rows, BLOCK_ROWS), math.ceil(n / SPLIT)))
+
+
+def _groups_of(size: dict[int, int], rows: int) -> dict[int, range]:
+    """Groups of each cell: small cells share one of about ``rows`` rows, crowded cells are cut into several."""
+    out, at, used = {}, 0, 0
+    for cell, m in sorted(size.items()):
+        if used and used + m > rows:
+            at, used = at + 1, 0
+        cuts = max(1, math.ceil(m / rows))
+        out[cell] = range(at, at + cuts)
+        if cuts > 1:
+            at, used = at + cuts, 0
+        else:
+            used += m
+    return out
+
+
+class _Best:
+    """The k nearest reference rows found so far for each row of a chunk of queries."""
+
+    def __init__(self, q: np.ndarray, f: np.ndarray, ids: np.ndarray, k: int, once: bool):
+        self.q, self.f, self.ids, self.k, self.once = q, f, ids, k, once
+        self.qq, self.ff = (q * q).sum(axis=1), (f * f).sum(axis=1)
+        # rounding error of |q|^2 + |f|^2 - 2 q.f, with room
+        finite = self.ff[np.isfinite(self.ff)]
+        self.slack = 1e-15 * (q.shape[1] + 8) * (self.qq + (finite.max() if len(finite) else 0.0))
+        self.bound = np.full(len(q), np.inf)
+        self.at, self.row, self.d = np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
+        self.todo: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, here: np.ndarray, rows: np.ndarray) -> None:
+        """Compare the queries ``here`` with the reference rows ``rows`` (both as positions)."""
+        d2 = self.qq[here, None] + self.ff[rows] - 2.0 * (self.q[here] @ self.f[rows].T)
+        bound, slack = self.bound[here], 2.0 * self.slack[here]
+        if len(rows) > self.k and np.isinf(bound).any():
+            bound = np.minimum(bound, np.partition(d2, self.k - 1, axis=1)[:, self.k - 1])
+            if not self.once:
+                self.bound[here] = bound + slack
+        i, j = np.nonzero(~(d2 > (bound + slack)[:, None]))
+        if len(i):
+            self.todo.append((here[i], rows[j]))
+            self.waiting += len(i)
+            if self.waiting > self.k * len(self.q):
+                self.settle()
+
+    def settle(self) -> None:
+        if not self.todo:
+            return
+        at, row = np.concatenate([t[0] for t in self.todo]), np.concatenate([t[1] for t in self.todo])
+        d = np.empty(len(at))
+        for s in range(0, len(at), 65_536):  # plain differences, so equal vectors have distance 0
+            d[s : s + 65_536] = np.sqrt(((self.q[at[s : s + 65_536]] - self.f[row[s : s + 65_536]]) ** 2).sum(axis=1))
+        known = ~np.isnan(d)
+        at, row = np.concatenate([self.at, at[known]]), np.concatenate([self.row, row[known]])
+        d = np.concatenate([self.d, d[known]])
+        if self.once:  # a pair may come from several hash tables
+            order = np.lexsort((d, self.ids[row], at))
+            at, row, d = at[order], row[order], d[order]
+            first = np.ones(len(at), bool)
+            first[1:] = (at[1:] != at[:-1]) | (self.ids[row[1:]] != self.ids[row[:-1]])
+            at, row, d = at[first], row[first], d[first]
+        order = np.lexsort((self.ids[row], d, at))
+        at, row, d = at[order], row[order], d[order]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
+        last = rank == self.k - 1
+        self.bound[at[last]] = np.minimum(self.bound[at[last]], d[last] ** 2 * (1 + 1e-12) + self.slack[at[last]])
+        keep = rank < self.k
+        self.at, self.row, self.d = at[keep], row[keep], d[keep]
+        self.todo, self.waiting = [], 0
+
+
+def _matrix(table: pa.Table, dims: int) -> np.ndarray:
+    return table.column("f").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+
+
+_FOUND = "row_id bigint, neighbour bigint, distance double"
+_CHUNK = 1024
+
+
+def _compare(k: int, dims: int, once: bool, pairs: Callable[[pa.Table, pa.Table, np.ndarray, np.ndarray], Callable]):
+    """One part of the queries against one group of reference rows: the k nearest of each query.
+
+    ``pairs`` prepares both sides and gives, for a chunk of queries, (query positions
+    in the chunk, reference positions) to compare.
+    """
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        qi, ri = (t.column("r").to_numpy() for t in (left, right))
+        rows, near, dist = [], [], []
+        if len(qi) and len(ri):
+            q, f = _matrix(left, dims), _matrix(right, dims)
+            chunk_pairs = pairs(left, right, q, f)
+            for start in range(0, len(q), _CHUNK):
+                best = _Best(q[start : start + _CHUNK], f, ri, k, once)
+                for here, there in chunk_pairs(start, min(start + _CHUNK, len(q))):
+                    best.add(here, there)
+                best.settle()
+                rows.append(qi[start + best.at])
+                near.append(ri[best.row])
+                dist.append(best.d)
+        joined = [np.concatenate(x) if x else np.zeros(0, t) for x, t in ((rows, "int64"), (near, "int64"), (dist, float))]
+        return pa.table([pa.array(x, t) for x, t in zip(joined, (pa.int64(), pa.int64(), pa.float64()))], names=["row_id", "neighbour", "distance"])
 
     return run
 
 
+def _blocks(rows: np.ndarray, block_rows: int) -> list[np.ndarray]:
+    return [rows[i : i + block_rows] for i in range(0, len(rows), block_rows)]
+
+
+def _cell_pairs(block_rows: int):
+    """Pairs of the exact path: a query meets the blocks of the cells it can reach."""
+
+    def pairs(left: pa.Table, right: pa.Table, q: np.ndarray, f: np.ndarray):
+        cell = right.column("cell").to_numpy()
+        blocks = {int(c): _blocks(np.flatnonzero(cell == c), block_rows) for c in np.unique(cell)}
+        reach = left.column("cells").combine_chunks()
+        at, cells = np.repeat(np.arange(len(left)), reach.value_lengths().to_numpy()), reach.flatten().to_numpy()
+
+        def of(start: int, stop: int):
+            a, b = np.searchsorted(at, [start, stop])
+            mine, rows = cells[a:b], at[a:b] - start
+            for c, parts in blocks.items():
+                here = rows[mine == c]
+                if len(here):
+                    for part in parts:
+                        yield here, part
+
+        return of
+
+    return pairs
+
+
+def _carried(asked: DataFrame, parts: int) -> DataFrame:
+    """Query rows, once for each group of reference rows they must meet."""
+    part = F.pmod(F.xxhash64("r"), F.lit(parts)).cast("int")
+    return asked.withColumn("part", part).withColumn("group", F.explode("groups")).drop("groups")
+
+
+def _search(asked: DataFrame, ref: DataFrame, k: int, dims: int, once: bool, parts: int, pairs) -> DataFrame:
+    """(row_id, neighbour, distance) of ``asked`` (r, f, groups, ...) against ``ref`` (r, f, group, ...)."""
+    left = _carried(asked, parts).groupBy("part", "group")
+    right = ref.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).groupBy("part", "group")
+    found = left.cogroup(right).applyInArrow(_compare(k, dims, once, pairs), _FOUND)
+    if once:
+        found = found.groupBy("row_id", "neighbour").agg(F.min("distance").alias("distance"))
+    order = Window.partitionBy("row_id").orderBy("distance", "neighbour")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
+
+
 def nearest_neighbours(
     queries: DataFrame, reference: DataFrame, k: int, row: str = "row_id", features: str = "features",
     exclude_self: bool = False, pivots: int | None = None, block_rows: int = BLOCK_ROWS,
@@ -152,32 +292,19 @@ def _nearest(asked: DataFrame, ref: DataFrame, k: int, pivots: int | None, block
     if wanted == 1:
         # a reference of one block has nothing to prune
         dims = len(ref.first()["f"])
-        ref, asked = ref.withColumn("cell", F.lit(0)), asked.withColumn("cell", F.lit(0))
-        size, load = {0: n}, {0: asked.count()}
+        groups = {0: range(math.ceil(n / GROUP_ROWS))}
+        ref = ref.withColumn("cell", F.lit(0))
+        asked = asked.withColumn("cells", F.array(F.lit(0))).withColumn("groups", F.array(*[F.lit(g) for g in groups[0]]))
     else:
-        dims, ref, asked, size, load = _assign_cells(asked, ref, k, wanted, n)
-
-    def blocks_of(counts: dict[int, int]):
-        table = F.create_map(*[F.lit(v) for c, m in counts.items() for v in (c, math.ceil(m / block_rows))])
-        return F.try_element_at(table, F.col("cell"))
-
-    def pack(df: DataFrame, slot: str, counts: dict[int, int], ids: str, vecs: str) -> DataFrame:
-        part = df.withColumn(slot, F.pmod(F.xxhash64("r"), blocks_of(counts)).cast("int"))
-        lists = part.groupBy("cell", slot).agg(F.collect_list(F.struct("r", "f")).alias("l"))
-        return lists.select(
-            "cell", slot, F.transform("l", lambda x: x["r"]).alias(ids),
-            F.flatten(F.transform("l", lambda x: x["f"])).alias(vecs),
-        )
-
-    right = pack(ref, "block", size, "ri", "rf")
-    left = pack(asked, "part", load, "qi", "qf").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), blocks_of(size) - 1))
-    )
-    pairs = left.join(right, ["cell", "block"]).select("qi", "qf", "ri", "rf")
-    found = pairs.mapInArrow(_pair_blocks(k, dims), "row_id bigint, neighbour bigint, distance double")
-    order = Window.partitionBy("row_id").orderBy("distance", "neighbour")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
-
+        dims, ref, asked, groups = _assign_cells(asked, ref, k, wanted, n, block_rows)
+    total = asked.count()
+    parts = max(1, math.ceil(total / _group_rows(total, block_rows)))
+    spread = literal_rows([{"cell": c, "lo": g.start, "cuts": len(g)} for c, g in groups.items()], "cell: int, lo: int, cuts: int")
+    # one small row per cell
+    table = F.broadcast(ref.sparkSession.range(1).select(F.inline(spread)))
+    group = F.col("lo") + F.pmod(F.xxhash64("r", "f"), F.col("cuts"))
+    grouped = ref.join(table, "cell").select("r", "f", "cell", group.cast("int").alias("group"))
+    return _search(asked, grouped, k, dims, False, parts, _cell_pairs(block_rows))
 
 
 @dataclass(frozen=True)
@@ -219,40 +346,59 @@ def _scale(asked: DataFrame, ref: DataFrame, k: int, sample: int, seed: int) ->
     return values[len(values) // 2] if values else 1.0
 
 
-def _buckets(a: np.ndarray, b: np.ndarray, w: float, p: Hashing, probing: bool):
-    """Per vector: (table, key) of its home bucket in every table, plus probed neighbours of the home."""
-
-    @F.pandas_udf("array<struct<t: int, key: string>>")
-    def keys(features: pd.Series) -> pd.Series:
-        x = _vectors(features)
-        if len(x) == 0:
-            return pd.Series([], dtype=object)
-        v = (x @ a.T + b) / w
-        h = np.floor(v).astype(np.int64)
-        frac = v - h
-        out = []
-        for i in range(len(x)):
-            mine = []
-            for t in range(p.tables):
+def _codes(x: np.ndarray, a: np.ndarray, b: np.ndarray, w: float) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket coordinates of every vector under all projections, and the place within the bucket."""
+    v = (x @ a.T + b) / w
+    h = np.floor(v)
+    return h.astype(np.int64), v - h
+
+
+def _bucket_pairs(a: np.ndarray, b: np.ndarray, w: float, p: Hashing, block_rows: int):
+    """Pairs of the approximate path: a query meets the blocks of its home bucket and of the probed ones."""
+
+    def pairs(left: pa.Table, right: pa.Table, q: np.ndarray, f: np.ndarray):
+        theirs, _ = _codes(f, a, b, w)
+        tables = []
+        for t in range(p.tables):
+            keys, at = np.unique(theirs[:, t * p.bits : (t + 1) * p.bits], axis=0, return_inverse=True)
+            order = np.argsort(at.ravel(), kind="stable")
+            ends = np.cumsum(np.bincount(at.ravel(), minlength=len(keys)))
+            tables.append(
+                {key.tobytes(): _blocks(rows, block_rows) for key, rows in zip(keys, np.split(order, ends[:-1]))}
+            )
+        homes, place = _codes(q, a, b, w)
+
+        def of(start: int, stop: int):
+            for t, buckets in enumerate(tables):
                 cols = slice(t * p.bits, (t + 1) * p.bits)
-                home = h[i, cols]
-                mine.append({"t": t, "key": ",".join(map(str, home))})
-                if probing and p.probes:
-                    f = frac[i, cols]
-                    step = np.where(f < 0.5, -1, 1)
-                    gap = np.minimum(f, 1 - f)
-                    for j in np.argsort(gap, kind="stable")[: p.probes]:
-                        moved = home.copy()
-                        moved[j] += step[j]
-                        mine.append({"t": t, "key": ",".join(map(str, moved))})
-            out.append(mine)
-        return pd.Series(out)
-
-    return keys
+                home, frac = homes[start:stop, cols], place[start:stop, cols]
+                probed = [home]
+                closest = np.argsort(np.minimum(frac, 1 - frac), axis=1, kind="stable")
+                step, rows = np.where(frac < 0.5, -1, 1), np.arange(len(home))
+                for j in range(min(p.probes, p.bits)):
+                    moved = home.copy()
+                    moved[rows, closest[:, j]] += step[rows, closest[:, j]]
+                    probed.append(moved)
+                keys, at = np.unique(np.concatenate(probed), axis=0, return_inverse=True)
+                at = at.ravel()
+                for i, key in enumerate(keys):
+                    parts = buckets.get(key.tobytes())
+                    if parts:
+                        here = np.flatnonzero(at == i) % len(home)
+                        for part in parts:
+                            yield here, part
+
+        return of
+
+    return pairs
 
 
 def _nearest_hashed(asked: DataFrame, ref: DataFrame, k: int, p: Hashing, pivots: int | None, block_rows: int) -> DataFrame:
-    """Like :func:`_nearest`, with candidates from hash buckets; the exact path serves rows left short."""
+    """Like :func:`_nearest`, with candidates from hash buckets; the exact path serves rows left short.
+
+    A task holds the tables of one group of reference rows, so a vector travels once
+    per group and not once per table and probe.
+    """
     n = ref.count()
     if n == 0:
         raise ValueError("empty reference set")
@@ -261,29 +407,11 @@ def _nearest_hashed(asked: DataFrame, ref: DataFrame, k: int, p: Hashing, pivots
     w = p.width * max(_scale(asked, ref, k, p.sample, p.seed), 1e-12)
     a = rng.normal(size=(p.tables * p.bits, dims))
     b = rng.uniform(0, w, size=p.tables * p.bits)
-    home = settle(ref.select("r", "f", F.explode(_buckets(a, b, w, p, False)("f")).alias("h")).select("r", "f", "h.t", "h.key"))
-    probed = asked.select("r", "f", F.explode(_buckets(a, b, w, p, True)("f")).alias("h")).select("r", "f", "h.t", "h.key")
-    size = home.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"))
-    # Crowded buckets are cut into blocks of block_rows; queries meet every block of theirs.
-    ref_b = home.join(size, ["t", "key"]).withColumn(
-        "block", F.pmod(F.xxhash64("r"), F.ceil(F.col("n") / block_rows)).cast("int")
-    )
-    right = ref_b.groupBy("t", "key", "block").agg(F.collect_list(F.struct("r", "f")).alias("l")).select(
-        "t", "key", "block", F.transform("l", lambda x: x["r"]).alias("ri"), F.flatten(F.transform("l", lambda x: x["f"])).alias("rf")
-    )
-    asking = probed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("qn"))
-    q = probed.join(size, ["t", "key"]).join(asking, ["t", "key"]).withColumn(
-        "part", F.pmod(F.xxhash64("r"), F.ceil(F.col("qn") / block_rows)).cast("int")
-    )
-    left = q.groupBy("t", "key", "part").agg(F.collect_list(F.struct("r", "f")).alias("l"), F.max("n").alias("n")).select(
-        "t", "key", F.transform("l", lambda x: x["r"]).alias("qi"), F.flatten(F.transform("l", lambda x: x["f"])).alias("qf"),
-        F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / block_rows) - 1).cast("int"))).alias("block"),
-    )
-    pairs = left.join(right, ["t", "key", "block"]).select("qi", "qf", "ri", "rf")
-    found = pairs.mapInArrow(_pair_blocks(k, dims), "row_id bigint, neighbour bigint, distance double")
-    found = found.groupBy("row_id", "neighbour").agg(F.min("distance").alias("distance"))
-    order = Window.partitionBy("row_id").orderBy("distance", "neighbour")
-    found = settle(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank"))
+    groups, total = math.ceil(n / _group_rows(n, block_rows)), asked.count()
+    parts = max(1, math.ceil(total / _group_rows(total, block_rows)))
+    grouped = ref.select("r", "f", F.pmod(F.xxhash64("r", "f"), F.lit(groups)).cast("int").alias("group"))
+    everywhere = asked.select("r", "f", F.array(*[F.lit(g) for g in range(groups)]).alias("groups"))
+    found = settle(_search(everywhere, grouped, k, dims, True, parts, _bucket_pairs(a, b, w, p, block_rows)))
     enough = found.groupBy("row_id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= min(k, n))
     short = asked.join(enough.select(F.col("row_id").alias("r")), "r", "left_anti")
     if short.limit(1).count() == 0:
@@ -292,8 +420,8 @@ def _nearest_hashed(asked: DataFrame, ref: DataFrame, k: int, p: Hashing, pivots
     return found.join(enough.select("row_id"), "row_id", "left_semi").unionByName(exact)
 
 
-def _assign_cells(asked: DataFrame, ref: DataFrame, k: int, wanted: int, n: int):
-    """Reference rows with their cell, query rows once per cell they must visit, and both row counts per cell."""
+def _assign_cells(asked: DataFrame, ref: DataFrame, k: int, wanted: int, n: int, block_rows: int):
+    """Reference rows with their cell, query rows with the cells and groups they must visit, and the groups of each cell."""
     # at most MAX_PIVOTS vectors on the driver, whatever the size of the data
     points = np.array([x["f"] for x in sample_rows(ref, wanted, "r", 7).collect()], dtype=float)
     ref = settle(ref.withColumn("a", _nearest_pivot(points)("f")).select("r", "f", "a.cell", "a.d"))
@@ -304,10 +432,10 @@ def _assign_cells(asked: DataFrame, ref: DataFrame, k: int, wanted: int, n: int)
         radius[x["cell"]], size[x["cell"]] = x["d"], x["n"]
     for x in small.select("cell", "i", "d").collect():
         nearest[x["cell"], x["i"] - 1] = x["d"]
-    cells = _reachable_cells(points, radius, nearest, min(k, n))
-    asked = settle(asked.withColumn("cell", F.explode(cells("f"))).select("r", "f", "cell"))
-    load = {x["cell"]: x["n"] for x in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return points.shape[1], ref, asked, size, load
+    groups = _groups_of(size, _group_rows(n, block_rows))
+    cells = _reachable_cells(points, radius, nearest, min(k, n), groups)
+    asked = settle(asked.withColumn("a", cells("f")).select("r", "f", "a.cells", "a.groups"))
+    return points.shape[1], ref, asked, groups
 
 
 def local_outlier_factor(
