@@ -84,6 +84,17 @@ def linear_contributions(df: DataFrame, weights: Mapping[str, float], row: str =
     return additive_contributions(df, {f: F.col(f) * F.lit(float(w)) for f, w in weights.items()}, row)
 
 
+def _spread(df: DataFrame, row: str) -> DataFrame:
+    """Rows dealt over all tasks by their id.
+
+    A small table is a file or two, so one task or two; unfolded into thousands of
+    draws a row it is the largest step there is.
+    """
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, row)
+
+
 def sampled_shapley(
     df: DataFrame, background: DataFrame, features: Sequence[str], score: ScoreFn, draws: int = 20,
     row: str = "transaction_id", seed: int = 42, pool_size: int = 100,
@@ -104,7 +115,7 @@ def sampled_shapley(
     rank = F.array(*[F.struct(*[F.lit(o.index(f)).alias(f) for f in features]) for o in orders])
     pick = F.pmod(F.xxhash64(F.col(row), F.col("d"), F.lit(seed)), F.size("__pool")).cast("int")
     drawn = (
-        df.withColumn("__pool", packed)
+        _spread(df.select(row, *features), row).withColumn("__pool", packed)
         .withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
         .withColumn("__b", F.get("__pool", pick))
         .withColumn("__o", F.get(rank, F.col("d")))
@@ -249,10 +260,11 @@ def local_surrogate(
     """(row, feature, contribution): weights of a linear model fitted around each row.
 
     Draws come from hashed normals.  The sums of the normal equations are built
-    next to the draws, so one record per row is shuffled, and the small systems
+    next to the draws, so one record per row is kept, and the small systems
     are solved in Arrow batches.  ``surrogate``: unit noise on standardised
     features, proximity width ``0.75 * sqrt(d)``.  ``half_std``: noise of half a
-    standard deviation, width = std of the distances.
+    standard deviation, width = std of the distances; the draws are made twice, once
+    for the widths (one number a row) and once with them, and never stored.
     """
     d = len(features)
     fields = [F.struct(F.avg(f).alias("m"), F.coalesce(F.nullif(F.stddev_pop(f), F.lit(0.0)), F.lit(1.0)).alias("s")).alias(f) for f in features]
@@ -260,28 +272,34 @@ def local_surrogate(
     scale = 0.5 if preset == "half_std" else 1.0
 
     def unit(i: int, side: str) -> Column:
-        h = F.pmod(F.xxhash64(F.col(row), F.col("__d"), F.lit(f"{seed}:{i}:{side}")), F.lit(1 << 31))
-        return (h + 0.5) / F.lit(float(1 << 31))
+        # the low 31 bits, as a share of 2^31
+        h = F.xxhash64(F.col(row), F.col("__d"), F.lit(f"{seed}:{i}:{side}")).bitwiseAND(F.lit((1 << 31) - 1))
+        return (h + 0.5) * F.lit(2.0**-31)
 
     noise = {f: F.sqrt(-2.0 * F.log(unit(i, "r"))) * F.cos(2.0 * math.pi * unit(i, "a")) * scale for i, f in enumerate(features)}
-    drawn = (
-        df.select(row, *features).withColumn("__t", stats)
-        .withColumn("__d", F.explode(F.sequence(F.lit(1), F.lit(draws))))
-        .withColumns({f"__e_{f}": e for f, e in noise.items()})
-    )
-    moved = {f: F.col(f) + F.col(f"__e_{f}") * F.col(f"__t.{f}.s") for f in features}
     square = None
     for f in features:
         square = F.col(f"__e_{f}") ** 2 if square is None else square + F.col(f"__e_{f}") ** 2
-    scored = drawn.select(row, *[F.col(f"__e_{f}") for f in features], score(moved).alias("__y"), square.alias("__q"))
+
+    def draw(rows: DataFrame) -> DataFrame:
+        unfolded = rows.withColumn("__d", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+        return unfolded.withColumns({f"__e_{f}": e for f, e in noise.items()}).withColumn("__q", square)
+
+    base = _spread(df.select(row, *features), row)
     if preset == "half_std":
-        width = scored.groupBy(row).agg(F.stddev_pop(F.sqrt("__q")).alias("__w"))
-        scored = scored.join(width, row)
+        width = draw(base).groupBy(row).agg(F.stddev_pop(F.sqrt("__q")).alias("__w"))
+        base = base.join(width, row)
         w = F.sqrt(F.exp(-F.col("__q") / F.greatest(F.col("__w") ** 2, F.lit(1e-12))))
     else:
         w = F.sqrt(F.exp(-F.col("__q") / F.lit((0.75 * math.sqrt(d)) ** 2)))
+    moved = {f: F.col(f) + F.col(f"__e_{f}") * F.col(f"__t.{f}.s") for f in features}
+    scored = draw(base.withColumn("__t", stats)).select(
+        row, *[F.col(f"__e_{f}") for f in features], score(moved).alias("__y"), w.alias("__p0")
+    )
+    scored = scored.withColumns({f"__p{i}": F.col("__p0") * F.col(f"__e_{f}") for i, f in enumerate(features, 1)})
     terms = [F.lit(1.0), *[F.col(f"__e_{f}") for f in features]]
-    sums = [F.sum(w * a * b) for i, a in enumerate(terms) for b in terms[i:]] + [F.sum(w * a * F.col("__y")) for a in terms]
+    weighed = [F.col(f"__p{i}") for i in range(d + 1)]
+    sums = [F.sum(p * b) for i, p in enumerate(weighed) for b in terms[i:]] + [F.sum(p * F.col("__y")) for p in weighed]
     packed = scored.groupBy(row).agg(F.array(*sums).alias("sums"))
     coefs = packed.mapInPandas(
         _solver(row, d, ridge), f"{row} {df.schema[row].dataType.simpleString()}, coefs array<double>"
@@ -426,7 +444,7 @@ def model_shapley(
     orders = F.array(*[F.array(*[F.lit(x) for x in rng.sample(range(d), d)]) for _ in range(draws)])
     pick = F.pmod(F.xxhash64(F.col(row), F.col("__d"), F.lit(seed)), F.size("__pool")).cast("int")
     steps = (
-        df.select(row, vector([F.col(f) for f in features]).alias("__x")).withColumn("__pool", packed)
+        _spread(df.select(row, vector([F.col(f) for f in features]).alias("__x")), row).withColumn("__pool", packed)
         .withColumn("__d", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
         .select(row, "__x", F.get("__pool", pick).alias("__b"), F.get(orders, F.col("__d")).alias("__o"))
         .withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(d))))
