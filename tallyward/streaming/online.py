@@ -1,13 +1,13 @@
 """Online operators: rate limits, repeat suppression, rolling features, sequence buffers, alerts.
 
 Stateful operators keep their state in RocksDB, so a restarted or lost executor
-resumes from the last commit.  The work of one key in one micro-batch runs in one
+resumes from the last commit.  Keys with little state share it in hash buckets, so a key
+with few rows costs no call of its own.  The work of one bucket in one micro-batch runs in one
 task; the trigger (``maxFilesPerTrigger`` and the like) bounds how much that is.
 """
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallyward.functions import scoring as S
 from tallyward.operators.explain import top_factors
@@ -28,6 +29,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 MAX_REQUESTS = 100
 WINDOW_SECONDS = 60
 TTL_SECONDS = 300
+# Hash buckets that keys share their state in.
+BUCKETS = 1024
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -48,7 +51,14 @@ def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
 
 
 def _gather(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
-    return pd.concat(list(rows)).sort_values(list(order), kind="stable")
+    parts = list(rows)
+    pdf = parts[0] if len(parts) == 1 else pd.concat(parts)
+    return pdf if len(pdf) == 1 else pdf.sort_values(list(order), kind="stable")
+
+
+def _expire_at(state: GroupState, ms: int) -> None:
+    """Drop the state once the watermark passes ``ms``."""
+    state.setTimeoutTimestamp(max(int(ms), state.getCurrentWatermarkMs() + 1))
 
 
 def _id_field(rows: DataFrame) -> str:
@@ -68,34 +78,47 @@ def window_start(ts: Column, seconds: int) -> Column:
     return (F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000)) * F.lit(seconds)).cast("bigint")
 
 
-class _Limit(StatefulProcessor):
-    def __init__(self, limit: int, seconds: int):
-        self.limit, self.seconds = limit, seconds
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int")
+
+
+def _limit(limit: int, seconds: int):
+    slot = ["key", "window_start"]
+
+    def verdicts(bucket, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        names = [*slot, "used"]
+        held = pd.DataFrame(dict(zip(names, map(list, state.get))) if state.exists else {n: [] for n in names})
+        held = held.astype({"key": object, "window_start": "int64", "used": "int64"})
+        if not state.hasTimedOut:
+            pdf = _gather(rows, ["us", "id"]).astype({"key": object})
+            used = pdf[slot].merge(held, "left", on=slot)["used"].fillna(0).to_numpy(dtype="int64")
+            rank = used + pdf.groupby(slot, dropna=False, sort=False).cumcount().to_numpy() + 1
+            now = pdf[slot].assign(used=np.minimum(limit, rank))
+            held = pd.concat([held, now]) if len(held) else now
+            held = held.groupby(slot, dropna=False, sort=False, as_index=False)["used"].max()
+            yield pd.DataFrame(
+                {
+                    "id": pdf["id"].to_numpy(), "key": [_text(k) for k in pdf["key"]],
+                    "window_start": pdf["window_start"].to_numpy(), "allowed": rank <= limit,
+                    "remaining": np.maximum(0, limit - rank).astype("int64"),
+                    "reset_at": pdf["window_start"].to_numpy() + seconds,
+                }
+            )
+        ends = (held["window_start"].to_numpy(dtype="int64") + seconds) * 1000
+        _keep(state, held, ends, names)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.used = handle.getValueState("used", "n bigint")
+    return verdicts
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _gather(rows, ["us", "id"])
-        used = self.used.get()[0] if self.used.exists() else 0
-        rank = used + np.arange(1, len(pdf) + 1)
-        self.used.update((int(min(self.limit, rank[-1])),))
-        self.handle.registerTimer((int(key[1]) + self.seconds) * 1000)
-        yield pd.DataFrame(
-            {
-                "id": pdf["id"].to_numpy(), "key": _text(key[0]), "window_start": int(key[1]),
-                "allowed": rank <= self.limit, "remaining": np.maximum(0, self.limit - rank).astype("int64"),
-                "reset_at": int(key[1]) + self.seconds,
-            }
-        )
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.used.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
+def _keep(state: GroupState, held: pd.DataFrame, ends: np.ndarray, names: Sequence[str]) -> None:
+    """Store the entries that end after the watermark, and come back when the first of them ends."""
+    open_ = ends > state.getCurrentWatermarkMs()
+    if not open_.any():
+        state.remove()
+        return
+    kept = held[open_]
+    state.update(tuple([_text(x) for x in kept[n]] if n == "key" else kept[n].astype("int64").tolist() for n in names))
+    _expire_at(state, ends[open_].min())
 
 
 LIMIT_OUT = "key string, window_start bigint, allowed boolean, remaining bigint, reset_at bigint"
@@ -107,15 +130,16 @@ def rate_limit_stream(
 ) -> DataFrame:
     """Verdict per event: the first ``limit`` events of a key in an aligned window pass.
 
-    State is keyed by key and window, so the windows of a busy key are separate,
-    and each is dropped once the watermark passes its end.
+    State is kept by key and window, and each entry is dropped once the watermark
+    passes its end.
     """
     rows = stream.withWatermark(datetime_col, delay).select(
         F.col(key_col).cast("string").alias("key"), window_start(F.col(datetime_col), seconds).alias("window_start"),
         F.unix_micros(datetime_col).alias("us"), F.col(id_col).alias("id"), F.col(datetime_col),
     )
-    return rows.groupBy("key", "window_start").transformWithStateInPandas(
-        _Limit(limit, seconds), outputStructType=f"{_id_field(rows)}, {LIMIT_OUT}", outputMode="Append", timeMode="EventTime"
+    return rows.withColumn("bucket", _bucket()).groupBy("bucket").applyInPandasWithState(
+        _limit(limit, seconds), f"{_id_field(rows)}, {LIMIT_OUT}", "key array<string>, window_start array<bigint>, used array<bigint>",
+        "append", GroupStateTimeout.EventTimeTimeout,
     )
 
 
@@ -159,29 +183,25 @@ def window_counts_stream(stream: DataFrame, key_col: str, datetime_col: str, sec
 
 # K2: suppress repeats inside the time to live
 
-class _Repeats(StatefulProcessor):
-    def __init__(self, ttl_us: int):
-        self.ttl_us = ttl_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "us bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _gather(rows, ["us", "id"])
-        last = self.last.get()[0] if self.last.exists() else None
-        keep, last = fresh_marks(pdf["us"].to_numpy(), last, self.ttl_us)
-        self.last.update((int(last),))
-        self.handle.registerTimer(int(last // 1000 + self.ttl_us // 1000 + 1))
-        yield pd.DataFrame({"id": pdf["id"].to_numpy(), "key": _text(key[0]), "us": pdf["us"].to_numpy(), "computed": keep})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.last.exists() and self.last.get()[0] // 1000 + self.ttl_us // 1000 < expiredTimerInfo.getExpiryTimeInMs():
-            self.last.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
+def _repeats(ttl_us: int):
+    def marks(bucket, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = dict(zip(*state.get)) if state.exists else {}
+        if not state.hasTimedOut:
+            pdf = _gather(rows, ["us", "id"])
+            keys, us = [_text(k) for k in pdf["key"]], pdf["us"].to_numpy()
+            computed = np.zeros(len(us), dtype=bool)
+            places: dict[str | None, list[int]] = {}
+            for i, k in enumerate(keys):
+                places.setdefault(k, []).append(i)
+            for k, at in places.items():
+                computed[at], newest = fresh_marks(us[at], last.get(k), ttl_us)
+                last[k] = int(newest)
+            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "key": keys, "us": us, "computed": computed})
+        held = pd.DataFrame({"key": list(last), "last": list(last.values())}, dtype=object)
+        ends = np.array([t // 1000 + ttl_us // 1000 + 1 for t in last.values()], dtype="int64")
+        _keep(state, held, ends, ["key", "last"])
+
+    return marks
 
 
 def fresh_marks(us: np.ndarray, last: int | None, ttl_us: int) -> tuple[np.ndarray, int]:
@@ -202,9 +222,9 @@ def suppress_repeats_stream(
         F.col(key_col).cast("string").alias("key"), F.unix_micros(datetime_col).alias("us"),
         F.col(id_col).alias("id"), F.col(datetime_col),
     )
-    return rows.groupBy("key").transformWithStateInPandas(
-        _Repeats(ttl_seconds * 1_000_000), outputStructType=f"{_id_field(rows)}, key string, us bigint, computed boolean",
-        outputMode="Append", timeMode="EventTime",
+    return rows.withColumn("bucket", _bucket()).groupBy("bucket").applyInPandasWithState(
+        _repeats(ttl_seconds * 1_000_000), f"{_id_field(rows)}, key string, us bigint, computed boolean", "key array<string>, last array<bigint>",
+        "append", GroupStateTimeout.EventTimeTimeout,
     )
 
 
@@ -298,97 +318,49 @@ def drop_repeated_keys(stream: DataFrame, key_col: str, datetime_col: str, ttl_s
 
 # K3: velocity on arrival
 
-class _Velocity(StatefulProcessor):
-    """State per user: time slices with their totals, and the rows of each slice.
+SLICE_US = 3_600_000_000
 
-    A window is some whole slices plus parts of the oldest and newest one, so an
-    event reads the slice totals and at most a few slices of rows, not the whole
-    history of a busy user.
-    """
-
-    SLICE_US = 3_600_000_000
 
-    def __init__(self, spans: Sequence[int], unit: int):
-        self.spans, self.unit = list(spans), unit
+def _velocity(spans: Sequence[int], unit: int):
+    """State per user: the sorted rows that a window may still reach, in whole slices, and the newest slice.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.totals = handle.getMapState("totals", "slice bigint", "n bigint, v bigint, last bigint")
-        self.rows = handle.getMapState("rows", "slice bigint", "us array<bigint>, v array<bigint>, c array<bigint>")
+    A window is the difference of two running totals, found by binary search.
+    """
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def features(key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            return
         pdf = _gather(rows, ["us", "id"])
         us, amount = pdf["us"].to_numpy(), pdf["amount"].to_numpy(dtype=float)
         # Missing, NaN and infinite amounts count for the gap, not for the window.
         counted = np.isfinite(amount)
-        v = np.round(np.where(counted, amount, 0.0) * self.unit).astype("int64")
-        slices = us // self.SLICE_US
-        totals = {k[0]: list(t) for k, t in self.totals.iterator()}
-        held: dict[int, tuple[list[int], list[int], list[int]]] = {}
-
-        def raw(s: int) -> tuple[list[int], list[int], list[int]]:
-            if s not in held:
-                got = self.rows.getValue((s,)) if s in totals else None
-                held[s] = (list(got[0]), list(got[1]), list(got[2])) if got else ([], [], [])
-            return held[s]
-
-        def before(t: int) -> int | None:
-            """Latest stored time not after t."""
-            best = None
-            for s in sorted((x for x in totals if x <= t // self.SLICE_US), reverse=True):
-                if s < t // self.SLICE_US:
-                    return totals[s][2]
-                times = raw(s)[0]
-                i = bisect.bisect_right(times, t)
-                if i:
-                    return times[i - 1]
-            return best
-
-        previous = [before(int(us[0]))] + [None] * (len(us) - 1)
-        touched: set[int] = set()
-        for i, (t, x, c, s) in enumerate(zip(us.tolist(), v.tolist(), counted.astype(int).tolist(), slices.tolist())):
-            if i:
-                previous[i] = before(t)
-            times, values, counts = raw(s)
-            at = bisect.bisect_right(times, t)
-            times.insert(at, t)
-            values.insert(at, x)
-            counts.insert(at, c)
-            old = totals.get(s, [0, 0, t])
-            totals[s] = [old[0] + c, old[1] + x, max(old[2], t)]
-            touched.add(s)
-
+        v = np.round(np.where(counted, amount, 0.0) * unit).astype("int64")
+        held = [np.asarray(x, dtype="int64") for x in state.get] if state.exists else [np.zeros(0, "int64")] * 3
+        # the latest time not after a row, of those known before it
+        seen = np.searchsorted(held[0], us, side="right")
+        none = np.iinfo("int64").min
+        previous = np.append(held[0], none)[seen - 1]
+        previous[seen == 0] = none
+        previous[1:] = np.maximum(previous[1:], us[:-1])
+
+        times, values, counts = (np.concatenate(x) for x in zip(held, (us, v, counted.astype("int64"))))
+        order = np.argsort(times, kind="stable")
+        times, values, counts = times[order], values[order], counts[order]
+        total, number = (np.concatenate([[0], np.cumsum(x)]) for x in (values, counts))
+        upto = np.searchsorted(times, us, side="right")
         out = {"id": pdf["id"].to_numpy(), "user": [key[0]] * len(us)}
-        ends = sorted(set(us.tolist()))
-        for j, span in enumerate(self.spans):
-            answer = {}
-            for t in ends:
-                first, last = (t - span) // self.SLICE_US, t // self.SLICE_US
-                n = sum(totals[s][0] for s in totals if first < s < last)
-                total = sum(totals[s][1] for s in totals if first < s < last)
-                for s in {first, last}:
-                    times, values, counts = raw(s)
-                    a, b = bisect.bisect_right(times, t - span), bisect.bisect_right(times, t)
-                    n, total = n + sum(counts[a:b]), total + sum(values[a:b])
-                answer[t] = (n, total)
-            out[f"n{j}"] = [answer[t][0] for t in us.tolist()]
-            out[f"s{j}"] = [answer[t][1] for t in us.tolist()]
-        out["gap"] = [NO_PREVIOUS_S if p is None else (t - p) / 1e6 for t, p in zip(us.tolist(), previous)]
-
-        for s in touched:
-            self.rows.updateValue((s,), held[s])
-            self.totals.updateValue((s,), tuple(int(x) for x in totals[s]))
+        for j, span in enumerate(spans):
+            start = np.searchsorted(times, us - span, side="right")
+            out[f"n{j}"], out[f"s{j}"] = number[upto] - number[start], total[upto] - total[start]
+        out["gap"] = np.where(previous == none, NO_PREVIOUS_S, (us - np.where(previous == none, us, previous)) / 1e6)
+
         # slices older than the longest window, counted from the watermark, are never read again
-        horizon = (timerValues.getCurrentWatermarkInMs() * 1000 - max(self.spans)) // self.SLICE_US
-        newest = max(totals)
-        for s in totals:
-            if s < horizon and s != newest:
-                self.totals.removeKey((s,))
-                self.rows.removeKey((s,))
+        horizon = (state.getCurrentWatermarkMs() * 1000 - max(spans)) // SLICE_US
+        kept = times // SLICE_US >= min(horizon, times[-1] // SLICE_US)
+        state.update((times[kept].tolist(), values[kept].tolist(), counts[kept].tolist()))
         yield pd.DataFrame(out)
 
-    def close(self) -> None:
-        pass
+    return features
 
 
 def velocity_stream(
@@ -409,8 +381,9 @@ def velocity_stream(
     spans = [window_us(w) for w in windows]
     kind = rows.schema["user"].dataType.simpleString()
     schema = f"{_id_field(rows)}, user {kind}, " + ", ".join(f"n{j} bigint, s{j} bigint" for j in range(len(spans))) + ", gap double"
-    done = rows.groupBy("user").transformWithStateInPandas(
-        _Velocity(spans, unit), outputStructType=schema, outputMode="Append", timeMode="EventTime"
+    done = rows.groupBy("user").applyInPandasWithState(
+        _velocity(spans, unit), schema, "us array<bigint>, v array<bigint>, c array<bigint>", "append",
+        GroupStateTimeout.EventTimeTimeout,
     )
     cols = [F.col("id").alias(id_col)]
     for j, (n, u) in enumerate(windows):
