@@ -272,7 +272,8 @@ def nearest_neighbours(
         found = _nearest(asked, ref, need, pivots, block_rows)
     else:
         found = _nearest_hashed(asked, ref, need, approximate, pivots, block_rows)
-    shared = rows.join(asked.select("f", F.col("r").alias("rep")), "f").join(
+    # a table of vectors is never broadcast: it would pass the driver
+    shared = rows.join(asked.select("f", F.col("r").alias("rep")).hint("merge"), "f").join(
         found.withColumnRenamed("row_id", "rep"), "rep"
     )
     if exclude_self:

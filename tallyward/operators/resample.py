@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyward.functions.hashing import hash_unit
 from tallyward.operators.neighbours import nearest_neighbours
 from tallyward.operators.ordering import ordinals
+from tallyward.session import settle
 
 
 def new_row_count(df: DataFrame, label: str, ratio: float) -> tuple[int, int]:
@@ -26,9 +27,13 @@ def _between(x: Column, other: Column, u: Column) -> Column:
 
 
 def _finish(draws: DataFrame, near: DataFrame, rare: DataFrame, row: str, features: str) -> DataFrame:
-    """Interpolate from (draw, base, pick, u): base row towards its pick-th neighbour."""
-    base = rare.select(F.col(row).alias("base"), F.col(features).alias("x"))
-    other = rare.select(F.col(row).alias("neighbour"), F.col(features).alias("y"))
+    """Interpolate from (draw, base, pick, u): base row towards its pick-th neighbour.
+
+    Vectors are joined by a shuffle: the size of their file says little about
+    their size in memory, and a broadcast passes the driver.
+    """
+    base = rare.select(F.col(row).alias("base"), F.col(features).alias("x")).hint("merge")
+    other = rare.select(F.col(row).alias("neighbour"), F.col(features).alias("y")).hint("merge")
     chosen = near.select(F.col("row_id").alias("base"), F.col("rank").alias("pick"), "neighbour")
     return (
         draws.join(chosen, ["base", "pick"]).join(base, "base").join(other, "neighbour")
@@ -47,7 +52,7 @@ def smote(
     """
     wanted, minority = new_row_count(df, label, ratio)
     rare = df.where(F.col(label) == 1).select(row, features)
-    near = nearest_neighbours(rare, rare, k, row, features, exclude_self=True)
+    near = settle(nearest_neighbours(rare, rare, k, row, features, exclude_self=True))
     numbered = ordinals(rare.select(row), row, row).select(F.col("ordinal").alias("at"), F.col(row).alias("base"))
     j = F.col("draw")
     draws = df.sparkSession.range(wanted).select(F.col("id").alias("draw")).select(
@@ -68,7 +73,8 @@ def adasyn(
     rare = df.where(F.col(label) == 1).select(row, features)
     around = nearest_neighbours(rare, df, k, row, features, exclude_self=True)
     kinds = df.select(F.col(row).alias("neighbour"), (F.col(label) == 0).cast("double").alias("other"))
-    share = around.join(kinds, "neighbour").groupBy(F.col("row_id").alias("base")).agg(F.avg("other").alias("r"))
+    # one row per minority row, written once: the search serves the total and the copies
+    share = settle(around.join(kinds, "neighbour").groupBy(F.col("row_id").alias("base")).agg(F.avg("other").alias("r")))
     total = share.agg(
         F.when(F.sum("r") > 0, F.sum("r")).otherwise(F.raise_error(F.lit("no minority row has majority neighbours")).cast("double")).alias("s")
     ).scalar()
@@ -83,7 +89,7 @@ def adasyn(
             hash_unit(key, f"{seed}:u").alias("u"),
         )
     )
-    near = nearest_neighbours(rare, rare, k, row, features, exclude_self=True)
+    near = settle(nearest_neighbours(rare, rare, k, row, features, exclude_self=True))
     return _finish(draws, near, rare, row, features)
 
 
