@@ -34,7 +34,10 @@ def stack_rows(parts: Sequence[DataFrame]) -> DataFrame:
 def fold_scores(
     rows: DataFrame, fit: Callable, technique: str, folds: int, label: str = "label", resample: Resampler | None = None
 ) -> DataFrame:
-    """(technique, fold, label, score) of held-out rows.  Only the training folds are resampled."""
+    """(technique, fold, label, score) of held-out rows.  Only the training folds are resampled.
+
+    Scores are written, so a later plan holds neither the models nor the folds.
+    """
     parts = []
     for i in range(folds):
         train, held = rows.where(F.col("fold") != i).drop("fold"), rows.where(F.col("fold") == i)
@@ -42,7 +45,7 @@ def fold_scores(
             train = settle(resample(train))
         _, scorer = fit(train)
         parts.append(scorer(held).select(F.lit(technique).alias("technique"), "fold", F.col(label).alias("label"), "score"))
-    return stack_rows(parts)
+    return settle(stack_rows(parts))
 
 
 def fold_metrics(scores: DataFrame) -> DataFrame:
