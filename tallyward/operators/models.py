@@ -60,9 +60,11 @@ def fit_forest(
     df: DataFrame, features: str = "features", label: str = "label", balanced: bool = False, out: str = "score",
     trees: int = 100, depth: int = 10, seed: int = 42,
 ):
+    """Random forest; each row's node in every tree is kept between levels, not found again from the root."""
     rows = with_class_weight(df, label, "__w") if balanced else df.withColumn("__w", F.lit(1.0))
     model = RandomForestClassifier(
-        featuresCol="__x", labelCol="__y", weightCol="__w", numTrees=trees, maxDepth=depth, seed=seed
+        featuresCol="__x", labelCol="__y", weightCol="__w", numTrees=trees, maxDepth=depth, seed=seed,
+        cacheNodeIds=True, checkpointInterval=-1,
     ).fit(_prepared(rows, features, label))
     return model, _scorer(model, features, out)
 
