@@ -431,35 +431,45 @@ def model_shapley(
     """Permutation-sampled Shapley values of a fitted model: (row, feature, contribution).
 
     ``scorer`` adds a ``score`` column to rows with a ``features`` array.  Each
-    draw unfolds into the steps from the background row to the row itself; a
+    draw unfolds into the steps between the background row and the row itself; a
     step's score counts for the feature switched on before it and against the
     one switched on next, and these signed scores are summed before the shuffle.
+    The ends of a draw are not scored again: background rows are scored once for
+    all rows, and a row itself once for all its draws.
     """
     d = len(features)
     names = F.array(*[F.lit(f) for f in features])
     vector = lambda cols: F.array(*[c.cast("double") for c in cols])
-    pool = sample_rows(background, pool_size, row, seed).select(vector([F.col(f) for f in features]).alias("b"))
-    packed = pool.agg(F.array_sort(F.collect_list("b"))).scalar()
+    pool = sample_rows(background, pool_size, row, seed).select(vector([F.col(f) for f in features]).alias("features"))
+    packed = scorer(pool).agg(F.array_sort(F.collect_list(F.struct("features", "score")))).scalar()
     rng = random.Random(seed)
-    orders = F.array(*[F.array(*[F.lit(x) for x in rng.sample(range(d), d)]) for _ in range(draws)])
-    pick = F.pmod(F.xxhash64(F.col(row), F.col("__d"), F.lit(seed)), F.size("__pool")).cast("int")
-    steps = (
-        _spread(df.select(row, vector([F.col(f) for f in features]).alias("__x")), row).withColumn("__pool", packed)
-        .withColumn("__d", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-        .select(row, "__x", F.get("__pool", pick).alias("__b"), F.get(orders, F.col("__d")).alias("__o"))
-        .withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(d))))
-        .withColumn(
-            "features",
-            F.transform(
-                F.sequence(F.lit(0), F.lit(d - 1)),
-                lambda i: F.when(F.array_position("__o", i) <= F.col("__s"), F.get("__x", i)).otherwise(F.get("__b", i)),
-            ),
-        )
-        .select(row, "__o", "__s", "features")
+    steps = _steps([rng.sample(range(d), d) for _ in range(draws)], d)
+    pick = F.pmod(F.xxhash64(F.col(row), F.col("draw"), F.lit(seed)), F.size(packed)).cast("int")
+    mixed = [F.when(F.get("own", F.lit(i)), F.get("__x", F.lit(i))).otherwise(F.get("__b.features", F.lit(i))) for i in range(d)]
+    unfolded = (
+        _spread(df.select(row, vector([F.col(f) for f in features]).alias("__x")), row)
+        .select(row, "__x", F.inline(literal_rows(steps, "draw: int, first: boolean, own: array<boolean>, effects: array<struct<i: int, w: double>>")))
+        .withColumn("__b", F.get(packed, pick))
+        .select(row, "effects", F.when(F.col("first"), F.col("__b.score")).otherwise(F.lit(0.0)).alias("__base"), F.array(*mixed).alias("features"))
     )
-    gain = F.struct(F.get("__o", F.col("__s") - 1).alias("i"), F.col("score").alias("v"))
-    loss = F.struct(F.get("__o", F.col("__s")).alias("i"), (-F.col("score")).alias("v"))
-    signed = scorer(steps).select(row, F.inline(F.array(gain, loss))).where(F.col("i").isNotNull())
-    return signed.groupBy(row, F.get(names, F.col("i")).alias("feature")).agg(
-        (F.sum("v") / F.lit(float(draws))).alias("contribution")
+    signed = scorer(unfolded).select(row, "score", "__base", F.inline("effects"))
+    value = F.col("w") * F.col("score") - F.when(F.col("w") > 0, F.col("__base")).otherwise(F.lit(0.0))
+    return signed.groupBy(row, "i").agg((F.sum(value) / F.lit(float(draws))).alias("contribution")).select(
+        row, F.get(names, F.col("i")).alias("feature"), "contribution"
     )
+
+
+def _steps(orders: list[list[int]], d: int) -> list[dict]:
+    """Points to score for a row: which features are its own there, and how the score counts for each feature.
+
+    ``first`` steps also count the background row's score against the feature they switch on.
+    """
+    out = []
+    for draw, o in enumerate(orders):
+        for s in range(1, max(d, 2)):
+            effects = [{"i": o[s - 1], "w": 1.0}] + ([{"i": o[s], "w": -1.0}] if s < d else [])
+            out.append({"draw": draw, "first": s == 1, "own": [i in o[:s] for i in range(d)], "effects": effects})
+    if d > 1:
+        ends = [{"i": i, "w": float(sum(o[-1] == i for o in orders))} for i in range(d)]
+        out.append({"draw": 0, "first": False, "own": [True] * d, "effects": [e for e in ends if e["w"]]})
+    return out
