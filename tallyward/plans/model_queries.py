@@ -23,7 +23,7 @@ from tallyward.plans import benchmarks as Be
 from tallyward.plans import views as V
 from tallyward.plans.registry import query
 from tallyward.plans.views import with_views
-from tallyward.session import fresh_path
+from tallyward.session import fresh_path, settle
 
 FEATS = S.RULE_FEATURES
 WIDTH = 64
@@ -247,6 +247,23 @@ def scoring_pipeline() -> Pipeline:
     )
 
 
+FEATURE_STAGES = 3
+
+
+def fit_scoring(train) -> PipelineModel:
+    """:func:`scoring_pipeline` fitted in two steps, so that learned tables and features are computed once.
+
+    ``Pipeline.fit`` would compute the windows again for every estimator behind them.
+    """
+    stages = scoring_pipeline().getStages()
+    learned = fresh_path(train.sparkSession, "scoring-features")
+    Pipeline(stages=stages[:FEATURE_STAGES]).fit(train).write().save(learned)
+    features = PipelineModel.load(learned)
+    rows = settle(features.transform(train).select(*FACTORS, "is_fraud"))
+    classifier = Pipeline(stages=stages[FEATURE_STAGES:]).fit(rows)
+    return PipelineModel([*features.stages, *classifier.stages])
+
+
 def score_with(model: PipelineModel, df):
     """Probability, decision, tier and the three factors of largest absolute contribution to the log odds."""
     weights = [float(w) for w in model.stages[-1].coefficients]
@@ -269,7 +286,7 @@ def i21_fitted(spark, sf):
     t = V.tx(spark, sf)
     train = hold_out(t, "transaction_id", 0.3).where(F.col("split") == "train").drop("split")
     path = fresh_path(spark, "scoring-pipeline")
-    scoring_pipeline().fit(train).write().save(path)
+    fit_scoring(train).write().save(path)
     return score_with(PipelineModel.load(path), t)
 
 
