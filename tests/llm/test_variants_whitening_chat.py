@@ -107,6 +107,63 @@ def test_affected_bound_holds_for_all_single_edits(spark):
                     assert shared >= nag[a][1] - nag[a][0]
 
 
+def test_words_one_edit_apart_share_a_list_and_lists_are_short():
+    """A list is cut by all grams that an edit leaves, so a gram that every word holds does not bring all words together."""
+    rnd = random.Random(8)
+    words = set()
+    while len(words) < 1500:
+        w = [rnd.choice("abcdefghij") for _ in range(11)]
+        at = rnd.randrange(2, 8)
+        w[at : at + 2] = "qz"
+        words.add("".join(w))
+    for w in rnd.sample(sorted(words), 150):
+        p = rnd.randrange(len(w))
+        words |= {w[:p] + w[p + 1 :], w[:p] + "k" + w[p:], w[:p] + "k" + w[p + 1 :], w + "q"}
+    words = sorted(words)
+    often = {g for g in ("qz", "aqz", "zab", "ab", "qza", "abc")}
+    lists, bound = {}, {}
+    for w in words:
+        grams = Sp._grams(w, often)
+        hits = [sum(i - 2 <= p <= i + l for i, l in grams) for p in range(len(w) + 1)]
+        bound[w] = len(grams) - max(hits)
+        if bound[w] > 0:
+            changed, grown = Sp.surviving(grams, len(w), len(w) - 1, 3), Sp.surviving(grams, len(w), len(w), 2)
+            assert (0, len(w)) not in changed | grown  # some gram survives every edit
+            for kind, m, cuts in (("=", len(w), changed), ("+", len(w), grown), ("-", len(w) - 1, changed)):
+                for e, s in cuts:
+                    lists.setdefault((kind, m, w[:e], w[s:]), set()).add(w)
+    met, sides = set(), 0
+    for (kind, m, e, s), ws in lists.items():
+        others = ws if kind == "=" else lists.get(("-", m, e, s), set()) if kind == "+" else set()
+        sides += len(ws) * len(others)
+        met |= {(a, b) for a in ws for b in others}
+    near = 0
+    for a in words:
+        for b in words:
+            if len(a) <= len(b) <= len(a) + 1 and a != b and bound[a] > 0 and bound[b] > 0:
+                p = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+                if a[p + (len(a) == len(b)) :] == b[p + 1 :]:
+                    near += 1
+                    assert (a, b) in met
+    assert near > 300
+    assert sides < 0.02 * len(words) ** 2
+
+
+def test_near_pairs_equal_plain_on_many_similar_words(spark):
+    rnd = random.Random(12)
+    words = {"".join(rnd.choice("ab\u00e9c") for _ in range(rnd.randrange(5, 10))) for _ in range(700)} | {"a" * n for n in range(5, 40)}
+    df = spark.createDataFrame([(w, 3, len(w)) for w in sorted(words)], "word string, n long, len int")
+    letters = "ab\u00e9c"
+    plain = set()
+    for w in words:
+        for p in range(len(w) + 1):
+            for v in [w[:p] + w[p + 1 :]] + [w[:p] + c + w[p + k :] for c in letters for k in (0, 1)]:
+                if v in words and v != w:
+                    plain.add((min(v, w), max(v, w)))
+    got = [(r.a, r.b) for r in Sp.near_pairs(df).collect()]
+    assert sorted(got) == sorted(plain)
+
+
 # ---------------------------------------------------------------- whitening
 
 
