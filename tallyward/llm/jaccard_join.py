@@ -5,7 +5,9 @@ of each, whatever global order the tokens are put in.  A pair is a candidate onl
 if that holds under several orders: rare tokens first (by a counting sketch of the
 whole corpus), ascending hash, and descending hash.  The first order makes the
 candidates through a join on prefix tokens; the others are intersected with it
-before a pair's sets are compared in full.
+before a pair's sets are compared in full.  Most candidates only share a passage; the
+low quarter of both sets, at half the width, tells nearly all of them apart, and whole
+sets travel only for the rest.
 
 Shape of the plan.
 
@@ -42,6 +44,9 @@ from tallyward.session import settle
 SLOT_BITS = 19
 SMALL = 16
 BLOCK = 256
+#: Sketches hold the tokens below LOW, shifted to 32 bits.
+LOW = np.uint64(1 << 62)
+LOW_SHIFT = np.uint64(30)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -122,6 +127,43 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(make, "id long, set binary")
 
 
+def _sketches(docs: DataFrame, k: int) -> DataFrame:
+    """(id, set): set size, then the tokens of the low quarter of the token space in 32 bits each; nothing for an empty set."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, flat, offsets in pieces(batch.column(1)):
+                low = [
+                    np.append(np.uint64(len(s)), s[: np.searchsorted(s, LOW)] >> LOW_SHIFT).astype("<u4").tobytes() if len(s) else b""
+                    for s in shingle_sets(flat, offsets, k)
+                ]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(low)), pa.array(low, pa.binary())], ["id", "set"])
+
+    return docs.mapInArrow(make, "id long, set binary")
+
+
+def _may_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """False only if the sets of two sketches cannot link.
+
+    Linked sets share ``need`` tokens, so at most ``len - need`` of one are not in the
+    other, whatever part of the token space is looked at.  Shortened tokens only match more.
+    """
+    la, lb = int(a[0]), int(b[0])
+    if 100 * min(la, lb) < percent * max(la, lb):
+        return False
+    need = -(-percent * (la + lb) // (100 + percent))
+    return _missing(a[1:], b[1:]) <= la - need and _missing(b[1:], a[1:]) <= lb - need
+
+
+def _missing(a: np.ndarray, b: np.ndarray) -> int:
+    """How many of a are not in b; both are sorted."""
+    if not len(b):
+        return len(a)
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = len(b) - 1
+    return int((b[at] != a).sum())
+
+
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Prefixes under the two hash orders first, then the whole sets."""
     la, lb = len(a), len(b)
@@ -151,16 +193,16 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple,
     return groupby(rows, key=lambda r: r[:keys])
 
 
-def _verify_pairs(percent: int):
+def _verify_pairs(percent: int, test=_linked, width=np.uint64):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u, v = [], []
         for (a,), rows in _runs(batches, 1):
-            mine = [np.frombuffer(next(rows)[3], dtype=np.uint64)]
+            mine = [np.frombuffer(next(rows)[3], dtype=width)]
             for _, other, b, data in rows:
-                s = np.frombuffer(data, dtype=np.uint64)
+                s = np.frombuffer(data, dtype=width)
                 if not other:  # a further text of the same document
                     mine.append(s)
-                elif any(_linked(m, s, percent) for m in mine):
+                elif any(test(m, s, percent) for m in mine):
                     u.append(a)
                     v.append(b)
             if len(u) > 20_000:
@@ -335,19 +377,23 @@ def jaccard_components(
     # of each join is broadcast where it has been counted to be small, so that sets are
     # shuffled once, to the task that compares them.
     repeated = not with_id.groupBy("id", "h1", "h2").count().where("count > 1").isEmpty()
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def sets_of(ids: DataFrame) -> DataFrame:
+    def sets_of(ids: DataFrame, make=_sets) -> DataFrame:
         wanted = work.join(checked(settle(ids.distinct())), "id", "left_semi").select("id", "text")
-        found = _sets(wanted, k).where(F.octet_length("set") > 0)
+        found = make(wanted, k).where(F.octet_length("set") > 0)
         return found.distinct() if repeated else found
 
-    mine = pairs.select("u").distinct().select("u", F.lit(False).alias("other"), F.col("u").alias("id"))
-    asked = settle(mine.unionByName(pairs.select("u", F.lit(True).alias("other"), F.col("v").alias("id"))))
-    stream = sets_of(asked.select("id")).join(checked(asked), "id").select("u", "other", "id", "set")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    linked = settle(
-        stream.repartition(n, "u").sortWithinPartitions("u", "other", "id").mapInArrow(_verify_pairs(percent), "u long, v long").distinct()
-    )
+    def passing(pairs: DataFrame, make, verify) -> DataFrame:
+        mine = pairs.select("u").distinct().select("u", F.lit(False).alias("other"), F.col("u").alias("id"))
+        asked = settle(mine.unionByName(pairs.select("u", F.lit(True).alias("other"), F.col("v").alias("id"))))
+        stream = sets_of(asked.select("id"), make).join(checked(asked), "id").select("u", "other", "id", "set")
+        return settle(
+            stream.repartition(n, "u").sortWithinPartitions("u", "other", "id").mapInArrow(verify, "u long, v long").distinct()
+        )
+
+    likely = passing(pairs, _sketches, _verify_pairs(percent, _may_link, np.dtype("<u4")))
+    linked = passing(likely, _sets, _verify_pairs(percent))
     sized = classes.groupBy("rid").agg(F.sum("copies").alias("copies"))
     placed = settle(blocks.join(sized, "rid").select(F.col("rid").alias("id"), F.col("block").alias("b"), "copies"))
     sides = units.select("block", "block2", F.lit(0).alias("side"), F.col("block").alias("b")).unionByName(

@@ -145,3 +145,25 @@ def test_scores_beyond_floats_are_exact():
     assert Ct.products(q, d).tolist() == [[(2**40 + 1) * (2**20 + 1) + 15, 7 * (2**40 + 1) + 3 * 2**50]]
     with pytest.raises(OverflowError):
         Ct.products(np.array([[2**60]]), np.array([[2**60]]))
+
+
+def test_sketches_tell_candidates_apart_and_lose_no_link(spark):
+    """Texts that only share a passage are candidates, but their whole sets are not needed."""
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    passage = rng.choices(vocabulary, k=120)
+    texts = [" ".join(rng.choices(vocabulary, k=280) + passage) for _ in range(30)]
+    close = [t.split(" ") for t in texts[:10]]
+    for words in close:
+        words[rng.randrange(250)] = "other"
+    texts += [" ".join(w) for w in close] + ["one two", "one two three", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    low = {r["id"]: np.frombuffer(r["set"], dtype="<u4") for r in Jj._sketches(df, 5).collect()}
+    whole = {r["id"]: np.frombuffer(r["set"], dtype=np.uint64) for r in Jj._sets(df, 5).collect()}
+    full = sorted(i for i, s in whole.items() if len(s))
+    assert sorted(i for i, s in low.items() if len(s)) == full
+    passed = {(i, j) for i in full for j in full if i < j and Jj._may_link(low[i], low[j], 80)}
+    linked = {(i, j) for i in full for j in full if i < j and Jj._linked(whole[i], whole[j], 80)}
+    assert linked == {(i, 30 + i) for i in range(10)} and linked <= passed
+    assert len(passed) < 30  # of 780 pairs, all of which share the passage
+    assert sum(s.nbytes for s in low.values()) < 0.16 * sum(s.nbytes for s in whole.values())
