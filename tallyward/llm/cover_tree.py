@@ -3,9 +3,13 @@
 Method: queries and data share the top level of a cover tree (centres picked farthest
 first from a bounded sample; every vector belongs to its nearest centre, with the
 covering radius measured over all vectors).  Below, each block of a cell has a cover
-tree of its own, built in the task.  A pair of nodes is pruned when
+tree of its own, built in the task, and so does each query group of more than twice
+``GROUP``.  A pair of nodes is pruned when
 ``<cq, cd> + |cq| rd + |cd| rq + rq rd``, the largest product their members can have,
-is below the worst k-th score of the query node's members.
+is below the worst k-th score of the query node's members.  At a leaf of the data
+each query has a bound of its own, ``<q, cd> + |q| rd``, and only the queries that
+pass it meet the leaf's vectors, in one matrix product.  Leaves are large, for a
+product of matrices costs less than the bounds that would cut it up.
 
 Shape of the plan: one pass assigns cells; cells are cut into blocks of about
 ``BLOCK`` vectors and query groups of about ``GROUP``, so one vector that holds a
@@ -33,7 +37,7 @@ from tallyward.session import settle
 BLOCK = 2048
 GROUP = 256
 MAX_CELLS = 1024
-LEAF = 64
+LEAF = 256
 #: Sample that centres are picked from; only their quality depends on it, never the result.
 SAMPLE = 8192
 LOWEST = np.iinfo(np.int64).min
@@ -89,25 +93,26 @@ class Best:
         self.score = np.full((len(ids), k), LOWEST, dtype=np.int64)
         self.who = np.full((len(ids), k), np.iinfo(np.int64).max, dtype=np.int64)
 
-    def worst(self, at: np.ndarray) -> int:
-        return int(np.maximum(self.score[at, -1], self.floor[at]).min())
+    def least(self, at: np.ndarray) -> np.ndarray:
+        """What a score must reach to be among a query's k best."""
+        return np.maximum(self.score[at, -1], self.floor[at])
 
     def offer(self, at: np.ndarray, scores: np.ndarray, who: np.ndarray) -> None:
-        scores = np.where(self.ids[at][:, None] == who[None, :], LOWEST, scores)
-        some = scores.max(axis=1) >= np.maximum(self.score[at, -1], self.floor[at])
-        if not some.any():
+        row, col = np.nonzero(scores >= self.least(at)[:, None])
+        other = self.ids[at[row]] != who[col]
+        row, col = row[other], col[other]
+        if not len(row):
             return
-        at, scores = at[some], scores[some]
-        every = np.concatenate((self.score[at], scores), axis=1)
-        names = np.concatenate((self.who[at], np.broadcast_to(who, scores.shape)), axis=1)
-        order = np.lexsort((names, -every.astype(np.float64)), axis=1) if np.abs(every[every > LOWEST]).max(initial=0) < 2**53 else _slow_order(every, names)
-        order = order[:, : self.k]
-        self.score[at] = np.take_along_axis(every, order, axis=1)
-        self.who[at] = np.take_along_axis(names, order, axis=1)
-
-
-def _slow_order(scores: np.ndarray, names: np.ndarray) -> np.ndarray:
-    return np.array([sorted(range(len(s)), key=lambda i: (-int(s[i]), n[i])) for s, n in zip(scores, names, strict=True)])
+        some = np.unique(row)
+        mine = at[some]
+        every = np.concatenate((np.repeat(some, self.k), row))
+        names = np.concatenate((self.who[mine].ravel(), who[col]))
+        values = np.concatenate((self.score[mine].ravel(), scores[row, col]))
+        order = np.lexsort((names, ~values, every))  # ~x falls as x rises and cannot overflow
+        every = every[order]
+        best = order[np.arange(len(order)) - np.searchsorted(every, every) < self.k]
+        self.score[mine] = values[best].reshape(len(mine), self.k)
+        self.who[mine] = names[best].reshape(len(mine), self.k)
 
 
 def products(q: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -125,13 +130,20 @@ def products(q: np.ndarray, d: np.ndarray) -> np.ndarray:
 
 def dual_search(q: np.ndarray, qtree: Node, d: np.ndarray, dtree: Node, who: np.ndarray, best: Best) -> None:
     """Offer every product that may be among a query's k best."""
+    points = q.astype(np.float64)
+    norm = np.sqrt((points * points).sum(axis=1))
     todo = [(_bound(qtree, dtree), qtree, dtree)]
     while todo:
         bound, a, b = todo.pop()
-        if bound < best.worst(a.at):
+        least = best.least(a.at)
+        if bound < least.min():
             continue
         if not a.children and not b.children:
-            best.offer(a.at, products(q[a.at], d[b.at]), who[b.at])
+            reach = np.sqrt(b.centre @ b.centre) + b.radius
+            top = points[a.at] @ b.centre + norm[a.at] * b.radius + 1 + 1e-9 * norm[a.at] * reach
+            at = a.at[top >= least]
+            if len(at):
+                best.offer(at, products(q[at], d[b.at]), who[b.at])
             continue
         split_data = bool(b.children) and (not a.children or b.radius >= a.radius)
         pairs = [(a, c) for c in b.children] if split_data else [(c, b) for c in a.children]
@@ -220,7 +232,7 @@ def _visit(pairs: DataFrame, groups: DataFrame, blocks: DataFrame, dim: int, k:
             for r in members:
                 q, ids = _points(r["vs"], dim), np.array(r["ids"], dtype=np.int64)
                 best = Best(ids, k, np.array(r["floors"], dtype=np.int64))
-                dual_search(q, cover_tree(q.astype(np.float64), leaf=16), d, dtree, who, best)
+                dual_search(q, cover_tree(q.astype(np.float64), leaf=2 * GROUP), d, dtree, who, best)
                 good = (best.score > LOWEST) & (best.score >= best.floor[:, None])
                 row, col = np.nonzero(good)
                 yield pa.RecordBatch.from_arrays(

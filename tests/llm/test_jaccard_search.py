@@ -167,3 +167,28 @@ def test_sketches_tell_candidates_apart_and_lose_no_link(spark):
     assert linked == {(i, 30 + i) for i in range(10)} and linked <= passed
     assert len(passed) < 30  # of 780 pairs, all of which share the passage
     assert sum(s.nbytes for s in low.values()) < 0.16 * sum(s.nbytes for s in whole.values())
+
+
+def test_a_visit_makes_few_products(monkeypatch):
+    """Queries meet large leaves in one product each, with the results of comparing all."""
+    rng = np.random.default_rng(3)
+    q, d = rng.integers(-64, 64, (200, 64)), rng.integers(-64, 64, (2048, 64))
+    d[500:700] = d[500]  # ties
+    q[0], ids, who = d[500], np.arange(200), np.arange(2048)
+    calls, plain = [], Ct.products
+    monkeypatch.setattr(Ct, "products", lambda a, b: calls.append(1) or plain(a, b))
+    best = Ct.Best(ids, 20, np.full(200, Ct.LOWEST))
+    Ct.dual_search(q, Ct.cover_tree(q.astype(float), leaf=2 * Ct.GROUP), d, Ct.cover_tree(d.astype(float)), who, best)
+    scores = q @ d.T
+    scores[ids, ids] = Ct.LOWEST
+    order = np.lexsort((np.broadcast_to(who, scores.shape), ~scores), axis=1)[:, :20]
+    assert (best.who == order).all() and (best.score == np.take_along_axis(scores, order, axis=1)).all()
+    assert len(calls) <= 64
+
+
+def test_best_keeps_scores_at_the_ends_of_64_bits():
+    best = Ct.Best(np.array([0, 1]), 2, np.full(2, Ct.LOWEST))
+    top = 2**63 - 1
+    best.offer(np.array([0, 1]), np.array([[top, 5, top - 1], [-top, top, -top]]), np.array([9, 8, 7]))
+    best.offer(np.array([1]), np.array([[-top, 3]]), np.array([6, 1]))
+    assert best.score.tolist() == [[top, top - 1], [top, -top]] and best.who.tolist() == [[9, 7], [8, 6]]
