@@ -25,6 +25,9 @@ from tallyward.session import settle
 
 BITS = 15
 SIZE = 1 << BITS
+#: States travel in strips of so many slots.
+STRIP = 1 << 12
+STATE = pa.schema([("part", pa.int32()), ("at", pa.int32()), ("z", pa.binary()), ("n", pa.binary())])
 UNKNOWN = "und"
 _SPACE = 32
 _letters = np.zeros(0, dtype=bool)
@@ -114,6 +117,17 @@ def _pass(rows: list[tuple], z: np.ndarray, n: np.ndarray, idf: np.ndarray, s: S
         n[slots] = more
 
 
+def _averaged(trained: DataFrame) -> DataFrame:
+    """(at, z, n): the mean over the parts of each strip of their states, added in the order of the parts."""
+
+    def mean(table_):
+        ordered = table_.sort_by("part")
+        means = [np.mean([np.frombuffer(x) for x in ordered[c].to_pylist()], axis=0).tobytes() for c in ("z", "n")]
+        return pa.table([ordered["at"].slice(0, 1), *[[m] for m in means]], schema=pa.schema(list(STATE)[1:]))
+
+    return trained.groupBy("at").applyInArrow(mean, "at int, z binary, n binary")
+
+
 def _document_counts(texts: DataFrame) -> tuple[np.ndarray, int]:
     """Documents per slot, and their number, over all given documents."""
 
@@ -210,6 +224,7 @@ def fit(docs: DataFrame, text_col: str, label_col: str, key: Column, settings: S
     held_out = F.pmod(F.shiftright("h", 40), F.lit(5)) == 0
     sample = sample.withColumn("part", F.when(held_out, F.lit(-1)).otherwise(F.pmod(F.shiftright("h", 8), F.lit(parts)).cast("int")))
     z, n = np.zeros((SIZE, len(names))), np.zeros((SIZE, len(names)))
+    weigh = spark.sparkContext.broadcast(idf)
     for _ in range(s.passes):
         shared = spark.sparkContext.broadcast((z, n))
 
@@ -223,24 +238,38 @@ def fit(docs: DataFrame, text_col: str, label_col: str, key: Column, settings: S
                 ],
                 z0,
                 n0,
-                idf,
+                weigh.value,
                 s,
             )
-            return pa.table({"z": [z0.tobytes()], "n": [n0.tobytes()]}, schema=pa.schema([("z", pa.binary()), ("n", pa.binary())]))
-
-        # ``parts`` states of fixed size come back.
-        got = sample.where(F.col("part") >= 0).groupBy("part").applyInArrow(train, "z binary, n binary").collect()
-        if got:
-            z = np.mean([np.frombuffer(r["z"]).reshape(z.shape) for r in got], axis=0)
-            n = np.mean([np.frombuffer(r["n"]).reshape(n.shape) for r in got], axis=0)
+            at = range(0, SIZE, STRIP)
+            part = ordered["part"][0].as_py()
+            strips = [[a[i : i + STRIP].tobytes() for i in at] for a in (z0, n0)]
+            return pa.table([[part] * len(at), list(at), *strips], schema=STATE)
+
+        trained = sample.where(F.col("part") >= 0).groupBy("part").applyInArrow(train, "part int, at int, z binary, n binary")
+        # The parts' states meet strip by strip; one state of fixed size comes back.
+        for row in _averaged(trained).toArrow().to_pylist():
+            for state, name in ((z, "z"), (n, "n")):
+                state[row["at"] : row["at"] + STRIP] = np.frombuffer(row[name]).reshape(-1, len(names))
+        shared.destroy()
     weights = _weights(z, n, s)
-    held = sample.where(F.col("part") < 0).select("label", "slots", "counts").toArrow()
-    logits = [
-        _vector(np.asarray(a.values), np.asarray(b.values), idf) @ weights[np.asarray(a.values)]
-        for a, b in zip(held["slots"], held["counts"], strict=True)
-    ]
+    learned = spark.sparkContext.broadcast(weights)
+
+    def logits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                _vector(np.asarray(a.values), np.asarray(b.values), weigh.value) @ learned.value[np.asarray(a.values)]
+                for a, b in zip(batch.column(1), batch.column(2), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["label", "logits"])
+
+    # A number per language of each held-out document comes back, not its features.
+    held = sample.where(F.col("part") < 0).select("label", "slots", "counts")
+    held = held.mapInArrow(logits, "label int, logits array<double>").toArrow()
+    weigh.destroy()
+    learned.destroy()
     labels = held["label"].to_pylist()
-    return LanguageModel(names, idf, weights, best_temperature(np.array(logits).reshape(-1, len(names)), labels))
+    return LanguageModel(names, idf, weights, best_temperature(np.array(held["logits"].to_pylist()).reshape(-1, len(names)), labels))
 
 
 def best_temperature(logits: np.ndarray, labels: list[int]) -> float:

@@ -25,6 +25,56 @@ def test_language_on_held_out_documents(spark, sf):
     assert 0 < (model.weights != 0).mean() < 0.5  # the L1 penalty leaves most weights at zero
 
 
+def labelled(spark, n=240):
+    rng = random.Random(3)
+    words = {"de": "der die und nicht haus", "en": "the and of house not", "fr": "le la et maison pas"}
+    rows = [(i, " ".join(rng.choice(words[k].split()) + rng.choice("abcd") for _ in range(30)), k) for i in range(n) for k in [sorted(words)[i % 3]]]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_fit_sends_one_state_to_the_driver(spark, monkeypatch):
+    sent = []
+    frame = type(spark.range(1))
+    to_arrow, collect = frame.toArrow, frame.collect
+
+    def arrow_seen(self):
+        out = to_arrow(self)
+        sent.append(out.nbytes)
+        return out
+
+    def rows_seen(self):
+        out = collect(self)
+        sent.append(sum(len(x) if isinstance(x, (bytes, bytearray)) else 8 for r in out for x in r))
+        return out
+
+    monkeypatch.setattr(frame, "toArrow", arrow_seen)
+    monkeypatch.setattr(frame, "collect", rows_seen)
+    model = La.fit(labelled(spark), "text", "lang", F.col("doc_id"), La.Settings(sample=240, parts=6, part_rows=20, passes=2))
+    state = 2 * 8 * La.SIZE * len(model.languages)
+    assert len(sent) >= 4 and max(sent) < 1.1 * state  # whatever the number of parts
+    assert sent[-1] < 240 * 8 * (len(model.languages) + 2)  # a number per language of each held-out document
+
+
+def test_fit_averages_the_parts_of_each_pass(spark):
+    docs, s = labelled(spark), La.Settings(sample=240, parts=4, part_rows=20, passes=2)
+    model = La.fit(docs, "text", "lang", F.col("doc_id"), s)
+    rows = docs.select("text", "lang", F.xxhash64(F.lit(31), F.col("doc_id")).alias("h")).collect()
+    names = ["de", "en", "fr"]
+    found = [(r["h"], names.index(r["lang"]), *La.ngram_counts(r["text"])) for r in rows if r["h"] / 2.0**64 + 0.5 < 1.0]
+    parts = [[x[1:] for x in sorted(found, key=lambda x: x[:2]) if (x[0] >> 40) % 5 and (x[0] >> 8) % 4 == p] for p in range(4)]
+    assert all(parts)
+    z, n = np.zeros((La.SIZE, 3)), np.zeros((La.SIZE, 3))
+    for _ in range(2):
+        states = [(z.copy(), n.copy()) for _ in parts]
+        for part, (a, b) in zip(parts, states, strict=True):
+            La._pass(part, a, b, model.idf, s)
+        z, n = (np.mean([x[i] for x in states], axis=0) for i in (0, 1))
+    assert np.allclose(model.weights, La._weights(z, n, s), rtol=0, atol=1e-12)
+    held = [x for x in found if (x[0] >> 40) % 5 == 0]
+    logits = np.array([La._vector(x[2], x[3], model.idf) @ model.weights[x[2]] for x in held])
+    assert model.temperature == La.best_temperature(logits, [x[1] for x in held])
+
+
 def test_language_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     for rows in (docs, docs.limit(0)):
