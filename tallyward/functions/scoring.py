@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,16 +77,19 @@ def risk_colour(level: Column) -> Column:
 
 
 def rule_term(feature: str, value: Column) -> Column:
-    """One additive term of the rule score."""
+    """One additive term of the rule score, of a column or of an array (NaN where there is no value)."""
     weight, full = RULE_TERMS[feature]
+    if isinstance(value, np.ndarray):
+        # like least(), which takes the bound where the value is missing or NaN
+        return (value if full is None else np.fmin(value / full, 1.0)) * weight
     scaled = value if full is None else F.least(value / F.lit(full), F.lit(1.0))
     return scaled * F.lit(weight)
 
 
 def rule_score(values: Mapping[str, Column] | None = None) -> Column:
-    """Weighted rule score before clamping; ``values`` overrides feature columns."""
-    cols = {f: F.col(f) for f in RULE_FEATURES}
-    cols.update(values or {})
+    """Weighted rule score before clamping; ``values`` overrides feature columns (or holds an array for each)."""
+    cols = {f: (values or {}).get(f, f) for f in RULE_FEATURES}
+    cols = {f: F.col(c) if isinstance(c, str) else c for f, c in cols.items()}
     first, *rest = [rule_term(f, cols[f]) for f in RULE_FEATURES]
     for term in rest:
         first = first + term
@@ -174,6 +178,9 @@ def logit(values: Mapping[str, Column], weights: Mapping[str, float], bias: floa
 
 
 def logistic(z: Column) -> Column:
+    if isinstance(z, np.ndarray):
+        with np.errstate(over="ignore"):
+            return 1.0 / (1.0 + np.exp(-z))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 

@@ -8,12 +8,14 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions import scoring as S
 from tallyward.functions.columns import literal_rows
-from tallyward.functions.hashing import hash_unit
+from tallyward.functions.hashing import carried_int, carried_texts, hash_unit
 from tallyward.operators.ordering import exact_quantiles, ordinals
 from tallyward.operators.profile import pair_corr, sample_rows
 from tallyward.operators.reports import top_per_row
@@ -255,7 +257,7 @@ def linearity(pd: DataFrame, threshold: float = 0.95) -> DataFrame:
 
 def local_surrogate(
     df: DataFrame, features: Sequence[str], score: ScoreFn, draws: int = 5000, top_n: int | None = 5,
-    row: str = "transaction_id", seed: int = 42, preset: str = "surrogate", ridge: float = 1.0,
+    row: str = "transaction_id", seed: int = 42, preset: str = "surrogate", ridge: float = 1.0, arrays: bool = False,
 ) -> DataFrame:
     """(row, feature, contribution): weights of a linear model fitted around each row.
 
@@ -265,6 +267,10 @@ def local_surrogate(
     features, proximity width ``0.75 * sqrt(d)``.  ``half_std``: noise of half a
     standard deviation, width = std of the distances; the draws are made twice, once
     for the widths (one number a row) and once with them, and never stored.
+
+    With ``arrays`` the score also takes numpy arrays (NaN where there is no value); it is
+    null where the row's own score is.  The same draws are then made, scored and summed
+    a row at a time over arrays, and only once.
     """
     d = len(features)
     fields = [F.struct(F.avg(f).alias("m"), F.coalesce(F.nullif(F.stddev_pop(f), F.lit(0.0)), F.lit(1.0)).alias("s")).alias(f) for f in features]
@@ -285,6 +291,20 @@ def local_surrogate(
         unfolded = rows.withColumn("__d", F.explode(F.sequence(F.lit(1), F.lit(draws))))
         return unfolded.withColumns({f"__e_{f}": e for f, e in noise.items()}).withColumn("__q", square)
 
+    if arrays:
+        kept = df.where(F.col(row).isNotNull()) if preset == "half_std" else df
+        record = _spread(
+            kept.select(
+                row, F.xxhash64(row).alias("__h"), score(current(features)).isNull().alias("__none"),
+                *[F.col(f).cast("double").alias(f"__x_{f}") for f in features],
+            ), row,
+        ).sortWithinPartitions(row)
+        record = record.withColumn("__t", stats).select(*record.columns, *[F.col(f"__t.{f}.s").alias(f"__s_{f}") for f in features])
+        coefs = record.mapInArrow(
+            _surrogates(list(features), score, draws, seed, scale, preset == "half_std", ridge),
+            f"{row} {df.schema[row].dataType.simpleString()}, coefs array<double>",
+        )
+        return stack(coefs, row, _coefs(features)) if top_n is None else _top_coefs(coefs, row, features, top_n)
     base = _spread(df.select(row, *features), row)
     if preset == "half_std":
         width = draw(base).groupBy(row).agg(F.stddev_pop(F.sqrt("__q")).alias("__w"))
@@ -304,14 +324,30 @@ def local_surrogate(
     coefs = packed.mapInPandas(
         _solver(row, d, ridge), f"{row} {df.schema[row].dataType.simpleString()}, coefs array<double>"
     )
-    long = stack(coefs, row, {f: F.get("coefs", F.lit(i)) for i, f in enumerate(features)})
+    long = stack(coefs, row, _coefs(features))
     return long if top_n is None else top_per_row(long, top_n, row).drop("rank")
 
 
+def _coefs(features: Sequence[str]) -> dict[str, Column]:
+    return {f: F.get("coefs", F.lit(i)) for i, f in enumerate(features)}
+
+
+def _top_coefs(coefs: DataFrame, row: str, features: Sequence[str], n: int) -> DataFrame:
+    """:func:`top_per_row` where all contributions of a row are one record: same order, no shuffle."""
+    items = [
+        F.struct(
+            F.when(c.isNull(), 2).when(F.isnan(c), 0).otherwise(1).alias("k"), (-F.abs(c)).alias("s"),
+            F.lit(f).alias("feature"), c.alias("contribution"),
+        )
+        for f, c in _coefs(features).items()
+    ]
+    top = F.slice(F.array_sort(F.array(*items)), 1, n)
+    return coefs.select(row, F.inline(F.transform(top, lambda x: F.struct(x["feature"], x["contribution"]))))
+
+
 def _solver(row: str, d: int, ridge: float):
     def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         upper = np.triu_indices(d + 1)
-        penalty = np.diag([0.0] + [ridge] * d)  # the intercept is not penalised
         for pdf in frames:
             if not len(pdf):
                 continue
@@ -320,12 +356,144 @@ def _solver(row: str, d: int, ridge: float):
             a = np.zeros((len(s), d + 1, d + 1))
             a[:, upper[0], upper[1]] = s[:, :k]
             a[:, upper[1], upper[0]] = s[:, :k]
-            beta = np.linalg.solve(a + penalty, s[:, k:, None])[:, 1:, 0]
-            yield pd.DataFrame({row: pdf[row], "coefs": list(beta)})
+            yield pd.DataFrame({row: pdf[row], "coefs": list(_solved(a, s[:, k:], ridge))})
 
     return solve
 
 
+def _solved(a: np.ndarray, b: np.ndarray, ridge: float) -> np.ndarray:
+    """Weights without the intercept, which is not penalised."""
+    penalty = np.diag([0.0] + [ridge] * (a.shape[1] - 1))
+    return np.linalg.solve(a + penalty, b[:, :, None])[:, 1:, 0]
+
+
+# Draws that are worked on at once: the arrays of a block stay in a core's cache.
+_BLOCK_DRAWS = 16_384
+# Cosine and sine in the middle of 2048 equal parts of the circle.
+_TURNS = (np.arange(2048) + 0.5) * (2.0 * math.pi / 2048)
+_COS, _SIN = np.cos(_TURNS), np.sin(_TURNS)
+
+
+def _low31(h: np.ndarray) -> np.ndarray:
+    """The low 31 bits of each hash."""
+    return h.astype("<u8", copy=False).view("<u4")[..., ::2] & np.uint32((1 << 31) - 1)
+
+
+def _cosine(a: np.ndarray) -> np.ndarray:
+    """``cos(2 pi (a + 0.5) / 2^31)``, to the last bits: the table's angle plus one of at most 0.0016."""
+    part = (a >> np.uint32(20)).astype(np.intp)
+    t = (a & np.uint32((1 << 20) - 1)) - (2.0**19 - 0.5)
+    t *= 2.0 * math.pi / 2.0**31
+    t2 = t * t
+    c = t2 / 24.0
+    c -= 0.5
+    c *= t2
+    c += 1.0
+    c *= _COS.take(part)
+    t2 *= -1.0 / 6.0
+    t2 += 1.0
+    t *= t2
+    t *= _SIN.take(part)
+    c -= t
+    return c
+
+
+def _surrogates(features: list[str], score, draws: int, seed: int, scale: float, half: bool, ridge: float):
+    """Weights per row from (row, hash of the row, whether its score is null, features, deviations), sorted by row.
+
+    Records of one row are neighbours; their sums are added up, across batches too.
+    """
+    d = len(features)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(0)
+            h = batch.column(1).to_numpy().view(np.uint64)
+            none = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            x, s = (
+                np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in range(at, at + d)])
+                for at in (3, 3 + d)
+            )
+            sums = _draw_sums(h, x, s, features, score, draws, seed, scale, half)
+            sums[none, :, -1] = 0.0
+            begins = _begins(keys)
+            sums, some = np.add.reduceat(sums, begins), np.logical_or.reduceat(~none, begins)
+            keys = keys.take(pa.array(begins))
+            if held is not None:
+                old, of_old, some_old = held
+                if len(_begins(pa.concat_arrays([old, keys.slice(0, 1)]))) == 1:
+                    sums[0] += of_old[0]
+                    some[0] |= some_old[0]
+                else:
+                    keys = pa.concat_arrays([old, keys])
+                    sums, some = np.concatenate([of_old, sums]), np.concatenate([some_old, some])
+            yield solved(keys.slice(0, len(keys) - 1), sums[:-1], some[:-1])
+            held = keys.slice(len(keys) - 1), sums[-1:], some[-1:]
+        if held is not None:
+            yield solved(*held)
+
+    def solved(keys: pa.Array, sums: np.ndarray, some: np.ndarray) -> pa.RecordBatch:
+        b = np.where(some[:, None], sums[:, :, -1], np.nan)
+        beta = _solved(sums[:, :, :-1], b, ridge)
+        values = pa.array(beta.ravel(), from_pandas=True)  # NaN becomes null, as in Arrow batches made of frames
+        coefs = pa.ListArray.from_arrays(pa.array(np.arange(0, beta.size + 1, d, dtype=np.int32)), values)
+        return pa.RecordBatch.from_arrays([keys, coefs], names=["row", "coefs"])
+
+    return run
+
+
+def _begins(keys: pa.Array) -> np.ndarray:
+    """Positions at which another key begins; nulls are one key."""
+    if len(keys) < 2:
+        return np.arange(len(keys))
+    a, b = keys.slice(0, len(keys) - 1), keys.slice(1)
+    equal = pc.or_kleene(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+    return np.append(0, 1 + np.flatnonzero(~equal.to_numpy(zero_copy_only=False).astype(bool)))
+
+
+def _draw_sums(
+    h: np.ndarray, x: np.ndarray, s: np.ndarray, features: list[str], score, draws: int, seed: int, scale: float, half: bool
+) -> np.ndarray:
+    """Sums of the normal equations per record: [1, e] x [1, e, y] over its weighted draws."""
+    d = len(features)
+    out = np.empty((len(h), d + 1, d + 2))
+    step = max(1, _BLOCK_DRAWS // draws)
+    number = np.arange(1, draws + 1)
+    for at in range(0, len(h), step):
+        of = slice(at, at + step)
+        root = carried_int(number, h[of, None])
+        spare = np.empty_like(root)
+        e = np.empty((d + 2, *root.shape))  # 1, the noise of each feature, the score
+        e[0] = 1.0
+        square = None
+        for i in range(d):
+            r, a = (_low31(u) for u in carried_texts([f"{seed}:{i}:r", f"{seed}:{i}:a"], root, spare))
+            noise = np.add(r, 0.5, out=e[i + 1])
+            noise *= 2.0**-31
+            np.log(noise, out=noise)
+            noise *= -2.0
+            np.sqrt(noise, out=noise)
+            noise *= _cosine(a)
+            if scale != 1.0:
+                noise *= scale
+            square = noise * noise if square is None else np.add(square, noise * noise, out=square)
+        if half:
+            wide = np.maximum(np.sqrt(square).std(axis=1, keepdims=True) ** 2, 1e-12)
+        else:
+            wide = (0.75 * math.sqrt(d)) ** 2
+        square /= -wide
+        w = np.sqrt(np.exp(square, out=square), out=square)
+        e[-1] = score({f: x[of, i, None] + e[i + 1] * s[of, i, None] for i, f in enumerate(features)})
+        weighed, e = (part.transpose(1, 0, 2) for part in (e[:-1] * w, e))
+        # products this small stay in the task's own thread
+        k = max(1, 4 * 65_536 // ((d + 1) * (d + 2)))
+        out[of] = sum(weighed[:, :, j : j + k] @ e[:, :, j : j + k].transpose(0, 2, 1) for j in range(0, draws, k))
+    return out
+
+
 def surrogate_importance(local: DataFrame, row: str = "transaction_id") -> DataFrame:
     """(feature, importance): summed absolute weights over the number of explained rows."""
     n = local.agg(F.count_distinct(row)).scalar()

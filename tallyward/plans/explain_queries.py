@@ -88,7 +88,7 @@ def j3(spark, sf):
 
 @query("J4_local_surrogate")
 def j4(spark, sf):
-    return Ex.local_surrogate(V.scored(spark, sf), FEATS, steep, draws=5000, top_n=5)
+    return Ex.local_surrogate(V.scored(spark, sf), FEATS, steep, draws=5000, top_n=5, arrays=True)
 
 
 @query("J5_local_surrogate_half_std")
