@@ -495,7 +495,11 @@ def _draw_sums(
 
 
 def surrogate_importance(local: DataFrame, row: str = "transaction_id") -> DataFrame:
-    """(feature, importance): summed absolute weights over the number of explained rows."""
+    """(feature, importance): summed absolute weights over the number of explained rows.
+
+    The weights are written once: both the number of rows and the sums read them.
+    """
+    local = settle(local.select(row, "feature", "contribution"))
     n = local.agg(F.count_distinct(row)).scalar()
     return local.groupBy("feature").agg((F.sum(F.abs("contribution")) / n).alias("importance"))
 

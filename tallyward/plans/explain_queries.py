@@ -98,7 +98,7 @@ def j5(spark, sf):
 
 @query("J6_surrogate_importance")
 def j6(spark, sf):
-    return Ex.surrogate_importance(Ex.local_surrogate(V.scored(spark, sf), FEATS, steep, draws=1000, top_n=None))
+    return Ex.surrogate_importance(Ex.local_surrogate(V.scored(spark, sf), FEATS, steep, draws=1000, top_n=None, arrays=True))
 
 
 _GRIDS = dict(

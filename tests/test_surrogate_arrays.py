@@ -75,3 +75,25 @@ def test_cosine_of_a_share():
     a = np.random.default_rng(4).integers(0, 1 << 31, 100_000).astype(np.uint32)
     a[:4] = 0, (1 << 31) - 1, (1 << 20) - 1, 1 << 20
     assert np.abs(Ex._cosine(a) - np.cos((a + 0.5) * 2.0**-31 * 2 * np.pi)).max() < 2e-15
+
+
+def test_importance_fits_the_surrogates_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+
+    local = Ex.linear_contributions(rows(spark), {"amount": 2.0, "velocity_1h": -1.0})
+    want = table_of(local)
+    once = local.mapInArrow(counted, local.schema)
+    got = {r[0]: r[1] for r in Ex.surrogate_importance(once).collect()}
+    assert calls.value == 2 * rows(spark).count()
+    assert got.keys() == want.keys()
+    assert all(got[f] == pytest.approx(want[f], nan_ok=True) for f in want)
+
+
+def table_of(local):
+    n = local.select("transaction_id").where("transaction_id is not null").distinct().count()
+    return {r[0]: r[1] / n for r in local.groupBy("feature").agg(F.sum(F.abs("contribution"))).collect()}
