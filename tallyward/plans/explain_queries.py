@@ -93,7 +93,7 @@ def j4(spark, sf):
 
 @query("J5_local_surrogate_half_std")
 def j5(spark, sf):
-    return Ex.local_surrogate(V.scored(spark, sf), FEATS, steep, draws=1000, top_n=5, preset="half_std")
+    return Ex.local_surrogate(V.scored(spark, sf), FEATS, steep, draws=1000, top_n=5, preset="half_std", arrays=True)
 
 
 @query("J6_surrogate_importance")
