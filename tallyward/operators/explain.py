@@ -608,14 +608,27 @@ def model_shapley(
     one switched on next, and these signed scores are summed before the shuffle.
     The ends of a draw are not scored again: background rows are scored once for
     all rows, and a row itself once for all its draws.
+
+    A scorer that can list all its scores (``scorer.table(spark, points)``, as of a
+    forest) is asked for them if fewer than the points to score; the same steps are
+    then looked up and summed a row at a time.
     """
     d = len(features)
     names = F.array(*[F.lit(f) for f in features])
     vector = lambda cols: F.array(*[c.cast("double") for c in cols])
     pool = sample_rows(background, pool_size, row, seed).select(vector([F.col(f) for f in features]).alias("features"))
-    packed = scorer(pool).agg(F.array_sort(F.collect_list(F.struct("features", "score")))).scalar()
+    packed = scorer(pool).agg(F.array_sort(F.collect_list(F.struct("features", "score"))).alias("p"))
     rng = random.Random(seed)
     steps = _steps([rng.sample(range(d), d) for _ in range(draws)], d)
+    table = scorer.table(df.sparkSession, df.count() * len(steps)) if hasattr(scorer, "table") else None
+    if table is not None and (others := packed.first()["p"]):
+        record = _spread(df.select(row, F.xxhash64(row).alias("__h"), *[F.col(f).cast("double").alias(f"__x_{f}") for f in features]), row)
+        sums = record.sortWithinPartitions(row).mapInArrow(
+            _looked_up(table, np.array([x["features"] for x in others], dtype=float), np.array([x["score"] for x in others]), steps, draws, seed),
+            f"{row} {df.schema[row].dataType.simpleString()}, sums array<double>",
+        )
+        return stack(sums, row, {f: F.get("sums", F.lit(i)) for i, f in enumerate(features)})
+    packed = packed.scalar()
     pick = F.pmod(F.xxhash64(F.col(row), F.col("draw"), F.lit(seed)), F.size(packed)).cast("int")
     mixed = [F.when(F.get("own", F.lit(i)), F.get("__x", F.lit(i))).otherwise(F.get("__b.features", F.lit(i))) for i in range(d)]
     unfolded = (
@@ -631,6 +644,48 @@ def model_shapley(
     )
 
 
+def _looked_up(table, others: np.ndarray, base: np.ndarray, steps: list[dict], draws: int, seed: int):
+    """Contributions per row from (row, hash of the row, features), sorted by row, by a table of all scores."""
+    theirs = table.parts(others)
+    d = others.shape[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if any(c.null_count for c in batch.columns[2:]):
+                raise ValueError("a feature is null")  # the trees take none either
+            h = batch.column(1).to_numpy().view(np.uint64)
+            own = table.parts(np.column_stack([batch.column(2 + c).to_numpy(zero_copy_only=False).astype(float) for c in range(d)]))
+            picks = [carried_int(seed, carried_int(n, h)).view(np.int64) % len(others) for n in range(draws)]
+            sums = np.zeros((len(h), d))
+            for step in steps:
+                pick = picks[step["draw"]]
+                at = sum(own[:, i] if mine else theirs[pick, i] for i, mine in enumerate(step["own"]))
+                score = table.scores[at]
+                for effect in step["effects"]:
+                    sums[:, effect["i"]] += effect["w"] * score - (base[pick] if step["first"] and effect["w"] > 0 else 0.0)
+            begins = _begins(batch.column(0))
+            keys, sums = batch.column(0).take(pa.array(begins)), np.add.reduceat(sums, begins)
+            if held is not None:
+                old, before = held
+                if len(_begins(pa.concat_arrays([old, keys.slice(0, 1)]))) == 1:
+                    sums[0] += before[0]
+                else:
+                    keys, sums = pa.concat_arrays([old, keys]), np.concatenate([before, sums])
+            yield shared(keys.slice(0, len(keys) - 1), sums[:-1])
+            held = keys.slice(len(keys) - 1), sums[-1:]
+        if held is not None:
+            yield shared(*held)
+
+    def shared(keys: pa.Array, sums: np.ndarray) -> pa.RecordBatch:
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, sums.size + 1, d, dtype=np.int32)), pa.array(sums.ravel() / draws))
+        return pa.RecordBatch.from_arrays([keys, lists], names=["row", "sums"])
+
+    return run
+
+
 def _steps(orders: list[list[int]], d: int) -> list[dict]:
     """Points to score for a row: which features are its own there, and how the score counts for each feature.
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.classification import (
@@ -66,7 +69,55 @@ def fit_forest(
         featuresCol="__x", labelCol="__y", weightCol="__w", numTrees=trees, maxDepth=depth, seed=seed,
         cacheNodeIds=True, checkpointInterval=-1,
     ).fit(_prepared(rows, features, label))
-    return model, _scorer(model, features, out)
+    scorer = _scorer(model, features, out)
+    scorer.table = lambda spark, points: _score_table(model, scorer, spark, features, out, points)
+    return model, scorer
+
+
+@dataclass(frozen=True)
+class ScoreTable:
+    """All scores of a forest: it sees of a feature only which thresholds it passes, at most 31 (``maxBins`` - 1).
+
+    A point's score is the one at the sum of its features' ``parts``.
+    """
+
+    thresholds: list[np.ndarray]
+    steps: list[int]
+    scores: np.ndarray
+
+    def parts(self, x: np.ndarray) -> np.ndarray:
+        """One number per row and feature; a row goes left at a threshold it does not exceed, NaN goes right."""
+        return np.column_stack([np.searchsorted(t, x[:, i], side="left") * n for i, (t, n) in enumerate(zip(self.thresholds, self.steps))])
+
+
+# Cells of a score table at most: four features of 32 bins.
+TABLE_CELLS = 1 << 20
+
+
+def _score_table(model, scorer: Scorer, spark, features: str, out: str, points: int) -> ScoreTable | None:
+    """The forest's scores in every cell, if there are no more cells than ``points`` to score (and ``TABLE_CELLS``)."""
+    text = model.toDebugString
+    if re.search(r"\(feature \d+ (?!<=|>)", text):  # a categorical split
+        return None
+    used: list[set[float]] = [set() for _ in range(model.numFeatures)]
+    for i, t in re.findall(r"If \(feature (\d+) <= (\S+)\)", text):
+        used[int(i)].add(float(t))
+    thresholds = [np.array(sorted(u)) for u in used]
+    sizes = [len(t) + 1 for t in thresholds]
+    cells = math.prod(sizes)
+    if cells > min(TABLE_CELLS, points):
+        return None
+    steps = [math.prod(sizes[:i]) for i in range(len(sizes))]
+    # the largest value of each cell stands for all of it
+    value = [
+        F.get(F.array(*[F.lit(float(v)) for v in [*t, math.inf]]), F.pmod(F.floor(F.col("id") / F.lit(n)), F.lit(len(t) + 1)).cast("int"))
+        for t, n in zip(thresholds, steps)
+    ]
+    every = spark.range(0, cells, 1, 4 * spark.sparkContext.defaultParallelism).withColumn(features, F.array(*value))
+    found = scorer(every).select("id", out).toArrow()
+    scores = np.empty(cells)
+    scores[found.column("id").to_numpy()] = found.column(out).to_numpy()
+    return ScoreTable(thresholds, steps, scores)
 
 
 def fit_boosting(
