@@ -101,32 +101,99 @@ def _groups_of(size: dict[int, int], rows: int) -> dict[int, range]:
     return out
 
 
+class _Screen:
+    """Reference rows in single precision around their mean: a product tells which are too far, with an error bound."""
+
+    def __init__(self, f: np.ndarray):
+        with np.errstate(all="ignore"):
+            centre = f.mean(axis=0)
+            self.centre = np.where(np.isfinite(centre), centre, 0.0)
+            g = f - self.centre
+            gg = (g * g).sum(axis=1)
+            # q.f - |f|^2 / 2 grows as the distance shrinks
+            self.f = np.column_stack([g, -0.5 * gg]).astype(np.float32)
+        finite = gg[np.isfinite(gg)]
+        self.top = finite.max() if len(finite) else 0.0
+        self.buffer = np.empty(0, np.float32)
+
+    def queries(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query rows, their squared lengths and the error of a squared distance, all around the mean."""
+        with np.errstate(all="ignore"):
+            g = q - self.centre
+            gg = (g * g).sum(axis=1)
+            error = 2.0**-24 * (2 * q.shape[1] + 16) * (gg + self.top) + 2.0**-100
+            return np.column_stack([g, np.ones(len(g))]).astype(np.float32), gg, error
+
+    def near(self, q: np.ndarray, block: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Flat positions (row of q, row of the block) whose product is not below ``least``."""
+        size = len(q) * block.shape[1]
+        if len(self.buffer) < size:
+            self.buffer = np.empty(size, np.float32)
+        with np.errstate(all="ignore"):
+            product = np.matmul(q, block, out=self.buffer[:size].reshape(len(q), -1))
+            return np.flatnonzero(~(product < least[:, None]))
+
+
+# Queries of one product of the screen, so that it stays in a core's cache.
+_SLAB = 256
+
+
 class _Best:
     """The k nearest reference rows found so far for each row of a chunk of queries."""
 
-    def __init__(self, q: np.ndarray, f: np.ndarray, ids: np.ndarray, k: int, once: bool):
-        self.q, self.f, self.ids, self.k, self.once = q, f, ids, k, once
+    def __init__(self, q: np.ndarray, f: np.ndarray, ids: np.ndarray, k: int, once: bool, screen: _Screen):
+        self.q, self.f, self.ids, self.k, self.once, self.screen = q, f, ids, k, once, screen
         self.qq, self.ff = (q * q).sum(axis=1), (f * f).sum(axis=1)
         # rounding error of |q|^2 + |f|^2 - 2 q.f, with room
         finite = self.ff[np.isfinite(self.ff)]
         self.slack = 1e-15 * (q.shape[1] + 8) * (self.qq + (finite.max() if len(finite) else 0.0))
+        self.short, self.length, self.error = screen.queries(q)
         self.bound = np.full(len(q), np.inf)
         self.at, self.row, self.d = np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
         self.todo: list[tuple[np.ndarray, np.ndarray]] = []
         self.waiting = 0
 
-    def add(self, here: np.ndarray, rows: np.ndarray) -> None:
-        """Compare the queries ``here`` with the reference rows ``rows`` (both as positions)."""
+    def add(self, here: np.ndarray, rows: np.ndarray, counts: Callable | None = None) -> None:
+        """Compare the queries ``here`` with the reference rows ``rows`` (both as positions).
+
+        ``counts`` tells which pairs are to be compared; without it all are.
+        """
+        known = np.isfinite(self.bound[here])
+        if not known.all():
+            self._plain(here[~known], rows, counts)
+        here = here[known]
+        if not len(here):
+            return
+        with np.errstate(all="ignore"):
+            reach = self.bound[here] + 2.0 * self.slack[here] + self.error[here]
+            least = (0.5 * (self.length[here] - reach)).astype(np.float32)
+        block = self.screen.f[rows].T
+        for a in range(0, len(here), _SLAB):
+            some = here[a : a + _SLAB]
+            hit = self.screen.near(self.short[some], block, least[a : a + _SLAB])
+            if len(hit) > len(some) * len(rows) // 16:  # single precision tells too little here
+                self._plain(some, rows, counts)
+            elif len(hit):
+                self._take(some[hit // len(rows)], rows[hit % len(rows)], counts)
+
+    def _plain(self, here: np.ndarray, rows: np.ndarray, counts: Callable | None) -> None:
         d2 = self.qq[here, None] + self.ff[rows] - 2.0 * (self.q[here] @ self.f[rows].T)
         bound, slack = self.bound[here], 2.0 * self.slack[here]
-        if len(rows) > self.k and np.isinf(bound).any():
+        if counts is None and len(rows) > self.k and np.isinf(bound).any():
             bound = np.minimum(bound, np.partition(d2, self.k - 1, axis=1)[:, self.k - 1])
             if not self.once:
                 self.bound[here] = bound + slack
         i, j = np.nonzero(~(d2 > (bound + slack)[:, None]))
         if len(i):
-            self.todo.append((here[i], rows[j]))
-            self.waiting += len(i)
+            self._take(here[i], rows[j], counts)
+
+    def _take(self, at: np.ndarray, row: np.ndarray, counts: Callable | None) -> None:
+        if counts is not None:
+            keep = counts(at, row)
+            at, row = at[keep], row[keep]
+        if len(at):
+            self.todo.append((at, row))
+            self.waiting += len(at)
             if self.waiting > self.k * len(self.q):
                 self.settle()
 
@@ -168,7 +235,8 @@ def _compare(k: int, dims: int, once: bool, pairs: Callable[[pa.Table, pa.Table,
     """One part of the queries against one group of reference rows: the k nearest of each query.
 
     ``pairs`` prepares both sides and gives, for a chunk of queries, (query positions
-    in the chunk, reference positions) to compare.
+    in the chunk, reference positions) to compare, and where not all of these pairs
+    count, a function that tells which do.
     """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -176,11 +244,11 @@ def _compare(k: int, dims: int, once: bool, pairs: Callable[[pa.Table, pa.Table,
         rows, near, dist = [], [], []
         if len(qi) and len(ri):
             q, f = _matrix(left, dims), _matrix(right, dims)
-            chunk_pairs = pairs(left, right, q, f)
+            chunk_pairs, screen = pairs(left, right, q, f), _Screen(f)
             for start in range(0, len(q), _CHUNK):
-                best = _Best(q[start : start + _CHUNK], f, ri, k, once)
-                for here, there in chunk_pairs(start, min(start + _CHUNK, len(q))):
-                    best.add(here, there)
+                best = _Best(q[start : start + _CHUNK], f, ri, k, once, screen)
+                for here, there, *counts in chunk_pairs(start, min(start + _CHUNK, len(q))):
+                    best.add(here, there, *counts)
                 best.settle()
                 rows.append(qi[start + best.at])
                 near.append(ri[best.row])
@@ -336,7 +404,13 @@ def _scale(asked: DataFrame, ref: DataFrame, k: int, sample: int, seed: int) ->
         best = np.full((m, k), np.inf)
         for b in batches:
             if len(b):
-                d = _distances(probe, _vectors(b["f"]))
+                f = _vectors(b["f"])
+                found = _Best(probe, f, np.arange(len(f)), k, False, _Screen(f))
+                for rows in _blocks(np.arange(len(f)), BLOCK_ROWS):
+                    found.add(np.arange(m), rows)
+                found.settle()
+                d = np.full((m, k), np.inf)
+                d[found.at, np.arange(len(found.at)) - np.searchsorted(found.at, found.at)] = found.d
                 best = np.sort(np.concatenate([best, d], axis=1), axis=1)[:, :k]
         yield pd.DataFrame({"s": np.repeat(np.arange(m), k), "d": best.ravel()})
 
@@ -354,40 +428,79 @@ def _codes(x: np.ndarray, a: np.ndarray, b: np.ndarray, w: float) -> tuple[np.nd
     return h.astype(np.int64), v - h
 
 
+def _bucket_ids(theirs: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the buckets that hold the reference rows, and of those asked for (-1 where there is none)."""
+    low, high = theirs.min(axis=0), theirs.max(axis=0)
+    span = [int(h) - int(l) + 1 for l, h in zip(low, high)]
+    if math.prod(span) < 1 << 62:
+        step = np.array([math.prod(span[:i]) for i in range(len(span))])
+        keys, at = np.unique((theirs - low) @ step, return_inverse=True)
+        inside = ((asked >= low) & (asked <= high)).all(axis=-1)
+        wanted = (np.clip(asked, low, high) - low) @ step
+        found = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return at.ravel(), np.where(inside & (keys[found] == wanted), found, -1)
+    keys, at = np.unique(theirs, axis=0, return_inverse=True)
+    number = {key.tobytes(): i for i, key in enumerate(keys)}
+    flat = [number.get(key.tobytes(), -1) for key in asked.reshape(-1, asked.shape[-1])]
+    return at.ravel(), np.array(flat, dtype=np.int64).reshape(asked.shape[:-1])
+
+
+def _probed(homes: np.ndarray, place: np.ndarray, probes: int) -> np.ndarray:
+    """Home bucket and the probed ones of each row, one step over the boundaries it lies closest to: (row, 1 + probes, bits)."""
+    closest = np.argsort(np.minimum(place, 1 - place), axis=1, kind="stable")
+    step, rows = np.where(place < 0.5, -1, 1), np.arange(len(homes))
+    out = [homes]
+    for j in range(min(probes, homes.shape[1])):
+        moved = homes.copy()
+        moved[rows, closest[:, j]] += step[rows, closest[:, j]]
+        out.append(moved)
+    return np.stack(out, axis=1)
+
+
+# Reference rows from which a chunk may be compared with all of them, and the share of all pairs in common buckets
+# (counted once a table) that makes it so.
+SCAN_ROWS = 4096
+SCAN_SHARE = 0.25
+
+
 def _bucket_pairs(a: np.ndarray, b: np.ndarray, w: float, p: Hashing, block_rows: int):
-    """Pairs of the approximate path: a query meets the blocks of its home bucket and of the probed ones."""
+    """Pairs of the approximate path: a query meets the blocks of its home bucket and of the probed ones.
+
+    Where buckets are so wide that most pairs share one, and some several, it is cheaper
+    to screen all pairs by distance, once, and then look which share a bucket.
+    """
+    scan_rows, scan_share = SCAN_ROWS, SCAN_SHARE
 
     def pairs(left: pa.Table, right: pa.Table, q: np.ndarray, f: np.ndarray):
         theirs, _ = _codes(f, a, b, w)
-        tables = []
-        for t in range(p.tables):
-            keys, at = np.unique(theirs[:, t * p.bits : (t + 1) * p.bits], axis=0, return_inverse=True)
-            order = np.argsort(at.ravel(), kind="stable")
-            ends = np.cumsum(np.bincount(at.ravel(), minlength=len(keys)))
-            tables.append(
-                {key.tobytes(): _blocks(rows, block_rows) for key, rows in zip(keys, np.split(order, ends[:-1]))}
-            )
         homes, place = _codes(q, a, b, w)
+        lies, asks, tables = [], [], []
+        for t in range(p.tables):
+            cols = slice(t * p.bits, (t + 1) * p.bits)
+            at, wanted = _bucket_ids(theirs[:, cols], _probed(homes[:, cols], place[:, cols], p.probes))
+            order, size = np.argsort(at, kind="stable"), np.bincount(at)
+            tables.append((np.split(order, np.cumsum(size)[:-1]), np.append(size, 0)))  # -1 has none
+            lies.append(at.astype(np.int32))
+            asks.append(wanted.astype(np.int32))
+        lies, asks = np.stack(lies, axis=1), np.stack(asks, axis=1)
+        everything = _blocks(np.arange(len(f)), block_rows)
 
         def of(start: int, stop: int):
-            for t, buckets in enumerate(tables):
-                cols = slice(t * p.bits, (t + 1) * p.bits)
-                home, frac = homes[start:stop, cols], place[start:stop, cols]
-                probed = [home]
-                closest = np.argsort(np.minimum(frac, 1 - frac), axis=1, kind="stable")
-                step, rows = np.where(frac < 0.5, -1, 1), np.arange(len(home))
-                for j in range(min(p.probes, p.bits)):
-                    moved = home.copy()
-                    moved[rows, closest[:, j]] += step[rows, closest[:, j]]
-                    probed.append(moved)
-                keys, at = np.unique(np.concatenate(probed), axis=0, return_inverse=True)
-                at = at.ravel()
-                for i, key in enumerate(keys):
-                    parts = buckets.get(key.tobytes())
-                    if parts:
-                        here = np.flatnonzero(at == i) % len(home)
-                        for part in parts:
-                            yield here, part
+            mine = asks[start:stop]
+            met = sum(int(size[mine[:, t]].sum()) for t, (_, size) in enumerate(tables))
+            scan = len(f) >= scan_rows and met > scan_share * len(mine) * len(f)
+            for t, (buckets, _) in enumerate(tables[:1] if scan else tables):
+                wanted = mine[:, t]
+                for i in np.unique(wanted[wanted >= 0]):
+                    here = np.flatnonzero((wanted == i).any(axis=1))
+                    for part in _blocks(buckets[i], block_rows)[: 1 if scan else None]:
+                        yield here, part  # when all pairs follow, only for a first bound
+            if scan:
+                def share(at: np.ndarray, row: np.ndarray) -> np.ndarray:
+                    return (mine[at] == lies[row][:, :, None]).any(axis=(1, 2))
+
+                for part in everything:
+                    yield np.arange(len(mine)), part, share
 
         return of
 
