@@ -5,6 +5,8 @@ import pyarrow as pa
 import pytest
 
 from tallyward.operators import neighbours as N
+from tallyward.plans import split_queries  # noqa: F401
+from tallyward.plans.registry import QUERIES
 
 
 def side(x, **more):
@@ -95,3 +97,13 @@ def test_bucket_width_is_measured_exactly(spark):
     picked = N.sample_rows(df.selectExpr("row_id as r", "features as f"), 50, "r", 3).collect()
     d = np.sort(np.sqrt(((np.array([r.f for r in picked])[:, None] - x[None]) ** 2).sum(axis=2)), axis=1)[:, 3]
     assert got == sorted(d)[25]
+
+
+def test_recall_searches_once(spark, sf):
+    df = QUERIES["C7_hashed_recall"](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroups" not in plan
+    rows = df.collect()
+    each = [r.recall for r in rows if r.row_id is not None]
+    total = [r.recall for r in rows if r.row_id is None]
+    assert len(total) == 1 and total[0] == pytest.approx(np.mean(each))
