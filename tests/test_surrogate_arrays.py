@@ -45,8 +45,7 @@ def test_hashes_are_those_of_spark(spark):
 
 
 @pytest.mark.parametrize("preset, key, top_n", [("surrogate", "long", None), ("half_std", "string", None), ("surrogate", "string", 2)])
-def test_arrays_give_what_columns_give(spark, monkeypatch, preset, key, top_n):
-    monkeypatch.setattr(Ex, "_BLOCK_DRAWS", 100)
+def test_arrays_give_what_columns_give(spark, preset, key, top_n):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # a key's records come in several batches
     # a table without nulls and NaN has finite deviations, one with them has not
@@ -64,6 +63,20 @@ def test_arrays_give_what_columns_give(spark, monkeypatch, preset, key, top_n):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
+@pytest.mark.parametrize("half", [False, True])
+def test_blocks_do_not_change_the_sums(monkeypatch, half):
+    rng = np.random.default_rng(5)
+    h, x, s = rng.integers(0, 1 << 63, 23).astype(np.uint64), rng.random((23, 4)) * 50, rng.random((23, 4))
+    sums = []
+    for block in (60, 150, 10_000):
+        monkeypatch.setattr(Ex, "_BLOCK_DRAWS", block)
+        sums.append(Ex._draw_sums(h, x, s, FEATS, steep, 60, 42, 1.0, half))
+    assert np.allclose(sums[0], sums[2], rtol=1e-12) and np.allclose(sums[1], sums[2], rtol=1e-12)
+    alone = Ex._draw_sums(h[:1], x[:1], s[:1], FEATS, steep, 30_000, 42, 1.0, half)  # products in several parts
+    assert alone[0, 0, 1:5] == pytest.approx(alone[0, 1:, 0], rel=1e-12)
+    assert abs(alone[0, 0, 1]) < 0.02 * alone[0, 0, 0]
+
+
 def test_draws_never_become_rows(spark):
     df = Ex.local_surrogate(rows(spark), FEATS, steep, draws=50, top_n=3, preset="half_std", arrays=True)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
